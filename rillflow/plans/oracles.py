@@ -121,3 +121,239 @@ counts AS (
 )
 SELECT channel, CAST(n AS BIGINT) AS n FROM counts WHERE n > 0
 """
+
+# Database changes as fields, by FIXTURES.md 3.2; ``keys`` lists the data keys.
+_CHANGES = """
+chg AS (
+  SELECT c_custkey AS seq, 'shop' AS database, 'customer' AS tbl, 'bootstrap-insert' AS type,
+         CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment,
+         CAST(c_nationkey AS VARCHAR) AS nation, 'id,name,segment,nation' AS keys
+  FROM customer
+  UNION ALL
+  SELECT 1000000 + c_custkey, 'shop', 'customer', 'update', CAST(c_custkey AS VARCHAR),
+         c_name || '_v2', CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE lower(c_mktsegment) END,
+         CAST(c_nationkey AS VARCHAR), 'id,name,segment,nation'
+  FROM customer WHERE c_custkey % 5 = 0
+  UNION ALL
+  SELECT 2000000 + c_custkey, 'shop', 'customer', 'delete', CAST(c_custkey AS VARCHAR),
+         c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR), 'id,name,segment,nation'
+  FROM customer WHERE c_custkey % 11 = 0
+  UNION ALL
+  SELECT 3000000 + c_custkey, 'shop', 'customer', 'insert', CAST(c_custkey AS VARCHAR),
+         'reborn', NULL, NULL, 'id,name'
+  FROM customer WHERE c_custkey % 22 = 0
+  UNION ALL
+  SELECT 4000000 + s_suppkey, 'shop', 'supplier',
+         CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE 'insert' END, CAST(s_suppkey AS VARCHAR),
+         s_name, NULL, CAST(s_nationkey AS VARCHAR), 'id,name,nation'
+  FROM supplier
+  UNION ALL
+  SELECT 5000000 + p_partkey, 'shop', 'part', 'insert', CAST(p_partkey AS VARCHAR), p_name,
+         NULL, NULL, 'id,name'
+  FROM part
+  UNION ALL
+  SELECT 6000000 + o_orderkey, 'shop', 'order_info', 'insert', CAST(o_orderkey AS VARCHAR),
+         NULL, NULL, NULL, 'id'
+  FROM orders
+  UNION ALL
+  SELECT 9000000, 'shop', 'customer', 'bootstrap-start', NULL, NULL, NULL, NULL, ''
+  FROM region WHERE r_regionkey = 0
+  UNION ALL
+  SELECT 9000001 + r_regionkey, 'other', 'customer', 'insert', CAST(r_regionkey AS VARCHAR),
+         r_name, NULL, NULL, 'id,name'
+  FROM region
+),
+clean AS (
+  SELECT * FROM chg
+  WHERE database = 'shop' AND (type IS NULL OR type <> 'bootstrap-start') AND keys <> ''
+)
+"""
+
+# Config feed (FIXTURES.md 3.3 plus the churn derived from orders) and the
+# preloaded config table.
+_CONFIG = """
+churn AS (
+  SELECT o_orderkey - 1000000000 AS seq, o_orderkey AS ok,
+         'ods_order_' || CAST(o_orderkey % 61 AS VARCHAR) AS source_table,
+         'dim_ods_' || CAST(o_orderkey % 61 AS VARCHAR) AS sink_base,
+         CASE WHEN o_orderpriority LIKE '1%' THEN 'id,name'
+              WHEN o_orderpriority LIKE '2%' THEN 'id,name,segment' ELSE 'id' END AS sink_columns,
+         CASE WHEN o_orderstatus = 'P' THEN 'd' WHEN o_orderstatus = 'F' THEN 'u'
+              WHEN o_orderkey % 2 = 0 THEN 'c' ELSE 'r' END AS op
+  FROM orders WHERE o_orderkey % 101 <> 0
+),
+feed AS (
+  SELECT seq, op, source_table,
+         CASE WHEN op = 'u' AND ok % 7 = 0 THEN sink_base || '_v2' ELSE sink_base END
+           AS sink_table,
+         sink_columns, 'info' AS sink_family, 'id' AS sink_row_key
+  FROM churn
+  UNION ALL
+  SELECT CAST(seq AS BIGINT), op, source_table, sink_table, sink_columns, sink_family,
+         sink_row_key
+  FROM (VALUES (-6, 'r', 'customer', 'dim_customer', 'id,name,segment', 'info', 'id'),
+               (-5, 'r', 'part', 'dim_part', 'id,name', 'info', 'id'),
+               (-4, 'c', 'supplier', 'dim_supplier', 'id,name,nation', 'info', 'id'),
+               (-3, 'u', 'supplier', 'dim_supplier', 'id,name', 'info', 'id'),
+               (-2, 'd', 'part', 'dim_part', 'id,name', 'info', 'id'))
+       AS t(seq, op, source_table, sink_table, sink_columns, sink_family, sink_row_key)
+),
+preload AS (
+  SELECT * FROM (VALUES ('customer', 'dim_customer', 'id,name,segment', 'info', 'id'),
+                        ('part', 'dim_part', 'id,name', 'info', 'id'),
+                        ('supplier', 'dim_supplier', 'id,name,nation', 'info', 'id'))
+       AS t(source_table, sink_table, sink_columns, sink_family, sink_row_key)
+  UNION ALL
+  SELECT 'ods_order_' || CAST(o_orderkey AS VARCHAR), 'dim_ods_' || CAST(o_orderkey % 61 AS VARCHAR),
+         'id,name', 'info', 'id'
+  FROM orders
+),
+ops AS (
+  SELECT CAST(-9223372036854775808 AS BIGINT) AS seq, 'r' AS op, * FROM preload
+  UNION ALL SELECT * FROM feed
+),
+iv AS (
+  SELECT * FROM (
+    SELECT *, lead(seq) OVER (PARTITION BY source_table ORDER BY seq) AS valid_to FROM ops)
+  WHERE op <> 'd'
+),
+lc AS (
+  SELECT sink_table, arg_max(op, seq) <> 'd' AS live,
+         max(seq) FILTER (WHERE op IN ('u', 'd')) AS reset_seq
+  FROM feed GROUP BY sink_table
+)
+"""
+
+_ROUTED = """
+routed AS (
+  SELECT c.*, iv.sink_table, iv.sink_columns, iv.sink_row_key
+  FROM clean c JOIN iv ON c.tbl = iv.source_table AND c.seq > iv.seq
+       AND c.seq < coalesce(iv.valid_to, 9223372036854775807)
+)
+"""
+
+ORACLES["change_table"] = f"""
+WITH {_CHANGES}
+SELECT seq, database, tbl AS "table", type, 1700000000000 + seq AS ts FROM chg
+"""
+
+ORACLES["change_clean"] = f"""
+WITH {_CHANGES}
+SELECT seq, tbl AS "table", type FROM clean
+"""
+
+ORACLES["config_decode"] = f"""
+WITH {_CONFIG}
+SELECT seq, op, source_table AS sourceTable, sink_table AS sinkTable,
+       sink_columns AS sinkColumns, sink_family AS sinkFamily, sink_row_key AS sinkRowKey
+FROM feed
+"""
+
+ORACLES["config_preload"] = f"""
+WITH {_CONFIG}
+SELECT source_table AS sourceTable, sink_table AS sinkTable, sink_columns AS sinkColumns,
+       sink_family AS sinkFamily, sink_row_key AS sinkRowKey
+FROM preload
+"""
+
+ORACLES["config_latest"] = f"""
+WITH {_CONFIG},
+last AS (SELECT *, row_number() OVER (PARTITION BY source_table ORDER BY seq DESC) AS rn
+         FROM ops)
+SELECT source_table, sink_table, sink_columns, sink_family, sink_row_key, op
+FROM last WHERE rn = 1 AND op <> 'd'
+"""
+
+ORACLES["config_intervals"] = f"""
+WITH {_CONFIG}
+SELECT source_table, sink_table, seq AS valid_from, valid_to FROM iv
+"""
+
+ORACLES["table_lifecycle"] = f"""
+WITH {_CONFIG}
+SELECT sink_table, live, reset_seq FROM lc
+"""
+
+ORACLES["config_route"] = f"""
+WITH {_CHANGES}, {_CONFIG}, {_ROUTED}
+SELECT seq, tbl AS "table", sink_table FROM routed
+"""
+
+ORACLES["column_prune"] = f"""
+WITH {_CHANGES}, {_CONFIG}, {_ROUTED}
+SELECT seq, array_to_string(list_sort(list_intersect(string_split(keys, ','),
+                                                     string_split(sink_columns, ','))), ',')
+       AS keys
+FROM routed
+"""
+
+ORACLES["row_key"] = f"""
+WITH {_CHANGES}, {_CONFIG}, {_ROUTED}
+SELECT seq, sink_table,
+       CASE WHEN list_contains(string_split(sink_columns, ','), sink_row_key) THEN id END
+         AS row_key
+FROM routed
+"""
+
+# Snapshot by windows over the unpivoted cells: the last delete of a row hides
+# every earlier put; per cell the last non-null put after it wins.
+ORACLES["dim_snapshot"] = f"""
+WITH {_CHANGES}, {_CONFIG}, {_ROUTED},
+live AS (
+  SELECT r.* FROM routed r JOIN lc ON r.sink_table = lc.sink_table
+  WHERE lc.live AND r.seq > coalesce(lc.reset_seq, -9223372036854775808)
+    AND list_contains(string_split(r.sink_columns, ','), r.sink_row_key)
+),
+marked AS (
+  SELECT *, max(CASE WHEN type = 'delete' THEN seq END)
+              OVER (PARTITION BY sink_table, id) AS del_seq
+  FROM live
+),
+cells AS (
+  SELECT sink_table, id AS row_key, seq, col, val FROM marked
+  CROSS JOIN LATERAL (VALUES ('id', id), ('name', name), ('segment', segment),
+                             ('nation', nation)) AS u(col, val)
+  WHERE (type IS NULL OR type <> 'delete') AND seq > coalesce(del_seq, -1)
+    AND val IS NOT NULL
+    AND list_contains(string_split(keys, ','), col)
+    AND list_contains(string_split(sink_columns, ','), col)
+)
+SELECT sink_table, row_key, col AS "column", arg_max(val, seq) AS value
+FROM cells GROUP BY sink_table, row_key, col
+"""
+
+_COMMENTS = """
+cm AS (
+  SELECT doc_id, 20000000 + doc_id AS seq,
+         CASE WHEN doc_id % 13 = 0 THEN 'other' ELSE 'shop' END AS database,
+         CASE WHEN doc_id % 10 = 0 THEN 'update' ELSE 'insert' END AS type,
+         CAST(doc_id AS VARCHAR) AS id, CAST(doc_id % 100 AS VARCHAR) AS user_id,
+         source AS sku_id, '120' || CAST(doc_id % 7 AS VARCHAR) AS appraise,
+         text AS comment_txt, '2024-01-01 00:00:00' AS comment_time,
+         1700000000000 + doc_id AS ts
+  FROM documents
+),
+ci AS (SELECT * FROM cm WHERE database = 'shop' AND type = 'insert'),
+dic AS (SELECT '120' || CAST(r_regionkey AS VARCHAR) AS rowkey, r_name AS dic_name FROM region)
+"""
+
+ORACLES["comment_project"] = f"""
+WITH {_COMMENTS}
+SELECT id, user_id, sku_id, appraise, comment_txt, comment_time, ts FROM cm
+"""
+
+ORACLES["comment_filter"] = f"""
+WITH {_COMMENTS}
+SELECT id, user_id, sku_id, appraise, comment_txt, comment_time, ts FROM ci
+"""
+
+ORACLES["dic_lookup"] = f"""
+WITH {_COMMENTS}
+SELECT id, appraise, dic_name AS appraise_name FROM ci JOIN dic ON ci.appraise = dic.rowkey
+"""
+
+ORACLES["comment_info"] = f"""
+WITH {_COMMENTS}
+SELECT id, user_id, sku_id, appraise, dic_name AS appraise_name, comment_txt, ts
+FROM ci JOIN dic ON ci.appraise = dic.rowkey
+"""

@@ -144,3 +144,145 @@ def split_action(spark, sf_dir):
 def split_router(spark, sf_dir):
     out = logs.split_log(repaired_logs(spark, sf_dir))
     return out.groupBy("channel").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --------------------------------------------------------------------- changes
+from rillflow.operators import changes as chg  # noqa: E402
+from rillflow.operators import comments as cmt  # noqa: E402
+from rillflow.operators import config as cfg  # noqa: E402
+from rillflow.operators import dims  # noqa: E402
+from rillflow.operators.joins import fits_broadcast  # noqa: E402
+
+
+def change_topic(spark, sf_dir) -> DataFrame:
+    r = lambda t: _read(spark, sf_dir, t)
+    return fx.change_raw(r("customer"), r("supplier"), r("part"), r("orders"), r("region"))
+
+
+def clean_change_rows(spark, sf_dir) -> DataFrame:
+    return chg.clean_changes(chg.parse_changes(change_topic(spark, sf_dir)), fx.SHOP_DB)
+
+
+@register("change_table")
+def change_table(spark, sf_dir):
+    return chg.parse_changes(change_topic(spark, sf_dir)) \
+        .select("seq", "database", "table", "type", "ts")
+
+
+@register("change_clean")
+def change_clean(spark, sf_dir):
+    return clean_change_rows(spark, sf_dir).select("seq", "table", "type")
+
+
+# ---------------------------------------------------------------------- config
+def decoded_config(spark, sf_dir) -> DataFrame:
+    return cfg.decode_config(fx.config_raw(spark, _read(spark, sf_dir, "orders")))
+
+
+def preload_config(spark, sf_dir) -> DataFrame:
+    return cfg.camel_columns(fx.config_table(spark, _read(spark, sf_dir, "orders")))
+
+
+def all_config_ops(spark, sf_dir) -> DataFrame:
+    return cfg.config_ops(decoded_config(spark, sf_dir), preload_config(spark, sf_dir))
+
+
+@register("config_decode")
+def config_decode(spark, sf_dir):
+    return cfg.camel_columns(decoded_config(spark, sf_dir))
+
+
+@register("config_preload")
+def config_preload(spark, sf_dir):
+    return preload_config(spark, sf_dir)
+
+
+@register("config_latest")
+def config_latest(spark, sf_dir):
+    return cfg.latest_config(all_config_ops(spark, sf_dir))
+
+
+@register("config_intervals")
+def config_intervals(spark, sf_dir):
+    return cfg.config_intervals(all_config_ops(spark, sf_dir)) \
+        .select("source_table", "sink_table", "valid_from", "valid_to")
+
+
+@register("table_lifecycle")
+def table_lifecycle(spark, sf_dir):
+    return cfg.table_lifecycle(decoded_config(spark, sf_dir))
+
+
+def routed_changes(spark, sf_dir) -> DataFrame:
+    intervals = cfg.config_intervals(all_config_ops(spark, sf_dir))
+    return dims.route_changes(clean_change_rows(spark, sf_dir), intervals)
+
+
+@register("config_route")
+def config_route(spark, sf_dir):
+    return routed_changes(spark, sf_dir).select("seq", "table", "sink_table")
+
+
+@register("column_prune")
+def column_prune(spark, sf_dir):
+    df = dims.prune_columns(routed_changes(spark, sf_dir))
+    return df.select("seq", F.array_join(F.array_sort(F.map_keys("data")), ",").alias("keys"))
+
+
+def keyed_changes(spark, sf_dir) -> DataFrame:
+    return dims.with_row_key(dims.prune_columns(routed_changes(spark, sf_dir)))
+
+
+@register("row_key")
+def row_key(spark, sf_dir):
+    return keyed_changes(spark, sf_dir).select("seq", "sink_table", "row_key")
+
+
+@register("dim_snapshot")
+def dim_snapshot(spark, sf_dir):
+    lifecycle = cfg.table_lifecycle(decoded_config(spark, sf_dir))
+    live = dims.apply_lifecycle(keyed_changes(spark, sf_dir), lifecycle)
+    return dims.dim_snapshot(live)
+
+
+# -------------------------------------------------------------------- comments
+def comment_topic(spark, sf_dir) -> DataFrame:
+    return fx.comment_raw(_read(spark, sf_dir, "documents"))
+
+
+def db_topic(spark, sf_dir) -> DataFrame:
+    """All database changes on one topic: dimension tables and comments."""
+    return change_topic(spark, sf_dir).unionByName(comment_topic(spark, sf_dir))
+
+
+def dictionary(spark, sf_dir) -> DataFrame:
+    return fx.dictionary(_read(spark, sf_dir, "region"))
+
+
+@register("comment_filter")
+def comment_filter(spark, sf_dir):
+    rows = cmt.comment_filter(chg.parse_changes(db_topic(spark, sf_dir)), fx.SHOP_DB)
+    return cmt.comment_project(rows)
+
+
+@register("comment_project")
+def comment_project(spark, sf_dir):
+    return cmt.comment_project(chg.parse_changes(comment_topic(spark, sf_dir)))
+
+
+@register("dic_lookup")
+def dic_lookup(spark, sf_dir):
+    rows = cmt.comment_project(
+        cmt.comment_filter(chg.parse_changes(db_topic(spark, sf_dir)), fx.SHOP_DB))
+    return cmt.lookup_dictionary(rows, dictionary(spark, sf_dir)) \
+        .select("id", "appraise", "appraise_name")
+
+
+@register("comment_info")
+def comment_info(spark, sf_dir):
+    chg.parse_changes(db_topic(spark, sf_dir), proc_time=True) \
+        .createOrReplaceTempView("topic_db")
+    dic = cmt.dictionary_table(dictionary(spark, sf_dir))
+    dic.createOrReplaceTempView("base_dic")
+    return cmt.comment_info_sql(spark, "topic_db", "base_dic", fx.SHOP_DB,
+                                broadcast_dic=fits_broadcast(dic))
