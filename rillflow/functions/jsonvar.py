@@ -79,3 +79,18 @@ def to_variant(value: Column) -> Column:
 def to_json_text(obj: Column) -> Column:
     """FUN-7: JSON text with null-valued top-level keys left out."""
     return F.to_json(F.map_filter(obj, lambda k, v: ~F.is_variant_null(v)))
+
+
+def keep_where(df, flag: str, drop_flag: bool = True):
+    """Rows where the boolean column ``flag`` is true, as a 0..1 flatMap.
+
+    A plain ``where`` on a column computed from the parsed JSON is pushed below
+    the projection that computes it, and Catalyst then inlines (and repeats)
+    the parse inside the filter. Filtering inside a one-element ``inline``
+    keeps the parse in one place: the optimizer does not push through a
+    generator.
+    """
+    cols = [c for c in df.columns if not (drop_flag and c == flag)]
+    rec = F.struct(*[F.col(c) for c in df.columns])
+    kept = F.filter(F.array(rec), lambda r: F.coalesce(r[flag], F.lit(False)))
+    return df.select(F.inline(kept)).select(*cols)

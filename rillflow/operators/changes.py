@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.functions.jsonvar import get_long, get_str
+from rillflow.functions.jsonvar import get_long, get_str, keep_where
 
 CHANGE_FIELDS = ("database", "table", "type", "ts", "data", "old")
 MAP = "map<string,string>"
@@ -20,18 +20,18 @@ def parse_changes(raw: DataFrame, value: str = "value", proc_time: bool = False)
     ``map<string,string>``: numbers and nested values become text, JSON null
     stays null. ``proc_time`` adds the processing-time column (PRJ-3).
     """
-    v = F.try_parse_json(value)
-    parsed = raw.withColumn("_v", v).where(
-        F.col("_v").isNotNull() & F.col(value).rlike(r"^\s*\{"))
+    is_obj = F.col("_v").isNotNull() & F.col(value).rlike(r"^\s*\{")
+    parsed = raw.withColumn("_v", F.try_parse_json(value))
     cols = [c for c in raw.columns if c != value]
     out = parsed.select(
-        *cols,
+        *cols, is_obj.alias("_obj"),
         get_str(F.col("_v"), "$.database").alias("database"),
         get_str(F.col("_v"), "$.table").alias("table"),
         get_str(F.col("_v"), "$.type").alias("type"),
         get_long(F.col("_v"), "$.ts").alias("ts"),
         F.try_variant_get("_v", "$.data", MAP).alias("data"),
         F.try_variant_get("_v", "$.old", MAP).alias("old"))
+    out = keep_where(out, "_obj")
     if proc_time:
         out = out.withColumn("proc_time", F.current_timestamp())
     return out

@@ -13,7 +13,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rillflow.functions.jsonvar import get_str
+from rillflow.functions.jsonvar import get_str, keep_where
 
 FIELDS = ("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key")
 STRUCT = "struct<" + ",".join(f"{f}:string" for f in FIELDS) + ">"
@@ -61,9 +61,10 @@ def decode_config(raw: DataFrame, value: str = "value") -> DataFrame:
     image = F.when(op == "d", F.try_variant_get(v, "$.before", STRUCT)) \
         .otherwise(F.try_variant_get(v, "$.after", STRUCT))
     cols = [c for c in raw.columns if c != value]
-    return (raw.select(*cols, op.alias("op"), image.alias("_cfg"))
-            .where(F.col("_cfg").isNotNull())
-            .select(*cols, "op", *[F.col("_cfg")[f].alias(f) for f in FIELDS]))
+    decoded = raw.select(*cols, op.alias("op"), image.alias("_cfg"))
+    decoded = decoded.select(*cols, "op", *[F.col("_cfg")[f].alias(f) for f in FIELDS],
+                             F.col("_cfg").isNotNull().alias("_ok"))
+    return keep_where(decoded, "_ok")
 
 
 def config_ops(decoded: DataFrame, preload: DataFrame | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ join on (sink_table, row_key); no window sorts a whole row key in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions.jsonvar import keep_keys
@@ -62,18 +62,30 @@ def dim_snapshot(keyed: DataFrame) -> DataFrame:
     """STA-4: the table contents after applying every change in ``seq`` order.
 
     A put writes each non-null cell (so an update to null keeps the old value);
-    a delete clears the whole row; a later put starts afresh. Per cell, the last
-    non-null put wins unless a delete of its row came after it.
+    a delete clears the whole row; a later put starts afresh.
+
+    One pass: every change becomes entries ``(column, value, seq)``; a delete
+    becomes one marker entry with a null column. A partial aggregation per
+    (sink_table, row_key, column) keeps the last non-null value and its seq,
+    which absorbs hot rows before the shuffle. A window over the aggregated
+    cells of a row (at most one entry per column, plus the marker) then hides
+    cells written before the row's last delete.
     """
     keyed = keyed.where(F.col("row_key").isNotNull())
     is_delete = F.coalesce(F.col("type") == "delete", F.lit(False))
-    cells = (keyed.where(~is_delete)
-             .select("sink_table", "row_key", "seq", F.explode("data").alias("column", "value"))
-             .where(F.col("value").isNotNull())
+    entry = "struct<column:string,value:string>"
+    puts = F.transform(F.map_entries(F.map_filter("data", lambda k, v: v.isNotNull())),
+                       lambda e: F.struct(e["key"].alias("column"), e["value"].alias("value")))
+    marker = F.array(F.lit(None).cast(entry))
+    entries = F.when(is_delete, marker).otherwise(puts.cast(f"array<{entry}>"))
+    cells = (keyed.select("sink_table", "row_key", "seq", F.explode(entries).alias("e"))
+             .select("sink_table", "row_key", "seq", F.col("e.column").alias("column"),
+                     F.col("e.value").alias("value"))
              .groupBy("sink_table", "row_key", "column")
              .agg(F.max_by("value", "seq").alias("value"), F.max("seq").alias("last_seq")))
-    deletes = (keyed.where(is_delete).groupBy("sink_table", "row_key")
-               .agg(F.max("seq").alias("del_seq")))
-    return (cells.join(deletes, ["sink_table", "row_key"], "left")
-            .where(F.col("del_seq").isNull() | (F.col("last_seq") > F.col("del_seq")))
+    row = Window.partitionBy("sink_table", "row_key")
+    del_seq = F.max(F.when(F.col("column").isNull(), F.col("last_seq"))).over(row)
+    return (cells.withColumn("del_seq", del_seq)
+            .where(F.col("column").isNotNull()
+                   & (F.col("del_seq").isNull() | (F.col("last_seq") > F.col("del_seq"))))
             .select("sink_table", "row_key", "column", "value"))

@@ -47,44 +47,71 @@ def sized_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, limit) else df
 
 
+# An interval key with more versions than this is "hot": its position axis is
+# cut into buckets so that a fact meets only the versions near it.
+HOT_VERSIONS = 16
+MAX_BUCKETS = 4096
+
+
 def interval_join(facts: DataFrame, intervals: DataFrame, fact_key: str, int_key: str,
                   pos: str, valid_from: str, valid_to: str, how: str = "inner",
-                  limit: int | None = None, buckets: int | None = None) -> DataFrame:
+                  limit: int | None = None) -> DataFrame:
     """Each fact meets the interval of its key with ``valid_from < pos < valid_to``
     (``valid_to`` null = open). Intervals of one key must not overlap.
 
-    Small intervals: one broadcast hash join with the range as a condition.
-    Otherwise both sides get a bucket of the position axis; an interval is
-    repeated in every bucket it overlaps, so the equi-join on (key, bucket) plus
-    the range condition finds the same single match, and a hot key is spread
-    over all buckets instead of one task.
+    One small job over the intervals gives their count and the hot keys (more
+    than ``HOT_VERSIONS`` versions). A hot key's intervals are repeated in every
+    bucket of the position axis they overlap, and its facts carry their bucket;
+    other keys use bucket -1. The equi-join on (key, bucket) plus the range
+    condition then finds the single match while comparing each fact with a
+    bounded number of candidates, and a hot key's facts spread over all its
+    buckets. The interval side is broadcast when its (bounded) size fits, else
+    both sides shuffle on (key, bucket) and AQE splits skewed partitions.
     """
-    to = F.coalesce(F.col(valid_to), F.lit(MAX_LONG))
-    if fits_broadcast(intervals, limit):
-        iv = F.broadcast(intervals)
-        cond = ((facts[fact_key] == iv[int_key]) & (facts[pos] > iv[valid_from])
-                & (facts[pos] < F.coalesce(iv[valid_to], F.lit(MAX_LONG))))
-        out = facts.join(iv, cond, how)
-        return out.drop(iv[int_key]) if fact_key == int_key else out
-
-    spark = facts.sparkSession
-    n_buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lo_hi = facts.agg(F.min(pos).alias("lo"), F.max(pos).alias("hi")).first()
-    lo, hi = lo_hi["lo"], lo_hi["hi"]
-    if lo is None:
-        lo, hi = 0, 0
-    width = max(1, (hi - lo) // n_buckets + 1)
-
-    def bucket(c: Column) -> Column:
-        return F.floor((F.greatest(F.least(c, F.lit(hi)), F.lit(lo)) - F.lit(lo)) / F.lit(width)) \
-            .cast("long")
-
-    first_b = bucket(F.col(valid_from))
-    last_b = bucket(F.least(to, F.lit(hi)))
-    iv = (intervals.where((to > F.lit(lo)) & (F.col(valid_from) < F.lit(hi)))
-          .withColumn("_b", F.explode(F.sequence(first_b, last_b))))
-    f = facts.withColumn("_b", bucket(F.col(pos)))
+    min_long, max_long = F.lit(MIN_LONG), F.lit(MAX_LONG)
+    per_key = intervals.groupBy(int_key).agg(
+        F.count(F.lit(1)).alias("k"),
+        F.min(F.when(F.col(valid_from) > min_long, F.col(valid_from))).alias("lo"),
+        F.max(F.col(valid_from)).alias("hi"))
+    hot_cond = F.col("k") > HOT_VERSIONS
+    stats = per_key.agg(
+        F.sum("k").alias("n"),
+        F.collect_list(F.when(hot_cond, F.col(int_key))).alias("hot"),
+        F.max(F.when(hot_cond, F.col("k"))).alias("k_max"),
+        F.min(F.when(hot_cond, F.col("lo"))).alias("lo"),
+        F.max(F.when(hot_cond, F.col("hi"))).alias("hi")).first()
+    n = stats["n"] or 0
+    hot = list(stats["hot"] or [])
+    limit = broadcast_row_limit(intervals) if limit is None else limit
+
+    if hot:
+        lo, hi = stats["lo"], stats["hi"]
+        if lo is None:
+            lo = hi = 0
+        n_buckets = min(MAX_BUCKETS, max(2, 2 * -(-stats["k_max"] // HOT_VERSIONS)))
+        width = max(1, (hi - lo) // n_buckets + 1)
+
+        def bucket(c: Column) -> Column:
+            clamped = F.greatest(F.least(c, F.lit(hi)), F.lit(lo))
+            return F.floor((clamped - F.lit(lo)) / F.lit(width)).cast("long")
+
+        is_hot = F.col(int_key).isin(hot)
+        last = bucket(F.least(F.coalesce(F.col(valid_to), max_long) - 1, F.lit(hi)))
+        spans = F.when(is_hot, F.sequence(bucket(F.col(valid_from)), last)) \
+            .otherwise(F.array(F.lit(-1).cast("long")))
+        iv = intervals.withColumn("_b", F.explode(spans))
+        f = facts.withColumn("_b", F.when(F.col(fact_key).isin(hot), bucket(F.col(pos)))
+                             .otherwise(F.lit(-1).cast("long")))
+        # proven bound on the exploded side: every interval once, plus one extra
+        # row per bucket of each hot key
+        bound = n + len(hot) * n_buckets
+    else:
+        iv = intervals.withColumn("_b", F.lit(-1).cast("long"))
+        f = facts.withColumn("_b", F.lit(-1).cast("long"))
+        bound = n
+    if 0 < limit and bound <= limit:
+        iv = F.broadcast(iv)
     cond = ((f[fact_key] == iv[int_key]) & (f["_b"] == iv["_b"])
-            & (f[pos] > iv[valid_from]) & (f[pos] < F.coalesce(iv[valid_to], F.lit(MAX_LONG))))
+            & (f[pos] > iv[valid_from]) & (f[pos] < F.coalesce(iv[valid_to], max_long)))
     out = f.join(iv, cond, how).drop(f["_b"]).drop(iv["_b"])
     return out.drop(iv[int_key]) if fact_key == int_key else out

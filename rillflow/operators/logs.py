@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from rillflow.functions.dates import prev_day, ts_to_date
 from rillflow.functions.jsonvar import (
-    as_object, drop_keys, get_long, get_str, is_object, parse_object, present, put_keys,
-    to_json_text,
+    as_object, drop_keys, get_long, get_str, is_object, keep_where, parse_object, present,
+    put_keys, to_json_text,
 )
 
 LOG = "log"
@@ -58,14 +58,14 @@ def parse_logs(raw: DataFrame, value: str = "value") -> DataFrame:
 
 def clean_logs(raw: DataFrame, value: str = "value") -> DataFrame:
     """FIL-1: keep parseable logs with page or start, common, common.mid and ts."""
-    return parse_logs(raw, value).where("_clean").drop("_clean", "_dirty", value)
+    return keep_where(parse_logs(raw, value).drop("_dirty", value), "_clean")
 
 
 def dirty_logs(raw: DataFrame, value: str = "value") -> DataFrame:
     """FIL-4: the quarantine: messages that do not parse as an object or hold a
     key of the wrong type. Valid logs that only lack a key are dropped silently
     by FIL-1 and do not appear here."""
-    return parse_logs(raw, value).where("_dirty").select(*raw.columns)
+    return keep_where(parse_logs(raw, value).select(*raw.columns, "_dirty"), "_dirty")
 
 
 def with_event_time(logs: DataFrame, delay: str = OUT_OF_ORDERNESS) -> DataFrame:

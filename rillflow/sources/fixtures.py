@@ -38,6 +38,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """A topic has many partitions; a base table stored as one row group scans
+    as one task. Spread such an input round-robin over the session's
+    parallelism so the per-message work runs in parallel; inputs that already
+    have enough splits (any large table) are left alone, with no shuffle."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def _json(struct: Column, keep_nulls: bool = False) -> Column:
     opts = {"ignoreNullFields": "false"} if keep_nulls else {}
     return F.to_json(struct, opts)
@@ -69,7 +80,7 @@ def log_raw(events: DataFrame) -> DataFrame:
                       err.alias("err"), displays.alias("displays"),
                       actions.alias("actions"), ts.alias("ts"))
     value = F.when(eid % 89 == 0, F.concat(F.lit('{"broken":'), k)).otherwise(_json(record))
-    return events.select(eid.alias("seq"), value.alias("value"))
+    return spread(events).select(eid.alias("seq"), value.alias("value"))
 
 
 # ------------------------------------------------------------------------ changes
@@ -99,7 +110,7 @@ def change_raw(customer: DataFrame, supplier: DataFrame, part: DataFrame,
                    F.when(ck % 10 != 0, F.lower("c_mktsegment")).alias("segment"),
                    F.col("c_nationkey").alias("nation"))
     reborn = F.struct(ck.alias("id"), F.lit("reborn").alias("name"))
-    cust = _explode_changes(customer, [
+    cust = _explode_changes(spread(customer), [
         _change(SHOP_DB, "customer", "bootstrap-insert", ck, base),
         F.when(ck % 5 == 0, _change(SHOP_DB, "customer", "update", F.lit(1_000_000) + ck, upd,
                                     F.create_map(F.lit("name"), F.col("c_name")))),
@@ -107,16 +118,16 @@ def change_raw(customer: DataFrame, supplier: DataFrame, part: DataFrame,
         F.when(ck % 22 == 0, _change(SHOP_DB, "customer", "insert", F.lit(3_000_000) + ck, reborn)),
     ])
     sk = F.col("s_suppkey")
-    supp = supplier.select(F.inline(F.array(_change(
+    supp = spread(supplier).select(F.inline(F.array(_change(
         SHOP_DB, "supplier", F.when(sk % 7 != 0, F.lit("insert")), F.lit(4_000_000) + sk,
         F.struct(sk.alias("id"), F.col("s_name").alias("name"),
                  F.col("s_nationkey").alias("nation"))))))
     pk = F.col("p_partkey")
-    prt = part.select(F.inline(F.array(_change(
+    prt = spread(part).select(F.inline(F.array(_change(
         SHOP_DB, "part", "insert", F.lit(5_000_000) + pk,
         F.struct(pk.alias("id"), F.col("p_name").alias("name"))))))
     ok = F.col("o_orderkey")
-    ords = orders.select(F.inline(F.array(_change(
+    ords = spread(orders).select(F.inline(F.array(_change(
         SHOP_DB, "order_info", "insert", F.lit(6_000_000) + ok, F.struct(ok.alias("id"))))))
     rk = F.col("r_regionkey").cast("bigint")
     other = region.select(F.inline(F.array(_change(
@@ -182,7 +193,7 @@ def config_churn(orders: DataFrame) -> DataFrame:
     seq = F.lit(CONFIG_CHURN_BASE) + ok
     value = F.when(ok % 101 == 0, F.lit('{"op":"c","after":{'))\
         .otherwise(_envelope(op, before, after, F.lit(CHANGE_TS_BASE) + seq))
-    return orders.select(seq.alias("seq"), value.alias("value"))
+    return spread(orders).select(seq.alias("seq"), value.alias("value"))
 
 
 def config_raw(spark: SparkSession, orders: DataFrame) -> DataFrame:
@@ -196,7 +207,7 @@ def config_table(spark: SparkSession, orders: DataFrame) -> DataFrame:
     fixed = [after for op, _, after in CONFIG_ROWS[:3]]
     head = spark.createDataFrame(fixed, ", ".join(f"{c} string" for c in CONFIG_FIELDS))
     ok = F.col("o_orderkey")
-    derived = orders.select(
+    derived = spread(orders).select(
         F.concat(F.lit("ods_order_"), ok).alias("source_table"),
         F.concat(F.lit("dim_ods_"), ok % 61).alias("sink_table"),
         F.lit("id,name").alias("sink_columns"), F.lit("info").alias("sink_family"),
@@ -217,7 +228,8 @@ def comment_raw(documents: DataFrame) -> DataFrame:
                    F.lit("comment_info").alias("table"),
                    F.when(d % 10 == 0, "update").otherwise("insert").alias("type"),
                    (F.lit(COMMENT_TS_BASE) + d).alias("ts"), data.alias("data"))
-    return documents.select((F.lit(COMMENT_SEQ_BASE) + d).alias("seq"), _json(msg).alias("value"))
+    return spread(documents).select((F.lit(COMMENT_SEQ_BASE) + d).alias("seq"),
+                                    _json(msg).alias("value"))
 
 
 def dictionary(region: DataFrame) -> DataFrame:
