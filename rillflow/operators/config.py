@@ -99,9 +99,21 @@ def config_intervals(ops: DataFrame) -> DataFrame:
 
 def table_lifecycle(decoded: DataFrame) -> DataFrame:
     """SNK-3: per sink table named by the feed, whether it exists at the end
-    (last op is not d) and its reset point: the last u or d op, which drops the
-    table (u recreates it empty). Changes before the reset are gone."""
-    return (decoded.groupBy("sink_table")
+    (its last op is not d) and ``reset_seq``, where its current life began.
+
+    c/r create the table unless it exists (then they do nothing); d drops it;
+    u, and any other op, drops and re-creates it empty. A put to a table that
+    does not exist fails, so only changes after ``reset_seq`` survive. The
+    window runs over config ops only (a small table).
+    """
+    w = Window.partitionBy("sink_table").orderBy("seq")
+    prev = F.lag("op").over(w)
+    op = F.col("op")
+    begins = (~op.isin("c", "r", "d") | op.isNull()) | \
+        (op.isin("c", "r") & (prev.isNull() | (prev == "d")))
+    return (decoded.withColumn("_begins", begins)
+            .groupBy("sink_table")
             .agg(F.max_by("op", "seq").alias("last_op"),
-                 F.max(F.when(F.col("op").isin("u", "d"), F.col("seq"))).alias("reset_seq"))
-            .select("sink_table", (F.col("last_op") != "d").alias("live"), "reset_seq"))
+                 F.max(F.when(F.col("_begins"), F.col("seq"))).alias("reset_seq"))
+            .select("sink_table", F.coalesce(F.col("last_op") != "d", F.lit(True)).alias("live"),
+                    "reset_seq"))

@@ -70,16 +70,16 @@ def interval_join(facts: DataFrame, intervals: DataFrame, fact_key: str, int_key
     """
     min_long, max_long = F.lit(MIN_LONG), F.lit(MAX_LONG)
     per_key = intervals.groupBy(int_key).agg(
-        F.count(F.lit(1)).alias("k"),
-        F.min(F.when(F.col(valid_from) > min_long, F.col(valid_from))).alias("lo"),
-        F.max(F.col(valid_from)).alias("hi"))
-    hot_cond = F.col("k") > HOT_VERSIONS
+        F.count(F.lit(1)).alias("_versions"),
+        F.min(F.when(F.col(valid_from) > min_long, F.col(valid_from))).alias("_lo"),
+        F.max(F.col(valid_from)).alias("_hi"))
+    hot_cond = F.col("_versions") > HOT_VERSIONS
     stats = per_key.agg(
-        F.sum("k").alias("n"),
+        F.sum("_versions").alias("n"),
         F.collect_list(F.when(hot_cond, F.col(int_key))).alias("hot"),
-        F.max(F.when(hot_cond, F.col("k"))).alias("k_max"),
-        F.min(F.when(hot_cond, F.col("lo"))).alias("lo"),
-        F.max(F.when(hot_cond, F.col("hi"))).alias("hi")).first()
+        F.max(F.when(hot_cond, F.col("_versions"))).alias("k_max"),
+        F.min(F.when(hot_cond, F.col("_lo"))).alias("lo"),
+        F.max(F.when(hot_cond, F.col("_hi"))).alias("hi")).first()
     n = stats["n"] or 0
     hot = list(stats["hot"] or [])
     limit = broadcast_row_limit(intervals) if limit is None else limit

@@ -56,9 +56,10 @@ def parse_logs(raw: DataFrame, value: str = "value") -> DataFrame:
     return df.withColumn("_clean", F.coalesce(clean, F.lit(False)))
 
 
-def clean_logs(raw: DataFrame, value: str = "value") -> DataFrame:
+def clean_logs(raw: DataFrame, value: str = "value", keep_text: bool = False) -> DataFrame:
     """FIL-1: keep parseable logs with page or start, common, common.mid and ts."""
-    return keep_where(parse_logs(raw, value).drop("_dirty", value), "_clean")
+    parsed = parse_logs(raw, value).drop("_dirty")
+    return keep_where(parsed if keep_text else parsed.drop(value), "_clean")
 
 
 def dirty_logs(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -93,6 +94,16 @@ def first_visit_dates(logs: DataFrame, zone: str | None = None,
             .agg(F.min_by(cand, F.struct(*order)).alias("first_dt")))
 
 
+def set_fixed_flag(logs: DataFrame) -> DataFrame:
+    """Write ``fixed_is_new`` into ``common.is_new`` of records where it changed."""
+    common = as_object(_key("common"))
+    new_common = F.to_variant_object(
+        put_keys(common, {"is_new": F.col("fixed_is_new").cast("variant")}))
+    log = F.when(F.col("fixed_is_new") != F.col("is_new"),
+                 put_keys(F.col(LOG), {"common": new_common})).otherwise(F.col(LOG))
+    return logs.withColumn(LOG, log)
+
+
 def apply_visitor_fix(logs: DataFrame, state: DataFrame, zone: str | None = None) -> DataFrame:
     """Join the per-device date back and rewrite ``common.is_new``.
 
@@ -103,11 +114,7 @@ def apply_visitor_fix(logs: DataFrame, state: DataFrame, zone: str | None = None
     joined = logs.join(state, "mid", "left")
     fixed = F.when((F.col("is_new") == "1") & (F.col("first_dt") != day), F.lit("0")) \
         .otherwise(F.col("is_new"))
-    common = as_object(_key("common"))
-    new_common = F.to_variant_object(put_keys(common, {"is_new": F.lit("0").cast("variant")}))
-    log = F.when(fixed != F.col("is_new"), put_keys(F.col(LOG), {"common": new_common})) \
-        .otherwise(F.col(LOG))
-    return joined.withColumn(LOG, log).withColumn("fixed_is_new", fixed).drop("first_dt")
+    return set_fixed_flag(joined.withColumn("fixed_is_new", fixed).drop("first_dt"))
 
 
 def repair_new_visitors(logs: DataFrame, zone: str | None = None,
