@@ -97,7 +97,7 @@ def config_intervals(ops: DataFrame) -> DataFrame:
             .withColumnRenamed("seq", "valid_from"))
 
 
-def table_lifecycle(decoded: DataFrame) -> DataFrame:
+def table_lifecycle(decoded: DataFrame, latest: DataFrame | None = None) -> DataFrame:
     """SNK-3: per sink table named by the feed, whether it exists at the end
     (its last op is not d) and ``reset_seq``, where its current life began.
 
@@ -105,15 +105,24 @@ def table_lifecycle(decoded: DataFrame) -> DataFrame:
     u, and any other op, drops and re-creates it empty. A put to a table that
     does not exist fails, so only changes after ``reset_seq`` survive. The
     window runs over config ops only (a small table).
+
+    With ``latest`` (from ``latest_config``), also ``orphan``: the table exists
+    but no source table routes to it any more (a renamed sink, D13).
     """
     w = Window.partitionBy("sink_table").orderBy("seq")
     prev = F.lag("op").over(w)
     op = F.col("op")
     begins = (~op.isin("c", "r", "d") | op.isNull()) | \
         (op.isin("c", "r") & (prev.isNull() | (prev == "d")))
-    return (decoded.withColumn("_begins", begins)
-            .groupBy("sink_table")
-            .agg(F.max_by("op", "seq").alias("last_op"),
-                 F.max(F.when(F.col("_begins"), F.col("seq"))).alias("reset_seq"))
-            .select("sink_table", F.coalesce(F.col("last_op") != "d", F.lit(True)).alias("live"),
-                    "reset_seq"))
+    out = (decoded.withColumn("_begins", begins)
+           .groupBy("sink_table")
+           .agg(F.max_by("op", "seq").alias("last_op"),
+                F.max(F.when(F.col("_begins"), F.col("seq"))).alias("reset_seq"))
+           .select("sink_table", F.coalesce(F.col("last_op") != "d", F.lit(True)).alias("live"),
+                   "reset_seq"))
+    if latest is None:
+        return out
+    routed = latest.select("sink_table").distinct().withColumn("_routed", F.lit(True))
+    return (out.join(routed, "sink_table", "left")
+            .withColumn("orphan", F.col("live") & F.col("_routed").isNull())
+            .drop("_routed"))

@@ -272,8 +272,13 @@ SELECT source_table, sink_table, seq AS valid_from, valid_to FROM iv
 """
 
 ORACLES["table_lifecycle"] = f"""
-WITH {_CONFIG}
-SELECT sink_table, live, reset_seq FROM lc
+WITH {_CONFIG},
+last AS (SELECT *, row_number() OVER (PARTITION BY source_table ORDER BY seq DESC) AS rn
+         FROM ops),
+routed AS (SELECT DISTINCT sink_table FROM last WHERE rn = 1 AND op <> 'd')
+SELECT lc.sink_table, live, reset_seq,
+       live AND lc.sink_table NOT IN (SELECT sink_table FROM routed) AS orphan
+FROM lc
 """
 
 ORACLES["config_route"] = f"""

@@ -210,7 +210,8 @@ def config_intervals(spark, sf_dir):
 
 @register("table_lifecycle")
 def table_lifecycle(spark, sf_dir):
-    return cfg.table_lifecycle(decoded_config(spark, sf_dir))
+    latest = cfg.latest_config(all_config_ops(spark, sf_dir))
+    return cfg.table_lifecycle(decoded_config(spark, sf_dir), latest)
 
 
 def routed_changes(spark, sf_dir) -> DataFrame:

@@ -39,3 +39,12 @@ def run_stream(source: DataFrame, transform: Callable[[DataFrame], DataFrame] |
     elif trigger:
         writer = writer.trigger(processingTime=trigger)
     return writer.start()
+
+
+def sql_transform(view: str, sql: str) -> Callable[[DataFrame], DataFrame]:
+    """API-2: a transform written as SQL over the stream registered as ``view``
+    (other views it names, e.g. a dictionary, may be static tables)."""
+    def apply(df: DataFrame) -> DataFrame:
+        df.createOrReplaceTempView(view)
+        return df.sparkSession.sql(sql)
+    return apply

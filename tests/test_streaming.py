@@ -123,3 +123,25 @@ def test_console_sink_runs(spark, scratch):
                    checkpoint=os.path.join(scratch, "ck"), available_now=True)
     q.awaitTermination(120)
     assert q.exception() is None
+
+
+def test_sql_job_on_a_stream(spark, scratch):
+    """API-2/API-3: the comment SQL over a streaming view, joined to a static
+    dictionary view (a stream-static join)."""
+    from rillflow.operators import changes as chg
+    from rillflow.operators import comments as cmt
+    from rillflow.streaming.runner import sql_transform
+    src, out = os.path.join(scratch, "t"), os.path.join(scratch, "out")
+    topics.write_topic_files(Q.comment_topic(spark, SF), src, parts=2)
+    cmt.dictionary_table(Q.dictionary(spark, SF)).createOrReplaceTempView("base_dic")
+    ci = sql_transform("topic_db", cmt.COMMENT_SQL.format(topic="topic_db", database=fx.SHOP_DB))
+    res = sql_transform("comment_info", cmt.RESULT_SQL.format(dic="base_dic"))
+    q = run_stream(topics.read_topic(spark, path=src),
+                   lambda df: res(ci(chg.parse_changes(df, proc_time=True))),
+                   lambda df: df.writeStream.format("parquet").option("path", out),
+                   name="comment_sql", checkpoint=os.path.join(scratch, "ck"),
+                   available_now=True)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = sorted(map(tuple, spark.read.parquet(out).collect()))
+    assert got == sorted(map(tuple, Q.comment_info(spark, SF).collect()))
