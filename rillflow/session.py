@@ -44,12 +44,19 @@ def build_session(master: str = "local[*]", app: str = "rillflow",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster sets it to shared storage; only when it is unset (local tests)
-    is a fresh scratch folder taken.
+    A cluster sets it to shared storage. Only a local-mode session without it
+    (tests) gets a fresh scratch folder; on a cluster a machine-local folder
+    would not survive the loss of an executor, so it is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
         path = tempfile.mkdtemp(prefix="rillflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # a Connect session has no SparkContext; streams need only the path
+        pass
     return path

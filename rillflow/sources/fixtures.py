@@ -43,10 +43,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     as one task. Spread such an input round-robin over the session's
     parallelism so the per-message work runs in parallel; inputs that already
     have enough splits (any large table) are left alone, with no shuffle."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (Spark Connect): leave the input as it is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
 
 
 def _json(struct: Column, keep_nulls: bool = False) -> Column:

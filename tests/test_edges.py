@@ -134,3 +134,13 @@ def test_date_functions(spark):
     assert r["a"] == 1700000000000 and r["b"] == 1699977600000 and r["c"] is None
     assert r["e"] == "2023-11-15 06:13:20"
     assert (r["f"], r["g"], r["h"]) == ("2023-11-14", "20231114", "2023-11-13")
+
+
+def test_config_table_from_files_renamed_to_camel(spark, scratch):
+    import os
+    path = os.path.join(scratch, "cfg")
+    spark.createDataFrame([("a", "dim_a", "id", "info", "id")],
+                          ", ".join(f"{f} string" for f in cfg.FIELDS)).write.parquet(path)
+    df = cfg.read_config_table(spark, path=path)
+    assert df.columns == ["sourceTable", "sinkTable", "sinkColumns", "sinkFamily", "sinkRowKey"]
+    assert cfg.to_camel("a_a") == "aA" and cfg.to_camel("a_aaaa_aa") == "aAaaaAa"
