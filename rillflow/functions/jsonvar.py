@@ -90,7 +90,10 @@ def keep_where(df, flag: str, drop_flag: bool = True):
     keeps the parse in one place: the optimizer does not push through a
     generator.
     """
+    from pyspark.sql.types import ArrayType
+
     cols = [c for c in df.columns if not (drop_flag and c == flag)]
-    rec = F.struct(*[F.col(c) for c in df.columns])
-    kept = F.filter(F.array(rec), lambda r: F.coalesce(r[flag], F.lit(False)))
-    return df.select(F.inline(kept)).select(*cols)
+    rec = F.struct(*[F.col(c) for c in cols])
+    empty = F.array().cast(ArrayType(df.select(rec.alias("r")).schema["r"].dataType))
+    rows = F.when(F.coalesce(F.col(flag), F.lit(False)), F.array(rec)).otherwise(empty)
+    return df.select(F.inline(rows))
