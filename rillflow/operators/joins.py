@@ -51,6 +51,9 @@ def sized_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
 # cut into buckets so that a fact meets only the versions near it.
 HOT_VERSIONS = 16
 MAX_BUCKETS = 4096
+# Hot keys are sent to the driver (to mark the facts' buckets) up to this many;
+# beyond it every key is bucketed instead.
+MAX_HOT_KEYS = 100_000
 
 
 def interval_join(facts: DataFrame, intervals: DataFrame, fact_key: str, int_key: str,
@@ -76,16 +79,25 @@ def interval_join(facts: DataFrame, intervals: DataFrame, fact_key: str, int_key
     hot_cond = F.col("_versions") > HOT_VERSIONS
     stats = per_key.agg(
         F.sum("_versions").alias("n"),
-        F.collect_list(F.when(hot_cond, F.col(int_key))).alias("hot"),
-        F.max(F.when(hot_cond, F.col("_versions"))).alias("k_max"),
-        F.min(F.when(hot_cond, F.col("_lo"))).alias("lo"),
-        F.max(F.when(hot_cond, F.col("_hi"))).alias("hi")).first()
+        F.count(F.lit(1)).alias("n_keys"),
+        F.sum(hot_cond.cast("long")).alias("n_hot"),
+        # at most MAX_HOT_KEYS + 1 keys travel to the driver
+        F.slice(F.collect_list(F.when(hot_cond, F.col(int_key))), 1, MAX_HOT_KEYS + 1)
+        .alias("hot"),
+        F.max(F.col("_versions")).alias("k_max"),
+        F.min(F.when(hot_cond, F.col("_lo"))).alias("lo_hot"),
+        F.max(F.when(hot_cond, F.col("_hi"))).alias("hi_hot"),
+        F.min("_lo").alias("lo_all"), F.max("_hi").alias("hi_all")).first()
     n = stats["n"] or 0
-    hot = list(stats["hot"] or [])
+    n_hot = stats["n_hot"] or 0
     limit = broadcast_row_limit(intervals) if limit is None else limit
 
-    if hot:
-        lo, hi = stats["lo"], stats["hi"]
+    if n_hot:
+        # many hot keys: bucket every key (exact; more interval rows)
+        bucket_all = n_hot > MAX_HOT_KEYS
+        hot = [] if bucket_all else list(stats["hot"])
+        lo, hi = ((stats["lo_all"], stats["hi_all"]) if bucket_all
+                  else (stats["lo_hot"], stats["hi_hot"]))
         if lo is None:
             lo = hi = 0
         n_buckets = min(MAX_BUCKETS, max(2, 2 * -(-stats["k_max"] // HOT_VERSIONS)))
@@ -95,16 +107,17 @@ def interval_join(facts: DataFrame, intervals: DataFrame, fact_key: str, int_key
             clamped = F.greatest(F.least(c, F.lit(hi)), F.lit(lo))
             return F.floor((clamped - F.lit(lo)) / F.lit(width)).cast("long")
 
-        is_hot = F.col(int_key).isin(hot)
+        is_hot = F.lit(True) if bucket_all else F.col(int_key).isin(hot)
+        fact_hot = F.lit(True) if bucket_all else F.col(fact_key).isin(hot)
         last = bucket(F.least(F.coalesce(F.col(valid_to), max_long) - 1, F.lit(hi)))
         spans = F.when(is_hot, F.sequence(bucket(F.col(valid_from)), last)) \
             .otherwise(F.array(F.lit(-1).cast("long")))
         iv = intervals.withColumn("_b", F.explode(spans))
-        f = facts.withColumn("_b", F.when(F.col(fact_key).isin(hot), bucket(F.col(pos)))
+        f = facts.withColumn("_b", F.when(fact_hot, bucket(F.col(pos)))
                              .otherwise(F.lit(-1).cast("long")))
         # proven bound on the exploded side: every interval once, plus one extra
-        # row per bucket of each hot key
-        bound = n + len(hot) * n_buckets
+        # row per bucket of each bucketed key
+        bound = n + (stats["n_keys"] if bucket_all else n_hot) * n_buckets
     else:
         iv = intervals.withColumn("_b", F.lit(-1).cast("long"))
         f = facts.withColumn("_b", F.lit(-1).cast("long"))

@@ -167,3 +167,21 @@ def test_interval_join_hot_keys_match_broadcast(spark):
     assert ra == rb
     # every fact strictly inside an interval matched exactly once
     assert len(ra) == facts.where("k = 'cold' or pos % 100 <> 0").count()
+
+
+def test_interval_join_buckets_every_key_when_many_are_hot(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from rillflow.operators import joins
+    rows = [(k, v * 10, (v + 1) * 10 if v < 39 else None, f"{k}{v}")
+            for k in ("a", "b", "c") for v in range(40)] + [("d", -1, None, "d0")]
+    iv = spark.createDataFrame(rows, "k string, vf long, vt long, tag string")
+    facts = spark.range(0, 420, 3).select(
+        F.element_at(F.array(*[F.lit(x) for x in "abcd"]), (F.col("id") % 4 + 1).cast("int"))
+        .alias("k"), F.col("id").alias("pos"))
+    base = sorted(tuple(r) for r in joins.interval_join(
+        facts, iv, "k", "k", "pos", "vf", "vt", limit=10_000).select("k", "pos", "tag").collect())
+    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 1)
+    every = sorted(tuple(r) for r in joins.interval_join(
+        facts, iv, "k", "k", "pos", "vf", "vt", limit=0).select("k", "pos", "tag").collect())
+    assert base == every and len(base) > 0
