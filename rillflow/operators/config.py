@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions.jsonvar import get_str, keep_where
+from rillflow.operators.joins import sized_broadcast
 
 FIELDS = ("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key")
 STRUCT = "struct<" + ",".join(f"{f}:string" for f in FIELDS) + ">"
@@ -90,36 +91,43 @@ def latest_config(ops: DataFrame) -> DataFrame:
 
 def config_intervals(ops: DataFrame) -> DataFrame:
     """STA-2 as validity intervals: each non-delete op is in force from its
-    ``seq`` (exclusive) until the next op of its source table."""
-    w = Window.partitionBy("source_table").orderBy("seq")
-    return (ops.withColumn("valid_to", F.lead("seq").over(w))
+    ``seq`` (exclusive) until the next op of its source table. The "next op"
+    is found without a window over a whole source table (``next_in_group``)."""
+    from rillflow.operators.ordered import next_in_group
+    return (next_in_group(ops, "source_table", "seq", "valid_to")
             .where(F.col("op") != "d")
             .withColumnRenamed("seq", "valid_from"))
 
 
 def table_lifecycle(decoded: DataFrame, latest: DataFrame | None = None) -> DataFrame:
     """SNK-3: per sink table named by the feed, whether it exists at the end
-    (its last op is not d) and ``reset_seq``, where its current life began.
+    (its last op is not d) and ``reset_seq``, where its current life began
+    (null for a dropped table).
 
     c/r create the table unless it exists (then they do nothing); d drops it;
     u, and any other op, drops and re-creates it empty. A put to a table that
     does not exist fails, so only changes after ``reset_seq`` survive. The
-    window runs over config ops only (a small table).
+    current life begins at the later of the first op after the last d and the
+    last u (or other op): partial aggregations only, no window per table.
 
     With ``latest`` (from ``latest_config``), also ``orphan``: the table exists
     but no source table routes to it any more (a renamed sink, D13).
     """
-    w = Window.partitionBy("sink_table").orderBy("seq")
-    prev = F.lag("op").over(w)
     op = F.col("op")
-    begins = (~op.isin("c", "r", "d") | op.isNull()) | \
-        (op.isin("c", "r") & (prev.isNull() | (prev == "d")))
-    out = (decoded.withColumn("_begins", begins)
-           .groupBy("sink_table")
-           .agg(F.max_by("op", "seq").alias("last_op"),
-                F.max(F.when(F.col("_begins"), F.col("seq"))).alias("reset_seq"))
-           .select("sink_table", F.coalesce(F.col("last_op") != "d", F.lit(True)).alias("live"),
-                   "reset_seq"))
+    resets = ~op.isin("c", "r", "d") | op.isNull()
+    last = (decoded.groupBy("sink_table")
+            .agg(F.max_by("op", "seq").alias("last_op"),
+                 F.max(F.when(op == "d", F.col("seq"))).alias("_last_d"),
+                 F.max(F.when(resets, F.col("seq"))).alias("_last_reset")))
+    # the first op after the last drop (or the first op at all) creates the table
+    after_d = (decoded.join(sized_broadcast(last.select("sink_table", "_last_d")),
+                            "sink_table")
+               .where(F.col("_last_d").isNull() | (F.col("seq") > F.col("_last_d")))
+               .groupBy("sink_table").agg(F.min("seq").alias("_created")))
+    live = F.coalesce(F.col("last_op") != "d", F.lit(True))
+    out = (last.join(after_d, "sink_table", "left")
+           .select("sink_table", live.alias("live"),
+                   F.when(live, F.greatest("_created", "_last_reset")).alias("reset_seq")))
     if latest is None:
         return out
     routed = latest.select("sink_table").distinct().withColumn("_routed", F.lit(True))

@@ -1,0 +1,45 @@
+"""Neighbours in an ordered group without sorting a whole group in one task.
+
+``next_in_group`` adds, for each row, the order value of the next row of its
+key. A plain ``lead`` over ``partitionBy(key)`` puts every row of a key in one
+task; here the order axis is cut into buckets sized from the data, ``lead`` runs
+within (key, bucket), and the last row of each bucket takes the first value of
+the key's next non-empty bucket from a table of bucket summaries (one row per
+bucket, so a key with a third of all rows still has small windows).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from rillflow.operators.joins import MIN_LONG, sized_broadcast
+
+# Rows per bucket aimed at; a key's rows spread over ~n / ROWS_PER_BUCKET buckets.
+ROWS_PER_BUCKET = 50_000
+
+
+def next_in_group(df: DataFrame, key: str, order: str, out: str,
+                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``df`` plus ``out``: the next ``order`` value within ``key`` (null for
+    the last row). ``order`` values must be distinct within a key; the minimum
+    long (a "before everything" marker) is allowed."""
+    finite = F.when(F.col(order) > F.lit(MIN_LONG), F.col(order))
+    st = df.agg(F.count(F.lit(1)).alias("n"), F.min(finite).alias("lo"),
+                F.max(finite).alias("hi")).first()
+    n, lo, hi = st["n"] or 0, st["lo"], st["hi"]
+    if lo is None:
+        lo = hi = 0
+    n_buckets = max(1, n // rows_per_bucket)
+    width = max(1, (hi - lo) // n_buckets + 1)
+    bucket = F.floor((F.greatest(F.col(order), F.lit(lo)) - F.lit(lo)) / F.lit(width)) \
+        .cast("long")
+    b = df.withColumn("_nb", bucket)
+    inner = b.withColumn(out, F.lead(order).over(Window.partitionBy(key, "_nb").orderBy(order)))
+    firsts = (b.groupBy(key, "_nb").agg(F.min(order).alias("_first"))
+              .withColumn("_next_first",
+                          F.lead("_first").over(Window.partitionBy(key).orderBy("_nb")))
+              .select(key, "_nb", "_next_first"))
+    joined = inner.join(sized_broadcast(firsts), [key, "_nb"], "left")
+    return (joined.withColumn(out, F.coalesce(F.col(out), F.col("_next_first")))
+            .drop("_nb", "_next_first"))

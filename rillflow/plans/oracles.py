@@ -219,8 +219,10 @@ iv AS (
 ),
 lc AS (
   SELECT sink_table, arg_max(op, seq) <> 'd' AS live,
-         max(seq) FILTER (WHERE op NOT IN ('c', 'r', 'd')
-                           OR (op IN ('c', 'r') AND (prev IS NULL OR prev = 'd'))) AS reset_seq
+         CASE WHEN arg_max(op, seq) <> 'd' THEN
+           max(seq) FILTER (WHERE op NOT IN ('c', 'r', 'd')
+                             OR (op IN ('c', 'r') AND (prev IS NULL OR prev = 'd'))) END
+           AS reset_seq
   FROM (SELECT *, lag(op) OVER (PARTITION BY sink_table ORDER BY seq) AS prev FROM feed)
   GROUP BY sink_table
 )

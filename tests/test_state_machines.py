@@ -185,3 +185,22 @@ def test_interval_join_buckets_every_key_when_many_are_hot(spark, monkeypatch):
     every = sorted(tuple(r) for r in joins.interval_join(
         facts, iv, "k", "k", "pos", "vf", "vt", limit=0).select("k", "pos", "tag").collect())
     assert base == every and len(base) > 0
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.too_slow,
+                                                                 HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["h", "h", "h", "x", "y"]),
+                          st.integers(-50, 500)), min_size=1, max_size=80, unique_by=lambda t: t))
+def test_next_in_group_equals_lead(spark, rows):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from rillflow.operators.joins import MIN_LONG
+    from rillflow.operators.ordered import next_in_group
+    rows = rows + [("h", MIN_LONG)]
+    df = spark.createDataFrame(rows, "k string, s long")
+    got = sorted(tuple(r) for r in next_in_group(df, "k", "s", "nxt", rows_per_bucket=3)
+                 .select("k", "s", "nxt").collect())
+    exp = sorted(tuple(r) for r in df.withColumn(
+        "nxt", F.lead("s").over(Window.partitionBy("k").orderBy("s"))).collect())
+    assert got == exp
