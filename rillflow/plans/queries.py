@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rillflow.functions import dates, jsonvar
 from rillflow.operators import logs
-from rillflow.session import ensure_json_settings
+from rillflow.session import ensure_json_settings, materialize
 from rillflow.sources import fixtures as fx
 
 # Every date in a query result is rendered in this zone, whatever the session's.
@@ -184,7 +184,15 @@ def preload_config(spark, sf_dir) -> DataFrame:
 
 
 def all_config_ops(spark, sf_dir) -> DataFrame:
-    return cfg.config_ops(decoded_config(spark, sf_dir), preload_config(spark, sf_dir))
+    """Feed + preload, written once to the shared checkpoint folder: the size
+    checks, stats jobs and joins below all read it."""
+    ops = cfg.config_ops(decoded_config(spark, sf_dir), preload_config(spark, sf_dir))
+    return materialize(ops, "config_ops")
+
+
+def feed_ops(ops: DataFrame) -> DataFrame:
+    """The decoded feed within ``all_config_ops`` (the preload sits at MIN_SEQ)."""
+    return ops.where(F.col("seq") > F.lit(cfg.MIN_SEQ))
 
 
 @register("config_decode")
@@ -210,12 +218,13 @@ def config_intervals(spark, sf_dir):
 
 @register("table_lifecycle")
 def table_lifecycle(spark, sf_dir):
-    latest = cfg.latest_config(all_config_ops(spark, sf_dir))
-    return cfg.table_lifecycle(decoded_config(spark, sf_dir), latest)
+    ops = all_config_ops(spark, sf_dir)
+    return cfg.table_lifecycle(feed_ops(ops), cfg.latest_config(ops))
 
 
-def routed_changes(spark, sf_dir) -> DataFrame:
-    intervals = cfg.config_intervals(all_config_ops(spark, sf_dir))
+def routed_changes(spark, sf_dir, ops: DataFrame | None = None) -> DataFrame:
+    ops = all_config_ops(spark, sf_dir) if ops is None else ops
+    intervals = materialize(cfg.config_intervals(ops), "config_intervals")
     return dims.route_changes(clean_change_rows(spark, sf_dir), intervals)
 
 
@@ -230,8 +239,8 @@ def column_prune(spark, sf_dir):
     return df.select("seq", F.array_join(F.array_sort(F.map_keys("data")), ",").alias("keys"))
 
 
-def keyed_changes(spark, sf_dir) -> DataFrame:
-    return dims.with_row_key(dims.prune_columns(routed_changes(spark, sf_dir)))
+def keyed_changes(spark, sf_dir, ops: DataFrame | None = None) -> DataFrame:
+    return dims.with_row_key(dims.prune_columns(routed_changes(spark, sf_dir, ops)))
 
 
 @register("row_key")
@@ -241,8 +250,9 @@ def row_key(spark, sf_dir):
 
 @register("dim_snapshot")
 def dim_snapshot(spark, sf_dir):
-    lifecycle = cfg.table_lifecycle(decoded_config(spark, sf_dir))
-    live = dims.apply_lifecycle(keyed_changes(spark, sf_dir), lifecycle)
+    ops = all_config_ops(spark, sf_dir)
+    lifecycle = cfg.table_lifecycle(feed_ops(ops))
+    live = dims.apply_lifecycle(keyed_changes(spark, sf_dir, ops), lifecycle)
     return dims.dim_snapshot(live)
 
 

@@ -60,3 +60,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # a Connect session has no SparkContext; streams need only the path
         pass
     return path
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a parquet table under the shared checkpoint folder
+    and read it back: later uses (size checks, stats, joins) read the files
+    instead of recomputing the lineage, and the data survives executor loss."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
