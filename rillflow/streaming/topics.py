@@ -19,20 +19,23 @@ TOPIC_SCHEMA = "seq bigint, value string"
 
 def read_topic(spark: SparkSession, topic: str | None = None, *,
                bootstrap_servers: str | None = None, path: str | None = None,
-               starting: str = "latest", file_format: str = "parquet",
-               max_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
+               starting: str = "latest", group_id: str | None = None,
+               file_format: str = "parquet", max_per_trigger: int | None = None,
+               options: dict | None = None) -> DataFrame:
     """A topic as a stream of ``(seq, value)``; ``value`` is UTF-8 text (null
     for a null message).
 
     Kafka: ``starting`` is the offset to begin from when no checkpoint exists
-    (the reference always starts at the latest offset); ``seq`` combines the
-    partition and the offset. Files: every file in ``path`` is read once, in
+    (the reference always starts at the latest offset); ``group_id`` names the
+    consumer group; ``seq`` combines the partition and the offset. Files: every file in ``path`` is read once, in
     arrival order, ``max_per_trigger`` files per micro-batch.
     """
     if bootstrap_servers:
         reader = (spark.readStream.format("kafka")
                   .option("kafka.bootstrap.servers", bootstrap_servers)
                   .option("subscribe", topic).option("startingOffsets", starting))
+        if group_id:
+            reader = reader.option("kafka.group.id", group_id)
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
         for k, v in (options or {}).items():
