@@ -145,3 +145,17 @@ def test_sql_job_on_a_stream(spark, scratch):
     assert q.exception() is None
     got = sorted(map(tuple, spark.read.parquet(out).collect()))
     assert got == sorted(map(tuple, Q.comment_info(spark, SF).collect()))
+
+
+def test_dirty_logs_on_a_stream(spark, scratch):
+    """FIL-4 is row-level: the quarantine runs unchanged on a stream."""
+    raw = Q.log_topic(spark, SF)
+    src, out = os.path.join(scratch, "t"), os.path.join(scratch, "dirty")
+    _write_in_batches(raw, src, [0, 500, 10**9])
+    q = run_stream(topics.read_topic(spark, path=src), logs.dirty_logs,
+                   lambda df: df.writeStream.format("parquet").option("path", out),
+                   name="dirty", checkpoint=os.path.join(scratch, "ck"), available_now=True)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = sorted(map(tuple, spark.read.parquet(out).collect()))
+    assert got == sorted(map(tuple, logs.dirty_logs(raw).collect())) and got
