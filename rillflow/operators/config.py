@@ -68,10 +68,34 @@ def decode_config(raw: DataFrame, value: str = "value") -> DataFrame:
     return keep_where(decoded, "_ok")
 
 
+def _families() -> F.Column:
+    """Family names of ``sink_family``: comma split, trailing empty names
+    dropped (like the reference's string split)."""
+    return F.split(F.regexp_replace(F.col("sink_family"), ",+$", ""), ",")
+
+
+def family_creates() -> F.Column:
+    """Table creation succeeds: at least one family and no empty name."""
+    fams = _families()
+    return (F.col("sink_family").isNotNull() & (F.col("sink_family") != "")
+            & (F.size(F.filter(fams, lambda f: f == "")) == 0)
+            & (F.regexp_replace(F.col("sink_family"), ",", "") != ""))
+
+
+def family_fails() -> F.Column:
+    """Creation raises (missing family or an empty family name): the op is
+    then lost for routing too. A list with no family at all (only commas) does
+    not raise: nothing is created but the op still applies."""
+    no_family = F.regexp_replace(F.col("sink_family"), ",", "") == ""
+    return F.col("sink_family").isNull() | (~no_family & ~family_creates()) \
+        | (F.col("sink_family") == "")
+
+
 def config_ops(decoded: DataFrame, preload: DataFrame | None = None) -> DataFrame:
     """JOI-2: the feed plus the preloaded table (op r, before every feed op).
     ``preload`` may use snake_case or lowerCamel column names."""
-    ops = decoded.select("seq", "op", *FIELDS)
+    ops = decoded.select("seq", "op", *FIELDS) \
+        .where((F.col("op") == "d") | ~family_fails())
     if preload is not None:
         p = preload.toDF(*[to_snake(c) for c in preload.columns])
         ops = p.select(F.lit(MIN_SEQ).alias("seq"), F.lit("r").alias("op"), *FIELDS) \
@@ -113,8 +137,15 @@ def table_lifecycle(decoded: DataFrame, latest: DataFrame | None = None) -> Data
     With ``latest`` (from ``latest_config``), also ``orphan``: the table exists
     but no source table routes to it any more (a renamed sink, D13).
     """
+    # an op whose table creation does not happen: c/r do nothing, any other
+    # op has already dropped the table, so it acts as d
+    creates = family_creates()
+    eff = (F.when(F.col("op") == "d", F.lit("d"))
+           .when(F.col("op").isin("c", "r"), F.when(creates, F.col("op")))
+           .otherwise(F.when(creates, F.coalesce(F.col("op"), F.lit("u"))).otherwise(F.lit("d"))))
+    decoded = decoded.withColumn("op", eff).where(F.col("op").isNotNull())
     op = F.col("op")
-    resets = ~op.isin("c", "r", "d") | op.isNull()
+    resets = ~op.isin("c", "r", "d")
     last = (decoded.groupBy("sink_table")
             .agg(F.max_by("op", "seq").alias("last_op"),
                  F.max(F.when(op == "d", F.col("seq"))).alias("_last_d"),

@@ -50,12 +50,17 @@ def bad_row_keys(keyed: DataFrame) -> DataFrame:
     return keyed.where(F.col("row_key").isNull())
 
 
-def apply_lifecycle(keyed: DataFrame, lifecycle: DataFrame, limit: int | None = None) -> DataFrame:
-    """SNK-3: keep changes to live sink tables made after the table's reset."""
+def apply_lifecycle(keyed: DataFrame, lifecycle: DataFrame, limit: int | None = None,
+                    resets: bool = True) -> DataFrame:
+    """SNK-3: keep changes to live sink tables made after the table's reset.
+
+    ``resets=False`` switches the drop-and-recreate data loss off (D11): every
+    change to a live table is kept."""
     lc = sized_broadcast(lifecycle.where("live").select("sink_table", "reset_seq"), limit)
-    return (keyed.join(lc, "sink_table")
-            .where(F.col("seq") > F.coalesce(F.col("reset_seq"), F.lit(MIN_LONG)))
-            .drop("reset_seq"))
+    out = keyed.join(lc, "sink_table")
+    if resets:
+        out = out.where(F.col("seq") > F.coalesce(F.col("reset_seq"), F.lit(MIN_LONG)))
+    return out.drop("reset_seq")
 
 
 def dim_snapshot(keyed: DataFrame) -> DataFrame:

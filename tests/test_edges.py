@@ -144,3 +144,40 @@ def test_config_table_from_files_renamed_to_camel(spark, scratch):
     df = cfg.read_config_table(spark, path=path)
     assert df.columns == ["sourceTable", "sinkTable", "sinkColumns", "sinkFamily", "sinkRowKey"]
     assert cfg.to_camel("a_a") == "aA" and cfg.to_camel("a_aaaa_aa") == "aAaaaAa"
+
+
+def _ops(spark, rows):
+    raw = spark.createDataFrame(
+        [(seq, json.dumps({"op": op, "before": cfgd if op == "d" else None,
+                           "after": None if op == "d" else cfgd}))
+         for seq, op, cfgd in rows], "seq long, value string")
+    return cfg.decode_config(raw)
+
+
+def _c(fam, sink="dim_t", src="t"):
+    return {"source_table": src, "sink_table": sink, "sink_columns": "id",
+            "sink_family": fam, "sink_row_key": "id"}
+
+
+def test_table_needs_a_family(spark):
+    lc = {r["sink_table"]: (r["live"], r["reset_seq"]) for r in cfg.table_lifecycle(_ops(spark, [
+        (1, "c", _c("info", "a")), (2, "u", _c("", "a")),        # u drops, create fails
+        (3, "c", _c(None, "b")),                                   # never created
+        (4, "c", _c("info", "c")), (5, "r", _c(",", "c")),        # no-op on existing
+        (6, "c", _c("x,,y", "d")), (7, "c", _c("x,y,", "d")),     # 7 creates
+    ])).collect()}
+    assert lc["a"][0] is False
+    assert "b" not in lc or lc["b"][0] is False
+    assert lc["c"] == (True, 4)
+    assert lc["d"] == (True, 7)
+    ops = cfg.config_ops(_ops(spark, [(1, "c", _c("info")), (2, "u", _c(None)),
+                                      (3, "u", _c(","))]))
+    # the op whose creation raises never reaches routing; the empty list does
+    assert sorted(r["seq"] for r in ops.collect()) == [1, 3]
+
+
+def test_resets_switchable_off(spark):
+    keyed = spark.createDataFrame([(5, "dim_t", "k")], "seq long, sink_table string, row_key string")
+    lc = spark.createDataFrame([("dim_t", True, 9)], "sink_table string, live boolean, reset_seq long")
+    assert dims.apply_lifecycle(keyed, lc).count() == 0
+    assert dims.apply_lifecycle(keyed, lc, resets=False).count() == 1
