@@ -159,3 +159,32 @@ def test_dirty_logs_on_a_stream(spark, scratch):
     assert q.exception() is None
     got = sorted(map(tuple, spark.read.parquet(out).collect()))
     assert got == sorted(map(tuple, logs.dirty_logs(raw).collect())) and got
+
+
+def test_dim_batch_retry_is_idempotent(spark, scratch):
+    orders = fx.read_table(spark, SF, "orders")
+    ops, log, bad = (os.path.join(scratch, d) for d in ("ops", "log", "bad"))
+    config_ops_stream(fx.config_raw(spark, orders)).write.parquet(ops)
+    batch = Q.change_topic(spark, SF).where("seq < 1000000")
+    writer = DimBatchWriter(ops, log, bad, fx.SHOP_DB)
+    writer(batch, 7)
+    n = spark.read.parquet(log).count()
+    writer(batch, 7)  # the same micro-batch again, as after a failure
+    assert spark.read.parquet(log).count() == n > 0
+
+
+def test_dictionary_refresh_interval(spark, scratch):
+    loads = []
+
+    def load(s):
+        loads.append(1)
+        return Q.dictionary(s, SF)
+
+    w = CommentBatchWriter(load, os.path.join(scratch, "o"), fx.SHOP_DB, refresh_seconds=3600)
+    batch = Q.comment_topic(spark, SF).limit(20)
+    w(batch, 0)
+    w(batch, 1)
+    assert len(loads) == 1  # within the interval the loaded dictionary is reused
+    w.refresh_seconds = 0
+    w(batch, 2)
+    assert len(loads) == 2
