@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillflow.operators.joins import MIN_LONG, sized_broadcast
+from rillflow.operators.joins import MIN_LONG, broadcast_row_limit, sized_broadcast
 
 # Rows per bucket aimed at; a key's rows spread over ~n / ROWS_PER_BUCKET buckets.
 ROWS_PER_BUCKET = 50_000
@@ -40,6 +40,9 @@ def next_in_group(df: DataFrame, key: str, order: str, out: str,
               .withColumn("_next_first",
                           F.lead("_first").over(Window.partitionBy(key).orderBy("_nb")))
               .select(key, "_nb", "_next_first"))
-    joined = inner.join(sized_broadcast(firsts), [key, "_nb"], "left")
+    # the summaries have at most n rows: a proven bound, no count needed
+    small = 0 < n <= broadcast_row_limit(df)
+    joined = inner.join(F.broadcast(firsts) if small else sized_broadcast(firsts),
+                        [key, "_nb"], "left")
     return (joined.withColumn(out, F.coalesce(F.col(out), F.col("_next_first")))
             .drop("_nb", "_next_first"))
