@@ -36,9 +36,9 @@ class CommentBatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         rows = cmt.comment_project(cmt.comment_filter(chg.parse_changes(batch, proc_time=True),
                                                       self.database))
         out = cmt.lookup_dictionary(rows, self.dictionary(spark))
         (out.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").partitionBy("batch_id").parquet(self.out_path))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(self.out_path))

@@ -49,16 +49,17 @@ class DimBatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         changes = chg.clean_changes(chg.parse_changes(batch), self.database)
         keyed = dims.with_row_key(dims.prune_columns(dims.route_latest(changes,
                                                                       self.latest(spark))))
         keyed = keyed.withColumn("batch_id", F.lit(batch_id).cast("long"))
         cols = ["seq", "ts", "table", "type", "data", "sink_table", "row_key", "op", "batch_id"]
         (keyed.where(F.col("row_key").isNotNull()).select(*cols)
-         .write.mode("overwrite").partitionBy("batch_id").parquet(self.changelog_path))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(self.changelog_path))
         (dims.bad_row_keys(keyed).select(*cols)
-         .write.mode("overwrite").partitionBy("batch_id").parquet(self.quarantine_path))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(self.quarantine_path))
 
 
 def compact_snapshot(spark: SparkSession, changelog_path: str, ops_path: str) -> DataFrame:
