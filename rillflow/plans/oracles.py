@@ -288,6 +288,14 @@ WITH {_CHANGES}, {_CONFIG}, {_ROUTED}
 SELECT seq, tbl AS "table", sink_table FROM routed
 """
 
+ORACLES["config_route_latest"] = f"""
+WITH {_CHANGES}, {_CONFIG},
+last AS (SELECT *, row_number() OVER (PARTITION BY source_table ORDER BY seq DESC) AS rn
+         FROM ops)
+SELECT c.seq, c.tbl AS "table", last.sink_table
+FROM clean c JOIN last ON c.tbl = last.source_table AND last.rn = 1 AND last.op <> 'd'
+"""
+
 ORACLES["column_prune"] = f"""
 WITH {_CHANGES}, {_CONFIG}, {_ROUTED}
 SELECT seq, array_to_string(list_sort(list_intersect(string_split(keys, ','),

@@ -233,6 +233,15 @@ def config_route(spark, sf_dir):
     return routed_changes(spark, sf_dir).select("seq", "table", "sink_table")
 
 
+@register("config_route_latest")
+def config_route_latest(spark, sf_dir):
+    """The per-micro-batch form of routing (STA-3): an equi-join to the latest
+    config per source table, as a batch over the whole change topic."""
+    latest = cfg.latest_config(all_config_ops(spark, sf_dir))
+    return dims.route_latest(clean_change_rows(spark, sf_dir), latest) \
+        .select("seq", "table", "sink_table")
+
+
 @register("column_prune")
 def column_prune(spark, sf_dir):
     df = dims.prune_columns(routed_changes(spark, sf_dir))
