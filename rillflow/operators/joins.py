@@ -53,7 +53,7 @@ HOT_VERSIONS = 16
 MAX_BUCKETS = 4096
 # Hot keys are sent to the driver (to mark the facts' buckets) up to this many;
 # beyond it every key is bucketed instead.
-MAX_HOT_KEYS = 100_000
+MAX_HOT_KEYS = 10_000
 
 
 def interval_join(facts: DataFrame, intervals: DataFrame, fact_key: str, int_key: str,
