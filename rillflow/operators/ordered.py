@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from rillflow.operators.joins import MIN_LONG, broadcast_row_limit, sized_broadcast
 
-# Rows per bucket aimed at; a key's rows spread over ~n / ROWS_PER_BUCKET buckets.
-ROWS_PER_BUCKET = 50_000
+# Rows per bucket aimed at; a key's rows spread over ~n / ROWS_PER_BUCKET buckets,
+# so no window partition holds more than about this many rows.
+ROWS_PER_BUCKET = 1_000_000
 
 
 def next_in_group(df: DataFrame, key: str, order: str, out: str,
@@ -31,6 +32,9 @@ def next_in_group(df: DataFrame, key: str, order: str, out: str,
     if lo is None:
         lo = hi = 0
     n_buckets = max(1, n // rows_per_bucket)
+    if n_buckets == 1:
+        # the whole input is within one bucket's bound: one plain window
+        return df.withColumn(out, F.lead(order).over(Window.partitionBy(key).orderBy(order)))
     width = max(1, (hi - lo) // n_buckets + 1)
     bucket = F.floor((F.greatest(F.col(order), F.lit(lo)) - F.lit(lo)) / F.lit(width)) \
         .cast("long")

@@ -224,7 +224,7 @@ def table_lifecycle(spark, sf_dir):
 
 def routed_changes(spark, sf_dir, ops: DataFrame | None = None) -> DataFrame:
     ops = all_config_ops(spark, sf_dir) if ops is None else ops
-    intervals = materialize(cfg.config_intervals(ops), "config_intervals")
+    intervals = cfg.config_intervals(ops)
     return dims.route_changes(clean_change_rows(spark, sf_dir), intervals)
 
 
