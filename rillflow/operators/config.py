@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.functions.jsonvar import get_str, keep_where
@@ -57,24 +57,25 @@ def read_config_table(spark: SparkSession, path: str | None = None, url: str | N
 def decode_config(raw: DataFrame, value: str = "value") -> DataFrame:
     """PRJ-8: envelope -> ``seq, op`` + the config fields: ``before`` for op d,
     ``after`` for every other op. Rows without a decodable image are dropped."""
-    v = F.try_parse_json(value)
+    cols = [c for c in raw.columns if c != value]
+    parsed = raw.select(*cols, F.try_parse_json(value).alias("_v"))
+    v = F.col("_v")
     op = get_str(v, "$.op")
     image = F.when(op == "d", F.try_variant_get(v, "$.before", STRUCT)) \
         .otherwise(F.try_variant_get(v, "$.after", STRUCT))
-    cols = [c for c in raw.columns if c != value]
-    decoded = raw.select(*cols, op.alias("op"), image.alias("_cfg"))
+    decoded = parsed.select(*cols, op.alias("op"), image.alias("_cfg"))
     decoded = decoded.select(*cols, "op", *[F.col("_cfg")[f].alias(f) for f in FIELDS],
                              F.col("_cfg").isNotNull().alias("_ok"))
     return keep_where(decoded, "_ok")
 
 
-def _families() -> F.Column:
+def _families() -> Column:
     """Family names of ``sink_family``: comma split, trailing empty names
     dropped (like the reference's string split)."""
     return F.split(F.regexp_replace(F.col("sink_family"), ",+$", ""), ",")
 
 
-def family_creates() -> F.Column:
+def family_creates() -> Column:
     """Table creation succeeds: at least one family and no empty name."""
     fams = _families()
     return (F.col("sink_family").isNotNull() & (F.col("sink_family") != "")
@@ -82,7 +83,7 @@ def family_creates() -> F.Column:
             & (F.regexp_replace(F.col("sink_family"), ",", "") != ""))
 
 
-def family_fails() -> F.Column:
+def family_fails() -> Column:
     """Creation raises (missing family or an empty family name): the op is
     then lost for routing too. A list with no family at all (only commas) does
     not raise: nothing is created but the op still applies."""
