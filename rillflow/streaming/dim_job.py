@@ -10,9 +10,10 @@
 * ``compact_snapshot``: the dimension tables from the change log (STA-4) with
   the lifecycle of the config ops (SNK-3): a batch job run as often as needed.
 
-Within a micro-batch every change meets the config in force at the batch start
-(the reference applies config changes per record; the batch job
-``rillflow.operators.dims.route_changes`` does too).
+By default every change of a micro-batch meets the config in force at the
+batch start; with ``as_of=True`` (config ops and changes on one position axis)
+each change meets the config in force at its own position, per record, as the
+reference and the batch job ``rillflow.operators.dims.route_changes`` do.
 """
 
 from __future__ import annotations
@@ -34,24 +35,34 @@ class DimBatchWriter:
     """``foreachBatch`` handler routing one micro-batch of changes."""
 
     def __init__(self, ops_path: str, changelog_path: str, quarantine_path: str,
-                 database: str, preload: DataFrame | None = None):
+                 database: str, preload: DataFrame | None = None, as_of: bool = False):
+        """``as_of``: config ops and changes share the ``seq`` axis, so each change
+        meets the config in force at its own position (per-record semantics);
+        otherwise every change of the batch meets the latest config."""
         self.ops_path = ops_path
         self.changelog_path = changelog_path
         self.quarantine_path = quarantine_path
         self.database = database
         self.preload = preload
+        self.as_of = as_of
 
-    def latest(self, spark: SparkSession) -> DataFrame:
+    def ops(self, spark: SparkSession) -> DataFrame:
         ops = spark.read.schema(
             "seq bigint, op string, " + ", ".join(f"{f} string" for f in cfg.FIELDS)
         ).parquet(self.ops_path)
-        return cfg.latest_config(cfg.config_ops(ops, self.preload))
+        return cfg.config_ops(ops, self.preload)
+
+    def latest(self, spark: SparkSession) -> DataFrame:
+        return cfg.latest_config(self.ops(spark))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         changes = chg.clean_changes(chg.parse_changes(batch), self.database)
-        keyed = dims.with_row_key(dims.prune_columns(dims.route_latest(changes,
-                                                                      self.latest(spark))))
+        if self.as_of:
+            routed = dims.route_changes(changes, cfg.config_intervals(self.ops(spark)))
+        else:
+            routed = dims.route_latest(changes, self.latest(spark))
+        keyed = dims.with_row_key(dims.prune_columns(routed))
         keyed = keyed.withColumn("batch_id", F.lit(batch_id).cast("long"))
         cols = ["seq", "ts", "table", "type", "data", "sink_table", "row_key", "op", "batch_id"]
         (keyed.where(F.col("row_key").isNotNull()).select(*cols)

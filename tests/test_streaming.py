@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from rillflow.constants import CHANNEL_TOPICS
@@ -60,7 +62,8 @@ def test_log_stream_equals_batch_and_restarts(spark, scratch):
     assert _channels(spark.read.json(out).collect()) == expected(10**9)
 
 
-def test_dim_stream_equals_batch_snapshot(spark, scratch):
+@pytest.mark.parametrize("as_of", [False, True])
+def test_dim_stream_equals_batch_snapshot(spark, scratch, as_of):
     orders = fx.read_table(spark, SF, "orders")
     cfg_src, chg_src, ops, log, bad = (os.path.join(scratch, d) for d in
                                        ("topic_cfg", "topic_db", "ops", "changelog", "bad"))
@@ -73,7 +76,7 @@ def test_dim_stream_equals_batch_snapshot(spark, scratch):
                    available_now=True)
     q.awaitTermination(300)
     writer = DimBatchWriter(ops, log, bad, fx.SHOP_DB,
-                            preload=fx.config_table(spark, orders))
+                            preload=fx.config_table(spark, orders), as_of=as_of)
     q = run_stream(topics.read_topic(spark, path=chg_src, max_per_trigger=1), None,
                    lambda df: df.writeStream.foreachBatch(writer),
                    name="dim_job", checkpoint=os.path.join(scratch, "ck2"), available_now=True)
@@ -188,3 +191,38 @@ def test_dictionary_refresh_interval(spark, scratch):
     w.refresh_seconds = 0
     w(batch, 2)
     assert len(loads) == 2
+
+
+def test_dim_batch_as_of_applies_config_per_record(spark, scratch):
+    from rillflow.operators import changes as chg
+    from rillflow.operators import config as cfg
+    from rillflow.operators import dims
+
+    def env(op, cols):
+        c = {"source_table": "t", "sink_table": "dim_t", "sink_columns": cols,
+             "sink_family": "info", "sink_row_key": "id"}
+        return json.dumps({"op": op, "before": None, "after": c})
+
+    def change(rid):
+        return json.dumps({"database": "shop", "table": "t", "type": "insert",
+                           "data": {"id": rid, "a": "x", "b": "y"}})
+
+    schema = "seq long, value string"
+    cfg_raw = spark.createDataFrame([(1, env("c", "id,a")), (50, env("r", "id,b"))], schema)
+    chg_raw = spark.createDataFrame([(10, change("1")), (60, change("2"))], schema)
+    ops = os.path.join(scratch, "ops")
+    config_ops_stream(cfg_raw).write.parquet(ops)
+
+    decoded = cfg.decode_config(cfg_raw)
+    keyed = dims.with_row_key(dims.prune_columns(dims.route_changes(
+        chg.clean_changes(chg.parse_changes(chg_raw), "shop"),
+        cfg.config_intervals(cfg.config_ops(decoded)))))
+    batch = {tuple(r) for r in dims.dim_snapshot(
+        dims.apply_lifecycle(keyed, cfg.table_lifecycle(decoded))).collect()}
+    assert ("dim_t", "1", "a", "x") in batch and ("dim_t", "2", "b", "y") in batch
+
+    for as_of in (True, False):
+        log, bad = os.path.join(scratch, f"log{as_of}"), os.path.join(scratch, f"bad{as_of}")
+        DimBatchWriter(ops, log, bad, "shop", as_of=as_of)(chg_raw, 0)
+        got = {tuple(r) for r in compact_snapshot(spark, log, ops).collect()}
+        assert (got == batch) == as_of
