@@ -53,9 +53,17 @@ class NewVisitorProcessor(StatefulProcessor):
         pass
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def repair_stream(clean: DataFrame, zone: str = "UTC") -> DataFrame:
     """Clean log stream (with its text in ``value``) -> the same rows plus
-    ``fixed_is_new``. Late rows are never dropped: no event-time mode."""
+    ``fixed_is_new``. Late rows are never dropped: no event-time mode. The
+    state API needs the RocksDB state store, set here unless already chosen."""
+    spark = clean.sparkSession
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in (spark.conf.get(key, "") or ""):
+        spark.conf.set(key, ROCKSDB)
     return (clean.select(*INPUT_COLS).groupBy("mid")
             .transformWithStateInPandas(NewVisitorProcessor(zone), OUTPUT_SCHEMA,
                                         "Append", "None"))
