@@ -84,7 +84,7 @@ def visitor_fix(spark, sf_dir):
 
 
 def _channel(spark, sf_dir, channel: str) -> DataFrame:
-    out = logs.split_log(repaired_logs(spark, sf_dir), [channel])
+    out = logs.log_channels(log_topic(spark, sf_dir), ZONE, [channel])
     return out.withColumn("v", jsonvar.parse_object("value"))
 
 
