@@ -226,3 +226,40 @@ def test_dim_batch_as_of_applies_config_per_record(spark, scratch):
         DimBatchWriter(ops, log, bad, "shop", as_of=as_of)(chg_raw, 0)
         got = {tuple(r) for r in compact_snapshot(spark, log, ops).collect()}
         assert (got == batch) == as_of
+
+
+def test_job_programs(spark, scratch):
+    from rillflow import jobs
+    raw = Q.log_topic(spark, SF)
+    src, out = os.path.join(scratch, "logs"), os.path.join(scratch, "channels")
+    _write_in_batches(raw, src, [0, 10**9])
+    q = jobs.main(["log", "--source", src, "--sink", out, "--available-now", "--zone", "UTC",
+                   "--checkpoint", os.path.join(scratch, "ck")], spark)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert spark.read.json(out).count() == logs.log_channels(raw, "UTC").count()
+
+    orders = fx.read_table(spark, SF, "orders")
+    cfg_src, chg_src = os.path.join(scratch, "cfg"), os.path.join(scratch, "db")
+    topics.write_topic_files(fx.config_raw(spark, orders), cfg_src, parts=1)
+    topics.write_topic_files(Q.change_topic(spark, SF), chg_src, parts=2)
+    pre = os.path.join(scratch, "preload")
+    fx.config_table(spark, orders).write.parquet(pre)
+    snap = os.path.join(scratch, "snap")
+    q = jobs.main(["dim", "--source", chg_src, "--config-source", cfg_src,
+                   "--ops-path", os.path.join(scratch, "ops"), "--preload", pre,
+                   "--sink", os.path.join(scratch, "changelog"), "--snapshot", snap,
+                   "--available-now", "--checkpoint", os.path.join(scratch, "ck2")], spark)
+    assert q.exception() is None
+    assert sorted(map(tuple, spark.read.parquet(snap).collect())) == \
+        sorted(map(tuple, Q.dim_snapshot(spark, SF).collect()))
+
+    dic = os.path.join(scratch, "dic")
+    Q.dictionary(spark, SF).write.parquet(dic)
+    csrc = os.path.join(scratch, "comments")
+    topics.write_topic_files(Q.db_topic(spark, SF), csrc, parts=2)
+    cout = os.path.join(scratch, "cout")
+    q = jobs.main(["comment", "--source", csrc, "--dictionary", dic, "--sink", cout,
+                   "--available-now", "--checkpoint", os.path.join(scratch, "ck3")], spark)
+    q.awaitTermination(300)
+    assert spark.read.parquet(cout).count() == Q.comment_info(spark, SF).count()
