@@ -14,7 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.functions import dates, jsonvar
-from rillflow.operators import logs
+from rillflow.operators import changes as chg
+from rillflow.operators import comments as cmt
+from rillflow.operators import config as cfg
+from rillflow.operators import dims, logs
+from rillflow.operators.joins import fits_broadcast
 from rillflow.session import ensure_json_settings, materialize
 from rillflow.sources import fixtures as fx
 
@@ -147,11 +151,6 @@ def split_router(spark, sf_dir):
 
 
 # --------------------------------------------------------------------- changes
-from rillflow.operators import changes as chg  # noqa: E402
-from rillflow.operators import comments as cmt  # noqa: E402
-from rillflow.operators import config as cfg  # noqa: E402
-from rillflow.operators import dims  # noqa: E402
-from rillflow.operators.joins import fits_broadcast  # noqa: E402
 
 
 def change_topic(spark, sf_dir) -> DataFrame:
