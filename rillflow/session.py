@@ -71,3 +71,25 @@ def materialize(df, name: str):
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def size_for_input(spark: SparkSession, input_bytes: int,
+                   partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle and scan sizing for a batch over ``input_bytes`` of input.
+
+    The biggest shuffle (the log job's exchange by device) moves about the
+    input's volume, so it gets ``input_bytes / partition_bytes`` partitions
+    (at least 200); AQE then coalesces small ones and splits skewed ones
+    around the same advisory size. Scans split at the same size. Returns the
+    settings it applied.
+    """
+    settings = {
+        "spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // partition_bytes))),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    return settings

@@ -181,3 +181,16 @@ def test_resets_switchable_off(spark):
     lc = spark.createDataFrame([("dim_t", True, 9)], "sink_table string, live boolean, reset_seq long")
     assert dims.apply_lifecycle(keyed, lc).count() == 0
     assert dims.apply_lifecycle(keyed, lc, resets=False).count() == 1
+
+
+def test_size_for_input(spark):
+    from rillflow.session import size_for_input
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        s = size_for_input(spark, 100 << 40)  # 100 TB
+        assert int(s["spark.sql.shuffle.partitions"]) == 409600
+        assert int(size_for_input(spark, 1 << 30)["spark.sql.shuffle.partitions"]) == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
