@@ -1,7 +1,7 @@
 """Join strategies with a checked size.
 
-``sized_broadcast`` broadcasts a side only when its row count is under a bound
-derived from ``spark.sql.autoBroadcastJoinThreshold``. ``interval_join`` is the
+``sized_broadcast`` broadcasts a side only when its measured size (rows and
+value bytes) is under ``spark.sql.autoBroadcastJoinThreshold``. ``interval_join`` is the
 as-of join of facts to validity intervals: broadcast when the intervals are
 small, else a bucketed range join whose candidate pairs are bounded.
 """
@@ -10,17 +10,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Conservative bytes per broadcast row (config and dictionary rows are a few
-# short strings); the bound is threshold / this.
-EST_ROW_BYTES = 256
+# Per-row overhead added to the measured bytes of a broadcast side (row header,
+# fixed-width fields, hash-table entry).
+ROW_OVERHEAD = 64
 MAX_LONG = (1 << 63) - 1
 MIN_LONG = -(1 << 63)
 
 
-def broadcast_row_limit(df: DataFrame) -> int:
-    spark = df.sparkSession
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+def broadcast_threshold(df: DataFrame) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (0 when disabled)."""
+    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     raw = raw.strip().lower()
     mult = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
             "g": 1 << 30, "gb": 1 << 30}
@@ -30,15 +31,43 @@ def broadcast_row_limit(df: DataFrame) -> int:
         threshold = int(float(num) * mult.get(unit, 1))
     except ValueError:
         threshold = 10 << 20
-    return max(threshold, 0) // EST_ROW_BYTES
+    return max(threshold, 0)
+
+
+def broadcast_row_limit(df: DataFrame) -> int:
+    """Most rows a broadcast side may have (threshold / per-row overhead)."""
+    return broadcast_threshold(df) // ROW_OVERHEAD
+
+
+def row_bytes(dtype: T.DataType, col: Column) -> Column:
+    """Bytes of a value: strings and binaries by length, structs, arrays and
+    maps by their parts, everything else 8."""
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(col), F.lit(0))
+    if isinstance(dtype, T.StructType):
+        parts = [row_bytes(f.dataType, col[f.name]) for f in dtype.fields]
+        return sum(parts[1:], parts[0]) if parts else F.lit(0)
+    if isinstance(dtype, (T.ArrayType, T.MapType)):
+        return F.coalesce(F.octet_length(F.to_json(col)), F.lit(0))
+    return F.lit(8)
+
+
+def side_bytes(df: DataFrame) -> Column:
+    """Per-row measured size of ``df``'s rows."""
+    return row_bytes(df.schema, F.struct(*[F.col(c) for c in df.columns])) + F.lit(ROW_OVERHEAD)
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """Count the side (a small derived table) and compare with the bound."""
+    """Measure the side (a small derived table): its row count and the summed
+    size of its values, read over at most ``limit + 1`` rows, against the
+    broadcast threshold."""
+    threshold = broadcast_threshold(df)
     limit = broadcast_row_limit(df) if limit is None else limit
-    if limit <= 0:
+    if limit <= 0 or threshold <= 0:
         return False
-    return df.limit(limit + 1).count() <= limit
+    head = df.limit(limit + 1)
+    st = head.agg(F.count(F.lit(1)).alias("n"), F.sum(side_bytes(head)).alias("b")).first()
+    return st["n"] <= limit and (st["b"] or 0) <= threshold
 
 
 def sized_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
@@ -74,11 +103,14 @@ def interval_join(facts: DataFrame, intervals: DataFrame, fact_key: str, int_key
     min_long, max_long = F.lit(MIN_LONG), F.lit(MAX_LONG)
     per_key = intervals.groupBy(int_key).agg(
         F.count(F.lit(1)).alias("_versions"),
+        F.sum(side_bytes(intervals)).alias("_bytes"),
+        F.max(side_bytes(intervals)).alias("_max_bytes"),
         F.min(F.when(F.col(valid_from) > min_long, F.col(valid_from))).alias("_lo"),
         F.max(F.col(valid_from)).alias("_hi"))
     hot_cond = F.col("_versions") > HOT_VERSIONS
     stats = per_key.agg(
         F.sum("_versions").alias("n"),
+        F.sum("_bytes").alias("bytes"), F.max("_max_bytes").alias("max_bytes"),
         F.count(F.lit(1)).alias("n_keys"),
         F.sum(hot_cond.cast("long")).alias("n_hot"),
         # at most MAX_HOT_KEYS + 1 keys travel to the driver
@@ -116,13 +148,15 @@ def interval_join(facts: DataFrame, intervals: DataFrame, fact_key: str, int_key
         f = facts.withColumn("_b", F.when(fact_hot, bucket(F.col(pos)))
                              .otherwise(F.lit(-1).cast("long")))
         # proven bound on the exploded side: every interval once, plus one extra
-        # row per bucket of each bucketed key
-        bound = n + (stats["n_keys"] if bucket_all else n_hot) * n_buckets
+        # row per bucket of each bucketed key, each no bigger than the largest row
+        extra = (stats["n_keys"] if bucket_all else n_hot) * n_buckets
     else:
         iv = intervals.withColumn("_b", F.lit(-1).cast("long"))
         f = facts.withColumn("_b", F.lit(-1).cast("long"))
-        bound = n
-    if 0 < limit and bound <= limit:
+        extra = 0
+    rows_bound = n + extra
+    bytes_bound = (stats["bytes"] or 0) + extra * ((stats["max_bytes"] or 0) + 8)
+    if 0 < limit and rows_bound <= limit and bytes_bound <= broadcast_threshold(intervals):
         iv = F.broadcast(iv)
     cond = ((f[fact_key] == iv[int_key]) & (f["_b"] == iv["_b"])
             & (f[pos] > iv[valid_from]) & (f[pos] < F.coalesce(iv[valid_to], max_long)))

@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillflow.operators.joins import MIN_LONG, broadcast_row_limit, sized_broadcast
+from rillflow.operators.joins import (
+    MIN_LONG, ROW_OVERHEAD, broadcast_row_limit, broadcast_threshold, sized_broadcast,
+)
 
 # Rows per bucket aimed at; a key's rows spread over ~n / ROWS_PER_BUCKET buckets,
 # so no window partition holds more than about this many rows.
@@ -27,7 +29,8 @@ def next_in_group(df: DataFrame, key: str, order: str, out: str,
     long (a "before everything" marker) is allowed."""
     finite = F.when(F.col(order) > F.lit(MIN_LONG), F.col(order))
     st = df.agg(F.count(F.lit(1)).alias("n"), F.min(finite).alias("lo"),
-                F.max(finite).alias("hi")).first()
+                F.max(finite).alias("hi"),
+                F.max(F.octet_length(F.col(key).cast("string"))).alias("key_bytes")).first()
     n, lo, hi = st["n"] or 0, st["lo"], st["hi"]
     if lo is None:
         lo = hi = 0
@@ -44,8 +47,9 @@ def next_in_group(df: DataFrame, key: str, order: str, out: str,
               .withColumn("_next_first",
                           F.lead("_first").over(Window.partitionBy(key).orderBy("_nb")))
               .select(key, "_nb", "_next_first"))
-    # the summaries have at most n rows: a proven bound, no count needed
-    small = 0 < n <= broadcast_row_limit(df)
+    # the summaries have at most n rows of (key, two longs): a proven bound
+    per_row = (st["key_bytes"] or 0) + 16 + ROW_OVERHEAD
+    small = 0 < n <= broadcast_row_limit(df) and n * per_row <= broadcast_threshold(df)
     joined = inner.join(F.broadcast(firsts) if small else sized_broadcast(firsts),
                         [key, "_nb"], "left")
     return (joined.withColumn(out, F.coalesce(F.col(out), F.col("_next_first")))
