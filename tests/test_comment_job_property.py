@@ -1,0 +1,77 @@
+"""Comments job (change table -> filter -> projection -> lookup join) equals a
+record-at-a-time simulation on random change messages."""
+
+import json
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from rillflow.operators import changes as chg
+from rillflow.operators import comments as cmt
+
+DICTIONARY = {"1201": "good", "1202": "bad"}
+
+
+def _str(v):
+    if v is None or isinstance(v, (dict, list)):
+        return None if v is None else json.dumps(v, separators=(",", ":"))
+    return str(v).lower() if isinstance(v, bool) else str(v)
+
+
+def _long(v):
+    if isinstance(v, bool) or v is None:
+        return None
+    if isinstance(v, int):
+        return v
+    if isinstance(v, str) and v.lstrip("-").isdigit():
+        return int(v)
+    return None
+
+
+def simulate(messages):
+    out = []
+    for text in messages:
+        try:
+            obj = json.loads(text)
+        except ValueError:
+            continue
+        if not isinstance(obj, dict):
+            continue
+        data = obj.get("data")
+        data = {k: _str(v) for k, v in data.items()} if isinstance(data, dict) else None
+        if _str(obj.get("database")) != "shop" or _str(obj.get("table")) != "comment_info" \
+                or _str(obj.get("type")) != "insert" or data is None:
+            continue
+        code = data.get("appraise")
+        if code in DICTIONARY:
+            out.append((data.get("id"), data.get("user_id"), data.get("sku_id"), code,
+                        DICTIONARY[code], data.get("comment_txt"), _long(obj.get("ts"))))
+    return sorted(out, key=repr)
+
+
+value = st.one_of(st.none(), st.integers(0, 9), st.sampled_from(["a", "b c", "é"]))
+data = st.fixed_dictionaries({}, optional={
+    "id": value, "user_id": value, "sku_id": value, "comment_txt": value,
+    "appraise": st.sampled_from(["1201", "1202", "1203", 1201]),
+    "extra": st.just({"nested": 1})})
+message = st.one_of(
+    st.fixed_dictionaries({}, optional={
+        "database": st.sampled_from(["shop", "other", None]),
+        "table": st.sampled_from(["comment_info", "customer"]),
+        "type": st.sampled_from(["insert", "update", None]),
+        "ts": st.one_of(st.integers(0, 10**12), st.just("123"), st.just("x"), st.none()),
+        "data": st.one_of(data, st.just([1]), st.none()),
+    }).map(json.dumps),
+    st.sampled_from(["x", '{"database":', "[]", "null"]))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.too_slow,
+                                                                  HealthCheck.function_scoped_fixture])
+@given(st.lists(message, min_size=1, max_size=40))
+def test_comment_job_equals_simulation(spark, messages):
+    raw = spark.createDataFrame(list(enumerate(messages)), "seq long, value string")
+    dic = spark.createDataFrame([(k, (v,)) for k, v in DICTIONARY.items()],
+                                "rowkey string, info struct<dic_name: string>")
+    rows = cmt.comment_project(cmt.comment_filter(chg.parse_changes(raw), "shop"))
+    got = sorted((tuple(r) for r in cmt.lookup_dictionary(rows, dic).collect()), key=repr)
+    assert got == simulate(messages)
