@@ -58,22 +58,47 @@ def test_visitor_repair_equals_state_machine(spark, rows):
     assert got == simulate_visitors(rows)
 
 
+def _java_split(text):
+    """String.split(",") as the reference's runtime does it."""
+    if text == "":
+        return [""]
+    parts = text.split(",")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
 def simulate_dims(events, preload):
     """Config ops and changes applied one by one in seq order (JOI-1, JOI-2,
-    SNK-2, SNK-3, STA-2, STA-4)."""
+    SNK-2, SNK-3, STA-2, STA-4), including table creation by family list: no
+    family -> nothing created; a missing or empty family name -> the creation
+    raises and the op never reaches routing (a drop before it still happened)."""
     config = {c["source_table"]: c for c in preload}
     tables = {}
+
+    def create(c):
+        fams = _java_split(c["sink_family"]) if c["sink_family"] is not None else None
+        if fams is None or "" in fams:
+            raise ValueError("bad family")
+        if fams:
+            tables.setdefault(c["sink_table"], {})
+
     for ev in sorted(events, key=lambda e: e["seq"]):
         if ev["kind"] == "cfg":
             c, op = ev["cfg"], ev["op"]
+            try:
+                if op == "d":
+                    tables.pop(c["sink_table"], None)
+                elif op in ("c", "r"):
+                    create(c)
+                else:
+                    tables.pop(c["sink_table"], None)
+                    create(c)
+            except ValueError:
+                continue
             if op == "d":
-                tables.pop(c["sink_table"], None)
                 config.pop(c["source_table"], None)
-            elif op in ("c", "r"):
-                tables.setdefault(c["sink_table"], {})
-                config[c["source_table"]] = c
             else:
-                tables[c["sink_table"]] = {}
                 config[c["source_table"]] = c
             continue
         c = config.get(ev["table"])
@@ -94,14 +119,15 @@ def simulate_dims(events, preload):
             for k, v in row.items()}
 
 
-def _cfg(src, cols):
+def _cfg(src, cols, family="info"):
     return {"source_table": src, "sink_table": "dim_" + src, "sink_columns": cols,
-            "sink_family": "info", "sink_row_key": "id"}
+            "sink_family": family, "sink_row_key": "id"}
 
 
 dim_events = st.lists(st.one_of(
     st.tuples(st.just("cfg"), st.sampled_from(["c", "r", "u", "d"]),
-              st.sampled_from(["t1", "t2"]), st.sampled_from(["id,a", "id,a,b", "a,b"])),
+              st.sampled_from(["t1", "t2"]), st.sampled_from(["id,a", "id,a,b", "a,b"]),
+              st.sampled_from(["info", "info", "info", "", None, ",", "a,,b", "a,"])),
     st.tuples(st.just("chg"), st.sampled_from(["insert", "update", "delete", None]),
               st.sampled_from(["t1", "t2", "t3"]),
               st.tuples(st.sampled_from(["1", "2", "3"]), st.sampled_from(["x", "y", None]),
@@ -117,8 +143,8 @@ def test_dim_snapshot_equals_sequential_simulation(spark, evs, with_preload):
     for i, ev in enumerate(evs):
         seq = i + 1
         if ev[0] == "cfg":
-            _, op, src, cols = ev
-            c = _cfg(src, cols)
+            _, op, src, cols, family = ev
+            c = _cfg(src, cols, family)
             events.append({"kind": "cfg", "seq": seq, "op": op, "cfg": c})
             env = {"op": op, "before": c if op == "d" else None, "after": None if op == "d" else c}
             config_rows.append((seq, json.dumps(env)))
