@@ -80,14 +80,19 @@ def size_for_input(spark: SparkSession, input_bytes: int,
     The biggest shuffle (the log job's exchange by device) moves about the
     input's volume, so it gets ``input_bytes / partition_bytes`` partitions
     (at least 200); AQE then coalesces small ones and splits skewed ones
-    around the same advisory size. Scans split at the same size. Returns the
-    settings it applied.
+    around the same advisory size, and turns a sort-merge join into a shuffled
+    hash join when every measured build partition is below it (the repair's
+    per-device state), so the big side is not sorted. Scans split at the same
+    size. Returns the settings it applied.
     """
     settings = {
         "spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // partition_bytes))),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # a join whose measured build-side partitions are all small becomes a
+        # shuffled hash join: the log side of the repair join is not sorted
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
     }
     for key, value in settings.items():

@@ -194,3 +194,4 @@ def test_size_for_input(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold")
