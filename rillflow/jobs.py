@@ -18,6 +18,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from rillflow.constants import CHANNEL_TOPICS, CHECKPOINT_INTERVAL, TOPIC_DB, TOPIC_LOG
+from rillflow.operators import logs
 from rillflow.session import ensure_json_settings
 from rillflow.streaming import topics
 from rillflow.streaming.comment_job import CommentBatchWriter
@@ -40,6 +41,19 @@ def _run(args, source, transform, sink):
 
 def run_log(spark, args):
     src = _source(spark, args, TOPIC_LOG, args.source)
+    if args.dirty_sink:
+        # FIL-4: rejected messages, printed (console) or kept in a quarantine folder
+        def dirty_sink(df):
+            if args.dirty_sink == "console":
+                return topics.console_writer(df, "dirty")
+            return df.writeStream.format("parquet").option("path", args.dirty_sink)
+        dirty = run_stream(_source(spark, args, TOPIC_LOG, args.source), logs.dirty_logs,
+                           dirty_sink, name=args.name + "_dirty",
+                           checkpoint=(args.checkpoint + "_dirty" if args.checkpoint
+                                       else checkpoint_location(spark, args.name + "_dirty")),
+                           trigger=args.trigger, available_now=args.available_now)
+        if args.available_now:
+            dirty.awaitTermination()
     return _run(args, src, lambda df: log_stream(df, args.zone or spark.conf.get(
         "spark.sql.session.timeZone")),
         lambda df: topics.channel_writer(df, topics=CHANNEL_TOPICS,
@@ -94,6 +108,7 @@ def parse_args(argv):
     p.add_argument("--trigger", default=CHECKPOINT_INTERVAL)
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--zone", help="zone of dates in the log job (default: session zone)")
+    p.add_argument("--dirty-sink", help="log job: folder for rejected messages, or 'console'")
     p.add_argument("--database", default="shop")
     p.add_argument("--config-topic", default="topic_config")
     p.add_argument("--config-source")

@@ -233,11 +233,13 @@ def test_job_programs(spark, scratch):
     raw = Q.log_topic(spark, SF)
     src, out = os.path.join(scratch, "logs"), os.path.join(scratch, "channels")
     _write_in_batches(raw, src, [0, 10**9])
+    dirty = os.path.join(scratch, "dirty")
     q = jobs.main(["log", "--source", src, "--sink", out, "--available-now", "--zone", "UTC",
-                   "--checkpoint", os.path.join(scratch, "ck")], spark)
+                   "--checkpoint", os.path.join(scratch, "ck"), "--dirty-sink", dirty], spark)
     q.awaitTermination(300)
     assert q.exception() is None
     assert spark.read.json(out).count() == logs.log_channels(raw, "UTC").count()
+    assert spark.read.parquet(dirty).count() == logs.dirty_logs(raw).count() > 0
 
     orders = fx.read_table(spark, SF, "orders")
     cfg_src, chg_src = os.path.join(scratch, "cfg"), os.path.join(scratch, "db")
