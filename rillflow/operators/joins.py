@@ -71,9 +71,10 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
 
 
 def sized_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when it fits, else ``df`` unchanged (the planner then
-    shuffles both sides; AQE splits skewed partitions)."""
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
+    """``broadcast(df)`` when its measured size fits; otherwise a shuffled hash
+    join with ``df`` as the build side, so that Catalyst cannot broadcast it on
+    a file-size estimate either (AQE still splits skewed partitions)."""
+    return F.broadcast(df) if fits_broadcast(df, limit) else df.hint("shuffle_hash")
 
 
 # An interval key with more versions than this is "hot": its position axis is
@@ -158,6 +159,10 @@ def interval_join(facts: DataFrame, intervals: DataFrame, fact_key: str, int_key
     bytes_bound = (stats["bytes"] or 0) + extra * ((stats["max_bytes"] or 0) + 8)
     if 0 < limit and rows_bound <= limit and bytes_bound <= broadcast_threshold(intervals):
         iv = F.broadcast(iv)
+    else:
+        # measured too big: no broadcast on an estimate; hash the intervals per
+        # (key, bucket) partition and stream the facts through
+        iv = iv.hint("shuffle_hash")
     cond = ((f[fact_key] == iv[int_key]) & (f["_b"] == iv["_b"])
             & (f[pos] > iv[valid_from]) & (f[pos] < F.coalesce(iv[valid_to], max_long)))
     out = f.join(iv, cond, how).drop(f["_b"]).drop(iv["_b"])
