@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from rillflow.plans.queries import REGISTRY
 from tests.conftest import SF
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -32,10 +33,10 @@ def _rows(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(REGISTRY) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(REGISTRY))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     got = df.collect()
