@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import url_filter
+from rillflow.llm import secrets, url_filter
 from rillflow.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,3 +30,23 @@ def register(fn: Query) -> Query:
 def op1_url_filter(spark, sf_dir):
     return url_filter.judge(read_table(spark, sf_dir, "pages"), URL_RULES,
                             url_filter.default_model(spark))
+
+
+def _span_list(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@register
+def op2_secret_scan(spark, sf_dir):
+    found = secrets.scan(read_table(spark, sf_dir, "documents"))
+    base = {r.kind for r in secrets.BASE_RULES}
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        "doc_id", *[count(r.kind).alias(f"n_{r.kind}") for r in secrets.BASE_RULES],
+        F.sha2(_span_list(F.filter("spans", lambda s: s["kind"].isin(*base))), 256)
+        .alias("base_sha256"),
+        _span_list(F.col("spans")).alias("spans"))
