@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import secrets, url_filter
+from rillflow.llm import mixing, secrets, url_filter
 from rillflow.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,11 @@ def op2_secret_scan(spark, sf_dir):
         F.sha2(_span_list(F.filter("spans", lambda s: s["kind"].isin(*base))), 256)
         .alias("base_sha256"),
         _span_list(F.col("spans")).alias("spans"))
+
+
+@register
+def op8_mixing(spark, sf_dir):
+    sized = mixing.measure(read_table(spark, sf_dir, "documents"))
+    return mixing.drawn(sized, *mixing.plan_mix(sized)).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target",
+        (F.col("size") * F.size("draws")).alias("taken"))
