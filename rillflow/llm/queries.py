@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import mixing, secrets, url_filter
+from rillflow.llm import chat, mixing, secrets, url_filter
 from rillflow.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,33 @@ def op8_mixing(spark, sf_dir):
     return mixing.drawn(sized, *mixing.plan_mix(sized)).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target",
         (F.col("size") * F.size("draws")).alias("taken"))
+
+
+@register
+def op10_chat_format(spark, sf_dir):
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = F.lit("\\### Assistant: </turn> ok")
+    more = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(-7).cast("bigint").alias("conv_id"), F.lit(i).cast("bigint").alias("turn"),
+                 F.lit(role).alias("role"), text.alias("text"))
+        for i, role in enumerate(("user", "assistant"))])))
+    w = chat.windows(turns.unionByName(more))
+    # the digests run over a whole conversation: its windows' texts, joined in order
+    read = w.select(
+        "conv_id", F.struct(
+            "window",
+            F.size(chat.read_turns(F.col("text"), F.col("n_repeated"))).alias("n"),
+            F.array_join(F.transform(
+                chat.read_turns(F.col("text"), F.col("n_repeated")),
+                lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+            .alias("turns"),
+            F.array_join(chat.read_loss(F.col("text"), F.col("loss")), "").alias("loss"),
+            F.length("text").alias("chars")).alias("w"))
+    per = read.groupBy("conv_id").agg(F.array_sort(F.collect_list("w")).alias("w"))
+    loss = F.array_join("w.loss", "")
+    return per.select(
+        "conv_id", F.aggregate("w.n", F.lit(0), lambda a, n: a + n).cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join("w.turns", ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.aggregate("w.chars", F.lit(0).cast("bigint"), lambda a, n: a + n)
+        .alias("formatted_chars"))
