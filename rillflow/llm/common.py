@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: white space of the word contracts: \x20 and \x09-\x0D, as in Python's bytes.split()
@@ -35,3 +35,41 @@ def fresh(df: DataFrame, *bases: str) -> list[str]:
 def batch_rows(spark: SparkSession, rows: int) -> None:
     """Rows per Arrow batch, so that a batch of long texts stays small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def with_next(docs: DataFrame, id_col: str, text_col: str, out: str) -> DataFrame:
+    """``docs`` (id, text) plus ``out``: the text of the next row by descending id (null
+    ids last, equal ids by text); after the last row comes the first.
+
+    The ids are cut at their quantiles into one range for each shuffle partition;
+    within a range a window finds the next row. The first row of each range is
+    copied to the range before it. On the driver: two numbers per range.
+    """
+    spark, i = docs.sparkSession, F.col(id_col)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = docs.agg(F.percentile_approx(i, [k / n for k in range(1, n)] or [0.5], 10_000)) \
+        .first()[0] or []
+    cuts = sorted(set(cuts)) if n > 1 else []
+    part = F.when(i.isNull(), F.lit(0)).otherwise(
+        F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda c: c < i)) + 1)
+    placed = docs.select(id_col, text_col, part.alias("_part"))
+    tops = {r["_part"]: r["top"] for r in placed.groupBy("_part").agg(
+        F.max(id_col).alias("top")).collect()}
+    order = sorted(tops, reverse=True)
+    goes = {p: order[k - 1] for k, p in enumerate(order)}  # the first one's goes to the last
+
+    def by_part(values: dict, kind: str) -> Column:
+        return F.get(F.array(*[F.lit(values.get(p)) for p in range(len(cuts) + 2)])
+                     .cast(f"array<{kind}>"), F.col("_part"))
+
+    copies = F.concat(
+        F.array(F.struct(F.col("_part").alias("part"), F.lit(0).alias("copy"))),
+        F.when(i.eqNullSafe(by_part(tops, "bigint")), F.array(F.struct(
+            by_part(goes, "int").alias("part"), F.lit(1).alias("copy"))))
+        .otherwise(F.array().cast("array<struct<part:int,copy:int>>")))
+    rows = placed.select(id_col, text_col, F.explode(copies).alias("_at")) \
+        .select(id_col, text_col, F.col("_at.part").alias("_part"), F.col("_at.copy").alias("_copy"))
+    nxt = F.lead(F.struct(text_col)).over(Window.partitionBy("_part").orderBy(
+        "_copy", i.desc_nulls_last(), text_col))
+    return rows.withColumn(out, nxt).where("_copy = 0") \
+        .withColumn(out, F.col(f"{out}.{text_col}")).drop("_part", "_copy")

@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import chat, mixing, secrets, url_filter
-from rillflow.llm.common import read_table
+from rillflow.llm import chat, minhash, mixing, secrets, url_filter
+from rillflow.llm.common import batch_rows, read_table, with_next
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -88,3 +88,24 @@ def op10_chat_format(spark, sf_dir):
         F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
         F.aggregate("w.chars", F.lit(0).cast("bigint"), lambda a, n: a + n)
         .alias("formatted_chars"))
+
+
+@register
+def op4_minhash(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit(""))
+                                                         .alias("text"))
+    batch_rows(spark, minhash.BATCH)
+    pairs = with_next(docs, "doc_id", "text", "next")
+    n = F.length("text")
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - half),
+                      F.substring("next", F.lit(1), half))
+    prints = pairs.withColumn("edited", edited).select(
+        "doc_id", n.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        minhash.fingerprints("text").alias("fingerprint"),
+        minhash.fingerprints("next").alias("next_fingerprint"),
+        minhash.fingerprints("edited").alias("edited_fingerprint"))
+    return prints.select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        minhash.likenesses("fingerprint", "edited_fingerprint").alias("near_edited"),
+        minhash.likenesses("fingerprint", "next_fingerprint").alias("near_next"))
