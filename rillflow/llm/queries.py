@@ -6,10 +6,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import chat, minhash, mixing, secrets, url_filter
+from rillflow.llm import bpe, chat, minhash, mixing, secrets, url_filter
 from rillflow.llm.common import batch_rows, read_table, with_next
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +110,10 @@ def op4_minhash(spark, sf_dir):
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         minhash.likenesses("fingerprint", "edited_fingerprint").alias("near_edited"),
         minhash.likenesses("fingerprint", "next_fingerprint").alias("near_next"))
+
+
+@register
+def op5_byte_bpe(spark, sf_dir):
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                          public_tokenizers.PATTERN)
