@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import bpe, chat, minhash, mixing, secrets, url_filter
+from rillflow.llm import bpe, chat, langid, minhash, mixing, secrets, url_filter
 from rillflow.llm.common import batch_rows, read_table, with_next
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +117,16 @@ def op5_byte_bpe(spark, sf_dir):
     return bpe.round_trip(read_table(spark, sf_dir, "documents"),
                           public_tokenizers.path("byte_bpe_50k.tiktoken"),
                           public_tokenizers.PATTERN)
+
+
+def held_out(doc_id):
+    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+
+
+@register
+def op6_language_id(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = held_out(F.col("doc_id"))
+    model = langid.fit(docs.where(~out))
+    return langid.identified(docs.drop("lang"), model, "p").select(
+        "doc_id", out.alias("held_out"), "p.lang_pred", "p.score")
