@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import bpe, chat, langid, minhash, mixing, secrets, url_filter
+from rillflow.llm import bpe, chat, embed_dedup, langid, minhash, mixing, secrets, url_filter
 from rillflow.llm.common import batch_rows, read_table, with_next
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,8 @@ def op6_language_id(spark, sf_dir):
     model = langid.fit(docs.where(~out))
     return langid.identified(docs.drop("lang"), model, "p").select(
         "doc_id", out.alias("held_out"), "p.lang_pred", "p.score")
+
+
+@register
+def op7_embedding_dedup(spark, sf_dir):
+    return embed_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
