@@ -10,7 +10,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import bpe, chat, embed_dedup, langid, minhash, mixing, secrets, url_filter
+from rillflow.llm import (
+    bpe, chat, embed_dedup, langid, minhash, mixing, ngram_join, secrets, url_filter,
+)
 from rillflow.llm.common import batch_rows, read_table, with_next
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,3 +137,8 @@ def op6_language_id(spark, sf_dir):
 @register
 def op7_embedding_dedup(spark, sf_dir):
     return embed_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op9_ngram_join(spark, sf_dir):
+    return ngram_join.with_components(read_table(spark, sf_dir, "documents"))
