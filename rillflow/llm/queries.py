@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.llm import (
-    bpe, chat, embed_dedup, langid, minhash, mixing, ngram_join, secrets, url_filter,
+    bpe, chat, embed_dedup, html_extract, langid, minhash, mixing, ngram_join, secrets,
+    url_filter,
 )
 from rillflow.llm.common import batch_rows, read_table, with_next
 
@@ -142,3 +143,9 @@ def op7_embedding_dedup(spark, sf_dir):
 @register
 def op9_ngram_join(spark, sf_dir):
     return ngram_join.with_components(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op3_html_extract(spark, sf_dir):
+    return html_extract.extract(read_table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("bigint"))
