@@ -179,7 +179,8 @@ def encoded(text: Column, path: str, pattern: str) -> Column:
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def ids(texts: pd.Series) -> pd.Series:
         c = codec(path, pattern)
-        return pd.Series([c.encode(t or "") for t in texts], dtype=object)
+        return pd.Series([np.asarray(c.encode(t or ""), dtype=np.int32) for t in texts],
+                         dtype=object)
 
     return ids(text)
 

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillflow.llm.common import batch_rows
+from rillflow.llm.common import batch_rows, fresh
 from rillflow.llm.components import components, unite
 from rillflow.session import materialize
 
@@ -129,8 +129,8 @@ def _packed_rows(cls: list[bytes], sets: list[np.ndarray], buckets: int) -> Iter
     owner = np.repeat(np.arange(len(sets)), sizes[:-1])
     order = np.argsort(token, kind="stable")
     ordered = token[order]
-    fresh = np.concatenate(([True], ordered[1:] != ordered[:-1]))
-    runs = np.diff(np.append(np.flatnonzero(fresh), len(ordered)))
+    new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+    runs = np.diff(np.append(np.flatnonzero(new), len(ordered)))
     many = np.repeat(runs > 1, runs)  # several classes of this pack hold it
     shared = np.zeros(len(token), dtype=bool)
     shared[order[many]] = True
@@ -138,7 +138,7 @@ def _packed_rows(cls: list[bytes], sets: list[np.ndarray], buckets: int) -> Iter
         # known here: they pass through under a key of their own
         key = -1 - (int.from_bytes(cls[0][:7], "little"))
         yield _pack(key, names, sizes, owner[shared], token[shared])
-    marks = ordered[fresh & many]
+    marks = ordered[new & many]
     token = np.concatenate((token[~shared], marks))
     owner = np.concatenate((owner[~shared], np.full(len(marks), len(sets))))
     bucket = token % _U(buckets)
@@ -367,3 +367,39 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         members.where("cls is null").select("id", "n", F.col("id").alias("low"))) \
         .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                 F.col("low").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id's (a null id after all
+    others; of equal ids the smallest class, of equal rows any). Rows with an empty
+    set all stay. What is shuffled besides the search are ids and classes; the rows
+    themselves meet the list of those to drop, a table whose size picks the join."""
+    m, drop_id, drop_cls = fresh(docs, "_m", "_drop_id", "_drop_cls")
+    members = materialize(with_class(docs.select(F.col(id_col).alias("id"),
+                                                 F.col(text_col).alias("text")), "m", "text")
+                          .select("id", "m.n", "m.cls").where("cls is not null")
+                          .groupBy("id", "n", "cls").agg(F.count(F.lit(1)).alias("k")),
+                          "ngram-members")
+    total = members.agg(F.sum("n")).first()[0] or 0
+    roots = class_components(docs, text_col, total, percent)
+    placed = members.join(roots, F.col("cls") == F.col("node"), "left").select(
+        "id", "cls", F.coalesce("root", "cls").alias("root"))
+    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "cls")
+    first = placed.groupBy("root").agg(F.min(rank).alias("first"))
+    dropped = materialize(placed.join(first, "root").where(~rank.eqNullSafe(F.col("first")))
+                          .select(F.col("id").alias(drop_id), F.col("cls").alias(drop_cls)),
+                          "ngram-dropped")
+    cls = F.col(m)["cls"]
+    rows = with_class(docs, m, text_col)
+
+    def without(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        return rows.join(some, F.col(id_col).eqNullSafe(F.col(drop_id))
+                         & (cls == F.col(drop_cls)), how)
+
+    kept = without(rows, dropped, "left_anti")
+    again = members.where("k > 1").select(F.col("id").alias(drop_id), F.col("cls").alias(drop_cls))
+    if not again.isEmpty():  # equal ids in one class: one row of them
+        once = without(kept, again, "left_semi").withColumn(m, cls).dropDuplicates([id_col, m])
+        kept = without(kept, again, "left_anti").drop(m).unionByName(once.drop(m))
+    return kept.drop(m)
