@@ -101,7 +101,7 @@ def quotas(placed: DataFrame, seed: int) -> DataFrame:
     upto = F.sum("words").over(order)
     per = materialize(per.select(
         "rank", "block", F.row_number().over(order).alias("nth"), whole.alias("whole"),
-        (upto <= rest).alias("drawn"),
+        ((upto <= rest) & (rest > 0)).alias("drawn"),
         F.when((upto > rest) & (upto - F.col("words") < rest), rest - (upto - F.col("words")))
         .alias("left_over")), "mix-blocks")
     # the block in which a source's last words lie, document by document

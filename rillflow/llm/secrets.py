@@ -115,6 +115,12 @@ def _clauses(items) -> set[Clause]:
         if part is not None and len(run) * len(part) <= MAX_ALTERNATIVES:
             run = {a + b for a in run for b in part}
             continue
+        once = _strings(av[2]) if op in (rc.MAX_REPEAT, rc.MIN_REPEAT) and av[0] else None
+        if part is None and once and len(run) * len(once) <= MAX_ALTERNATIVES:
+            run = {a + b for a in run for b in once}  # one time at its start
+            cut()
+            run = once  # and one at its end
+            continue
         cut()
         run = part if part is not None else {""}
         if part is None and op is rc.SUBPATTERN:

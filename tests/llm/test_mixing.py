@@ -1,0 +1,106 @@
+"""op8: targets, quotas and the splitting tree."""
+
+import math
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from rillflow.llm import mixing
+from rillflow.llm.queries import REGISTRY
+from tests.llm.fixtures import awkward_docs, docs_frame, with_clashes, write
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_targets(sizes):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    left, target, open_ = 1.5 * sum(sizes.values()), {}, set(names)
+    while True:
+        level = left / sum(weight[s] for s in open_) if open_ else 0
+        full = {s for s in open_ if weight[s] * level > 2 * sizes[s]}
+        if not full:
+            return target | {s: weight[s] * level for s in open_}
+        for s in full:
+            target[s] = 2 * sizes[s]
+            left -= target[s]
+        open_ -= full
+
+
+def test_query(spark, scratch):
+    rows = awkward_docs()
+    sf = write(with_clashes(docs_frame(spark)), scratch + "/d", "documents")
+    got = REGISTRY["op8_mixing"](spark, sf).collect()
+    assert sorted(map(tuple, REGISTRY["op8_mixing"](spark, sf).collect()), key=repr) \
+        == sorted(map(tuple, got), key=repr)
+    sizes, src = Counter(), defaultdict(Counter)
+    for i, text, _, source in rows:
+        sizes[source] += len(WORD.findall(text or ""))
+    target = plain_targets(sizes)
+    assert sorted((r["doc_id"] or 0, r["size"], r["source_size"]) for r in got) == sorted(
+        (i or 0, len(WORD.findall(t or "")), sizes[s]) for i, t, _, s in rows)
+    by_size = defaultdict(lambda: [0, 0, 0])
+    for r in got:
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        # sources are told apart by their sizes and targets here
+        x = by_size[(r["source_size"], round(r["target"], 6))]
+        x[0] += r["taken"]
+        x[1] = max(x[1], r["size"])
+    assert sorted(k[1] for k in by_size) == pytest.approx(sorted(set(
+        round(target[s], 6) for s in sizes)), abs=1e-5)
+    for (_, t), (taken, largest, _) in by_size.items():
+        assert abs(taken - t) <= max(2 * largest, 1), (t, taken)
+
+
+def test_blocks_and_shards(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "DOCS_PER_BLOCK", 3)
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 300)
+    rows = [(i, "w " * (i % 7 + 1), "en", f"s{i % 5 % 4}") for i in range(400)]
+    docs = with_clashes(docs_frame(spark, rows))
+    out = mixing.mix(docs)
+    assert out.columns == [*docs.columns, "shard_", "position_"]
+    got = out.select("doc_id", "source", "shard_", "position_").collect()
+    size = {i: i % 7 + 1 for i in range(400)}
+    sizes = Counter()
+    for i, _, _, s in rows:
+        sizes[s] += size[i]
+    target, taken = plain_targets(sizes), Counter()
+    for r in got:
+        taken[r["source"]] += size[r["doc_id"]]
+    for s in sizes:
+        assert abs(taken[s] - target[s]) <= 7
+    assert max(Counter(r["doc_id"] for r in got).values()) <= 2
+    shards = Counter(r["shard_"] for r in got)
+    assert len(shards) == math.ceil(sum(target.values()) / 300)
+    assert max(shards.values()) < 2 * min(shards.values())
+    again = mixing.mix(docs).select("doc_id", "source", "shard_", "position_").collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, got))
+    # repeated draws of a document lie in the plan, not side by side by accident
+    assert out.groupBy("shard_").agg(F.countDistinct("source").alias("n")).where("n < 3").count() == 0
+
+
+def test_split_is_exact_and_spread():
+    runs = mixing.split([100, 7, 0, 50], 5, seed=4)
+    ends = defaultdict(list)
+    for s, shard, a, b in runs:
+        ends[s].append((a, b))
+    for s, n in ((0, 100), (1, 7), (3, 50)):
+        spans = sorted(ends[s])
+        assert spans[0][0] == 0 and spans[-1][1] == n
+        assert all(x[1] == y[0] for x, y in zip(spans, spans[1:]))
+    per_shard = Counter()
+    for _, shard, a, b in runs:
+        per_shard[shard] += b - a
+    assert sorted(per_shard.values()) in ([31, 31, 31, 32, 32], [31, 31, 31, 31, 33])
+    means = [sum(b - a for s, k, a, b in mixing.split([400, 100], 4, seed) if (s, k) == (1, 0))
+             for seed in range(200)]
+    assert abs(sum(means) / 200 - 25) < 1.5  # a source's share follows its quota
+
+
+def test_empty_and_wordless(spark):
+    none = docs_frame(spark).limit(0)
+    assert mixing.mix(none).collect() == []
+    silent = docs_frame(spark, [(1, None, "en", "a"), (2, "", "en", None)])
+    assert mixing.mix(silent).collect() == []
