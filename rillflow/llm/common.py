@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: white space of the word contracts: \x20 and \x09-\x0D, as in Python's bytes.split()
 WHITE = "\\x20\\x09-\\x0D"
@@ -37,9 +41,23 @@ def batch_rows(spark: SparkSession, rows: int) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@F.pandas_udf(T.BinaryType())
+def packed(texts: pd.Series) -> pd.Series:
+    """Texts compressed one by one: less to shuffle than a block codec leaves."""
+    return pd.Series([None if t is None else zlib.compress(t.encode(), 1) for t in texts],
+                     dtype=object)
+
+
+@F.pandas_udf(T.StringType())
+def unpacked(data: pd.Series) -> pd.Series:
+    return pd.Series([None if d is None else zlib.decompress(d).decode() for d in data],
+                     dtype=object)
+
+
 def with_next(docs: DataFrame, id_col: str, text_col: str, out: str) -> DataFrame:
     """``docs`` (id, text) plus ``out``: the text of the next row by descending id (null
-    ids last, equal ids by text); after the last row comes the first.
+    ids last, equal ids by a hash of the text); after the last row comes the first. The
+    texts are shuffled once, packed.
 
     The ids are cut at their quantiles into one range for each shuffle partition;
     within a range a window finds the next row. The first row of each range is
@@ -52,7 +70,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, out: str) -> DataFram
     cuts = sorted(set(cuts)) if n > 1 else []
     part = F.when(i.isNull(), F.lit(0)).otherwise(
         F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda c: c < i)) + 1)
-    placed = docs.select(id_col, text_col, part.alias("_part"))
+    placed = docs.select(id_col, F.col(text_col), F.xxhash64(text_col).alias("_hash"),
+                         part.alias("_part"))
     tops = {r["_part"]: r["top"] for r in placed.groupBy("_part").agg(
         F.max(id_col).alias("top")).collect()}
     order = sorted(tops, reverse=True)
@@ -67,9 +86,11 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, out: str) -> DataFram
         F.when(i.eqNullSafe(by_part(tops, "bigint")), F.array(F.struct(
             by_part(goes, "int").alias("part"), F.lit(1).alias("copy"))))
         .otherwise(F.array().cast("array<struct<part:int,copy:int>>")))
-    rows = placed.select(id_col, text_col, F.explode(copies).alias("_at")) \
-        .select(id_col, text_col, F.col("_at.part").alias("_part"), F.col("_at.copy").alias("_copy"))
-    nxt = F.lead(F.struct(text_col)).over(Window.partitionBy("_part").orderBy(
-        "_copy", i.desc_nulls_last(), text_col))
-    return rows.withColumn(out, nxt).where("_copy = 0") \
-        .withColumn(out, F.col(f"{out}.{text_col}")).drop("_part", "_copy")
+    rows = placed.select(id_col, packed(text_col).alias("_text"), "_hash",
+                         F.explode(copies).alias("_at")) \
+        .select(id_col, "_text", "_hash", F.col("_at.part").alias("_part"),
+                F.col("_at.copy").alias("_copy"))
+    nxt = F.lead("_text").over(Window.partitionBy("_part").orderBy(
+        "_copy", i.desc_nulls_last(), "_hash"))
+    return rows.withColumn("_next", nxt).where("_copy = 0").select(
+        id_col, unpacked("_text").alias(text_col), unpacked("_next").alias(out))

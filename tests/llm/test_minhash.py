@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from rillflow.llm import minhash
 from rillflow.llm.common import with_next
@@ -68,7 +69,8 @@ def test_next_row_over_ranges_ties_and_nulls(spark):
     ids = [5, 5, 7, 1, None, 2, 9, 9, None, 4, 3, 8]
     rows = [(i, f"t{k}") for k, i in enumerate(ids)]
     df = spark.createDataFrame(rows, "id long, text string")
-    want = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    of = dict(df.select("text", F.xxhash64("text")).collect())
+    want = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), of[r[1]]))
     for n in ("1", "4", "40"):
         spark.conf.set("spark.sql.shuffle.partitions", n)
         got = {r["text"]: r["nxt"] for r in with_next(df, "id", "text", "nxt").collect()}
