@@ -16,6 +16,14 @@ DATETIME_FMT = "yyyy-MM-dd HH:mm:ss"
 PARTITION_FMT = "yyyyMMdd"
 PARSE_OFFSET = "+08:00"
 DAY_MS = 24 * 60 * 60 * 1000
+# 0001-01-02 to 9999-12-30 UTC: formats in every zone, also a day earlier or later
+MIN_TS, MAX_TS = -62135510400000, 253402127999999
+
+
+def in_range(ts_ms: Column | str) -> Column:
+    """Whether epoch ms can be formatted; a timestamp in micro- or nanoseconds,
+    a common producer error, cannot. Null for null."""
+    return _c(ts_ms).between(MIN_TS, MAX_TS)
 
 
 
@@ -29,8 +37,9 @@ def _c(col: Column | str) -> Column:
 
 def wall_clock(ts_ms: Column | str, zone: str | None = None) -> Column:
     """Epoch ms as a timestamp to format: in the session zone when ``zone`` is
-    None, else as a zone-independent wall clock in ``zone``."""
-    ts_ms = _c(ts_ms)
+    None, else as a zone-independent wall clock in ``zone``. Null outside the
+    range of ``in_range`` (converting would stop the job)."""
+    ts_ms = F.when(in_range(ts_ms), _c(ts_ms))
     if zone is None:
         return F.timestamp_millis(ts_ms)
     utc_wall = _epoch_ntz() + ts_ms * F.expr("INTERVAL '0.001' SECOND")

@@ -90,10 +90,15 @@ def keep_where(df, flag: str, drop_flag: bool = True):
     keeps the parse in one place: the optimizer does not push through a
     generator.
     """
+    cols = [c for c in df.columns if not (drop_flag and c == flag)]
+    return rows_where(df, F.col(flag), F.struct(*[F.col(c) for c in cols]))
+
+
+def rows_where(df, flag: Column, record: Column):
+    """The fields of ``record`` for the rows where ``flag`` is true; a record is
+    computed for those rows alone."""
     from pyspark.sql.types import ArrayType
 
-    cols = [c for c in df.columns if not (drop_flag and c == flag)]
-    rec = F.struct(*[F.col(c) for c in cols])
-    empty = F.array().cast(ArrayType(df.select(rec.alias("r")).schema["r"].dataType))
-    rows = F.when(F.coalesce(F.col(flag), F.lit(False)), F.array(rec)).otherwise(empty)
+    empty = F.array().cast(ArrayType(df.select(record.alias("r")).schema["r"].dataType))
+    rows = F.when(F.coalesce(flag, F.lit(False)), F.array(record)).otherwise(empty)
     return df.select(F.inline(rows))

@@ -19,6 +19,8 @@ from pyspark.sql import SparkSession
 
 from rillflow.constants import CHANNEL_TOPICS, CHECKPOINT_INTERVAL, TOPIC_DB, TOPIC_LOG
 from rillflow.operators import logs
+from rillflow.operators.comments import dictionary_from_snapshot
+from rillflow.operators.config import read_config_table
 from rillflow.session import ensure_json_settings
 from rillflow.streaming import topics
 from rillflow.streaming.comment_job import CommentBatchWriter
@@ -27,10 +29,12 @@ from rillflow.streaming.log_job import log_stream
 from rillflow.streaming.runner import checkpoint_location, run_stream
 
 
-def _source(spark, args, topic, path):
+def _source(spark, args, topic, path, part="", starting=None):
+    """``part``: queries of one job have consumer groups of their own, so that each
+    reads the whole topic."""
     return topics.read_topic(spark, topic, bootstrap_servers=args.bootstrap_servers,
-                             path=path, starting=args.starting, group_id=args.name,
-                             max_per_trigger=args.max_per_trigger)
+                             path=path, starting=starting or args.starting,
+                             group_id=args.name + part, max_per_trigger=args.max_per_trigger)
 
 
 def _run(args, source, transform, sink):
@@ -47,7 +51,7 @@ def run_log(spark, args):
             if args.dirty_sink == "console":
                 return topics.console_writer(df, "dirty")
             return df.writeStream.format("parquet").option("path", args.dirty_sink)
-        dirty = run_stream(_source(spark, args, TOPIC_LOG, args.source), logs.dirty_logs,
+        dirty = run_stream(_source(spark, args, TOPIC_LOG, args.source, "_dirty"), logs.dirty_logs,
                            dirty_sink, name=args.name + "_dirty",
                            checkpoint=(args.checkpoint + "_dirty" if args.checkpoint
                                        else checkpoint_location(spark, args.name + "_dirty")),
@@ -62,7 +66,11 @@ def run_log(spark, args):
 
 
 def run_dim(spark, args):
-    cfg_src = _source(spark, args, args.config_topic, args.config_source)
+    if not args.ops_path:
+        raise SystemExit("the dim job needs --ops-path, the folder of its config ops")
+    # the whole feed: an earlier op counts until a later one replaces it
+    cfg_src = _source(spark, args, args.config_topic, args.config_source, "_config",
+                      args.config_starting)
     ops_name = args.name + "_config"
     ops_query = run_stream(cfg_src, config_ops_stream,
                            lambda df: df.writeStream.format("parquet")
@@ -73,7 +81,8 @@ def run_dim(spark, args):
                            trigger=args.trigger, available_now=args.available_now)
     if args.available_now:
         ops_query.awaitTermination()
-    preload = spark.read.parquet(args.preload) if args.preload else None
+    preload = read_config_table(spark, args.preload, args.preload_url, args.preload_table) \
+        if args.preload or args.preload_url else None
     writer = DimBatchWriter(args.ops_path, args.sink, args.sink + "_quarantine",
                             args.database, preload=preload, as_of=args.as_of)
     src = _source(spark, args, TOPIC_DB, args.source)
@@ -86,8 +95,14 @@ def run_dim(spark, args):
 
 
 def run_comment(spark, args):
-    writer = CommentBatchWriter(lambda s: s.read.parquet(args.dictionary), args.sink,
-                                args.database, refresh_seconds=args.refresh_seconds)
+    def dictionary(s):
+        dic = s.read.parquet(args.dictionary)
+        # a snapshot of the dimension job holds the dictionary as one of its tables
+        return dictionary_from_snapshot(dic, args.dictionary_table) if args.dictionary_table else dic
+
+    writer = CommentBatchWriter(dictionary, args.sink, args.database,
+                                refresh_seconds=args.refresh_seconds,
+                                bootstrap_servers=args.bootstrap_servers)
     src = _source(spark, args, TOPIC_DB, args.source)
     return _run(args, src, None, lambda df: df.writeStream.foreachBatch(writer))
 
@@ -113,10 +128,15 @@ def parse_args(argv):
     p.add_argument("--config-topic", default="topic_config")
     p.add_argument("--config-source")
     p.add_argument("--ops-path")
-    p.add_argument("--preload")
+    p.add_argument("--config-starting", default="earliest")
+    p.add_argument("--preload", help="dim job: the config table as files")
+    p.add_argument("--preload-url", help="dim job: the config table by JDBC")
+    p.add_argument("--preload-table")
     p.add_argument("--as-of", action="store_true")
     p.add_argument("--snapshot")
     p.add_argument("--dictionary")
+    p.add_argument("--dictionary-table", help="comment job: --dictionary is a dimension "
+                   "snapshot, and this sink table of it the dictionary")
     p.add_argument("--refresh-seconds", type=float, default=0.0)
     args = p.parse_args(argv)
     args.name = args.name or f"{args.job}_job"

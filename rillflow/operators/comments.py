@@ -10,16 +10,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillflow.operators.changes import parse_changes
 from rillflow.operators.joins import sized_broadcast
 
 COMMENT_KEYS = ("id", "user_id", "sku_id", "appraise", "comment_txt")
 RESULT_COLS = ("id", "user_id", "sku_id", "appraise", "appraise_name", "comment_txt", "ts")
 
 
+def is_new_comment(database: str):
+    """FIL-3 on the three columns: an insert into ``comment_info`` of the shop database."""
+    return lambda db, table, kind: ((db == database) & (table == "comment_info")
+                                    & (kind == "insert"))
+
+
 def comment_filter(changes: DataFrame, database: str) -> DataFrame:
     """FIL-3: inserts into ``comment_info`` of the shop database."""
-    return changes.where((F.col("database") == database)
-                         & (F.col("table") == "comment_info") & (F.col("type") == "insert"))
+    return changes.where(is_new_comment(database)(F.col("database"), F.col("table"),
+                                                  F.col("type")))
+
+
+def new_comments(raw: DataFrame, database: str, proc_time: bool = False) -> DataFrame:
+    """SRC-2 and FIL-3 in one: the new comments of a change topic. The maps are built
+    for them alone."""
+    return parse_changes(raw, proc_time=proc_time, only=is_new_comment(database), old=False)
 
 
 def comment_project(changes: DataFrame) -> DataFrame:
@@ -30,6 +43,15 @@ def comment_project(changes: DataFrame) -> DataFrame:
                           F.col("data")["create_time"].alias("comment_time"), "ts", *extra)
 
 
+def dictionary_from_snapshot(cells: DataFrame, sink_table: str,
+                             column: str = "dic_name") -> DataFrame:
+    """SRC-5: the dictionary is a dimension table: ``(rowkey, info<dic_name>)`` from
+    the cells of a snapshot (``dims.dim_snapshot``)."""
+    own = (F.col("sink_table") == sink_table) & (F.col("column") == column)
+    return cells.where(own).select(F.col("row_key").alias("rowkey"),
+                                   F.struct(F.col("value").alias("dic_name")).alias("info"))
+
+
 def dictionary_table(dic: DataFrame) -> DataFrame:
     """SRC-5: ``rowkey string, info struct<dic_name string>``."""
     return dic.select(F.col("rowkey").cast("string"),

@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.functions.jsonvar import get_str, keep_where
+from rillflow.functions.jsonvar import get_long, get_str, keep_where
 from rillflow.operators.joins import sized_broadcast
 
 FIELDS = ("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key")
@@ -54,17 +54,19 @@ def read_config_table(spark: SparkSession, path: str | None = None, url: str | N
     return camel_columns(df) if camel else df
 
 
-def decode_config(raw: DataFrame, value: str = "value") -> DataFrame:
+def decode_config(raw: DataFrame, value: str = "value", event_time: bool = False) -> DataFrame:
     """PRJ-8: envelope -> ``seq, op`` + the config fields: ``before`` for op d,
-    ``after`` for every other op. Rows without a decodable image are dropped."""
+    ``after`` for every other op (also for one without an op). Rows without a
+    decodable image are dropped. ``event_time`` also keeps ``ts_ms``."""
     cols = [c for c in raw.columns if c != value]
     parsed = raw.select(*cols, F.try_parse_json(value).alias("_v"))
     v = F.col("_v")
     op = get_str(v, "$.op")
     image = F.when(op == "d", F.try_variant_get(v, "$.before", STRUCT)) \
         .otherwise(F.try_variant_get(v, "$.after", STRUCT))
-    decoded = parsed.select(*cols, op.alias("op"), image.alias("_cfg"))
-    decoded = decoded.select(*cols, "op", *[F.col("_cfg")[f].alias(f) for f in FIELDS],
+    time = [get_long(v, "$.ts_ms").alias("ts_ms")] if event_time else []
+    decoded = parsed.select(*cols, *time, op.alias("op"), image.alias("_cfg"))
+    decoded = decoded.select(*cols, *(["ts_ms"] if time else []), "op", *[F.col("_cfg")[f].alias(f) for f in FIELDS],
                              F.col("_cfg").isNotNull().alias("_ok"))
     return keep_where(decoded, "_ok")
 
@@ -96,7 +98,7 @@ def config_ops(decoded: DataFrame, preload: DataFrame | None = None) -> DataFram
     """JOI-2: the feed plus the preloaded table (op r, before every feed op).
     ``preload`` may use snake_case or lowerCamel column names."""
     ops = decoded.select("seq", "op", *FIELDS) \
-        .where((F.col("op") == "d") | ~family_fails())
+        .where(F.col("op").eqNullSafe("d") | ~family_fails())
     if preload is not None:
         p = preload.toDF(*[to_snake(c) for c in preload.columns])
         ops = p.select(F.lit(MIN_SEQ).alias("seq"), F.lit("r").alias("op"), *FIELDS) \
@@ -109,7 +111,7 @@ def latest_config(ops: DataFrame) -> DataFrame:
     removes the key. One row per source table (a small table)."""
     last = F.max_by(F.struct("op", *FIELDS[1:]), "seq")
     return (ops.groupBy("source_table").agg(last.alias("_c"))
-            .where(F.col("_c.op") != "d")
+            .where(~F.col("_c.op").eqNullSafe("d"))
             .select("source_table", *[F.col(f"_c.{f}").alias(f) for f in FIELDS[1:]],
                     F.col("_c.op").alias("op")))
 
@@ -120,7 +122,7 @@ def config_intervals(ops: DataFrame) -> DataFrame:
     is found without a window over a whole source table (``next_in_group``)."""
     from rillflow.operators.ordered import next_in_group
     return (next_in_group(ops, "source_table", "seq", "valid_to")
-            .where(F.col("op") != "d")
+            .where(~F.col("op").eqNullSafe("d"))
             .withColumnRenamed("seq", "valid_from"))
 
 

@@ -101,7 +101,7 @@ def interval_join(facts: DataFrame, intervals: DataFrame, fact_key: str, int_key
     buckets. The interval side is broadcast when its (bounded) size fits, else
     both sides shuffle on (key, bucket) and AQE splits skewed partitions.
     """
-    min_long, max_long = F.lit(MIN_LONG), F.lit(MAX_LONG)
+    min_long = F.lit(MIN_LONG)
     per_key = intervals.groupBy(int_key).agg(
         F.count(F.lit(1)).alias("_versions"),
         F.sum(side_bytes(intervals)).alias("_bytes"),
@@ -142,7 +142,7 @@ def interval_join(facts: DataFrame, intervals: DataFrame, fact_key: str, int_key
 
         is_hot = F.lit(True) if bucket_all else F.col(int_key).isin(hot)
         fact_hot = F.lit(True) if bucket_all else F.col(fact_key).isin(hot)
-        last = bucket(F.least(F.coalesce(F.col(valid_to), max_long) - 1, F.lit(hi)))
+        last = bucket(F.coalesce(F.col(valid_to) - 1, F.lit(hi)))
         spans = F.when(is_hot, F.sequence(bucket(F.col(valid_from)), last)) \
             .otherwise(F.array(F.lit(-1).cast("long")))
         iv = intervals.withColumn("_b", F.explode(spans))
@@ -164,6 +164,6 @@ def interval_join(facts: DataFrame, intervals: DataFrame, fact_key: str, int_key
         # (key, bucket) partition and stream the facts through
         iv = iv.hint("shuffle_hash")
     cond = ((f[fact_key] == iv[int_key]) & (f["_b"] == iv["_b"])
-            & (f[pos] > iv[valid_from]) & (f[pos] < F.coalesce(iv[valid_to], max_long)))
+            & (f[pos] > iv[valid_from]) & (iv[valid_to].isNull() | (f[pos] < iv[valid_to])))
     out = f.join(iv, cond, how).drop(f["_b"]).drop(iv["_b"])
     return out.drop(iv[int_key]) if fact_key == int_key else out

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.functions.dates import prev_day, ts_to_date
+from rillflow.functions.dates import in_range, prev_day, ts_to_date
 from rillflow.functions.jsonvar import (
     as_object, drop_keys, get_long, get_str, is_object, keep_where, parse_object, present,
     put_keys, to_json_text,
@@ -22,7 +22,7 @@ from rillflow.functions.jsonvar import (
 LOG = "log"
 CHANNELS = ("err", "start", "page", "display", "action")
 OUT_OF_ORDERNESS = "3 seconds"
-_OBJECT_KEYS = ("page", "start", "common")
+_OBJECT_KEYS = ("page", "start", "common", "err")
 
 
 def _key(name: str) -> Column:
@@ -41,7 +41,7 @@ def parse_logs(raw: DataFrame, value: str = "value") -> DataFrame:
     for k in _OBJECT_KEYS:
         bad_type = bad_type | (present(_key(k)) & ~is_object(_key(k)))
     ts = get_long(_key("ts"))
-    bad_type = bad_type | (present(_key("ts")) & ts.isNull())
+    bad_type = bad_type | (present(_key("ts")) & ~F.coalesce(in_range(ts), F.lit(False)))
     dirty = F.col(LOG).isNull() | bad_type
     mid = get_str(_key("common"), "$.mid")
     df = df.select(
@@ -63,8 +63,9 @@ def clean_logs(raw: DataFrame, value: str = "value", keep_text: bool = False) ->
 
 
 def dirty_logs(raw: DataFrame, value: str = "value") -> DataFrame:
-    """FIL-4: the quarantine: messages that do not parse as an object or hold a
-    key of the wrong type. Valid logs that only lack a key are dropped silently
+    """FIL-4: the quarantine: messages that do not parse as an object, hold a
+    key of the wrong type (page, start, common or err not an object, ts not a
+    number) or a ts that is no date in milliseconds. Valid logs that only lack a key are dropped silently
     by FIL-1 and do not appear here."""
     return keep_where(parse_logs(raw, value).select(*raw.columns, "_dirty"), "_dirty")
 

@@ -374,3 +374,8 @@ WITH {_COMMENTS}
 SELECT id, user_id, sku_id, appraise, dic_name AS appraise_name, comment_txt, ts
 FROM ci JOIN dic ON ci.appraise = dic.rowkey
 """
+
+ORACLES["dic_from_snapshot"] = f"""
+SELECT row_key AS rowkey, value AS dic_name FROM ({ORACLES["dim_snapshot"]}) AS cells
+WHERE sink_table = 'dim_customer' AND "column" = 'name'
+"""

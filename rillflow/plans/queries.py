@@ -159,7 +159,9 @@ def change_topic(spark, sf_dir) -> DataFrame:
 
 
 def clean_change_rows(spark, sf_dir) -> DataFrame:
-    return chg.clean_changes(chg.parse_changes(change_topic(spark, sf_dir)), fx.SHOP_DB)
+    return chg.clean_changes(chg.parse_changes(
+        change_topic(spark, sf_dir), only=lambda db, table, kind: db == fx.SHOP_DB, old=False),
+        fx.SHOP_DB)
 
 
 @register("change_table")
@@ -264,6 +266,13 @@ def dim_snapshot(spark, sf_dir):
     return dims.dim_snapshot(live)
 
 
+@register("dic_from_snapshot")
+def dic_from_snapshot(spark, sf_dir):
+    """The dimension job's output as the comments job's dictionary (SRC-5)."""
+    dic = cmt.dictionary_from_snapshot(dim_snapshot(spark, sf_dir), "dim_customer", "name")
+    return dic.select("rowkey", F.col("info.dic_name").alias("dic_name"))
+
+
 # -------------------------------------------------------------------- comments
 def comment_topic(spark, sf_dir) -> DataFrame:
     return fx.comment_raw(_read(spark, sf_dir, "documents"))
@@ -280,8 +289,7 @@ def dictionary(spark, sf_dir) -> DataFrame:
 
 @register("comment_filter")
 def comment_filter(spark, sf_dir):
-    rows = cmt.comment_filter(chg.parse_changes(db_topic(spark, sf_dir)), fx.SHOP_DB)
-    return cmt.comment_project(rows)
+    return cmt.comment_project(cmt.new_comments(db_topic(spark, sf_dir), fx.SHOP_DB))
 
 
 @register("comment_project")
@@ -291,15 +299,15 @@ def comment_project(spark, sf_dir):
 
 @register("dic_lookup")
 def dic_lookup(spark, sf_dir):
-    rows = cmt.comment_project(
-        cmt.comment_filter(chg.parse_changes(db_topic(spark, sf_dir)), fx.SHOP_DB))
+    rows = cmt.comment_project(cmt.new_comments(db_topic(spark, sf_dir), fx.SHOP_DB))
     return cmt.lookup_dictionary(rows, dictionary(spark, sf_dir)) \
         .select("id", "appraise", "appraise_name")
 
 
 @register("comment_info")
 def comment_info(spark, sf_dir):
-    chg.parse_changes(db_topic(spark, sf_dir), proc_time=True) \
+    # the view's predicate is applied where the records are parsed
+    cmt.new_comments(db_topic(spark, sf_dir), fx.SHOP_DB, proc_time=True) \
         .createOrReplaceTempView("topic_db")
     dic = cmt.dictionary_table(dictionary(spark, sf_dir))
     dic.createOrReplaceTempView("base_dic")

@@ -1,6 +1,7 @@
 """The comments job on a stream: ``foreachBatch`` that re-reads the dictionary
 (STR-4) and enriches the batch's new comments by a lookup join (JOI-3), then
-writes them to the comment channel (D6), idempotently per ``batch_id``."""
+writes them to the comment topic (D6): a Kafka topic (at least once), or a folder in
+which a retry replaces the batch's part."""
 
 from __future__ import annotations
 
@@ -10,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.operators import changes as chg
+from rillflow.constants import TOPIC_COMMENT_INFO
 from rillflow.operators import comments as cmt
+from rillflow.session import materialize
 
 
 class CommentBatchWriter:
@@ -19,7 +21,10 @@ class CommentBatchWriter:
     dictionary table; it is re-read every batch, or every ``refresh_seconds``."""
 
     def __init__(self, load_dictionary: Callable[[SparkSession], DataFrame], out_path: str,
-                 database: str, refresh_seconds: float = 0.0):
+                 database: str, refresh_seconds: float = 0.0,
+                 bootstrap_servers: str | None = None, topic: str = TOPIC_COMMENT_INFO):
+        self.bootstrap_servers = bootstrap_servers
+        self.topic = topic
         self.load_dictionary = load_dictionary
         self.out_path = out_path
         self.database = database
@@ -31,14 +36,20 @@ class CommentBatchWriter:
         now = time.monotonic()
         if self._dic is None or now - self._loaded_at >= self.refresh_seconds:
             self._dic = self.load_dictionary(spark)
+            if self.refresh_seconds > 0:
+                # a copy of its own: the dictionary may be rewritten while it is kept
+                self._dic = materialize(self._dic, "dictionary")
             self._loaded_at = now
         return self._dic
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = cmt.comment_project(cmt.comment_filter(chg.parse_changes(batch, proc_time=True),
-                                                      self.database))
+        rows = cmt.comment_project(cmt.new_comments(batch, self.database, proc_time=True))
         out = cmt.lookup_dictionary(rows, self.dictionary(spark))
-        (out.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self.out_path))
+        if self.bootstrap_servers:
+            (out.select(F.lit(self.topic).alias("topic"), F.col("id").alias("key"),
+                        F.to_json(F.struct("*")).alias("value"))
+             .write.format("kafka").option("kafka.bootstrap.servers", self.bootstrap_servers)
+             .save())
+        else:
+            out.write.mode("overwrite").parquet(f"{self.out_path}/batch_id={batch_id}")

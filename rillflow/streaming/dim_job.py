@@ -1,34 +1,52 @@
 """The dimension job on streams.
 
 * ``config_ops_stream``: the config feed decoded and appended to a config-ops
-  table (file sink, exactly-once).
+  table (file sink, exactly-once). Here and in the change log ``seq`` is a position
+  (``operators.position``): event time, then partition and offset, so changes and config
+  ops of different topics and partitions have one order.
 * ``DimBatchWriter``: ``foreachBatch`` for the change stream. Every micro-batch
   re-reads the config ops (STA-3), takes the latest config per source table,
   broadcasts it when its size allows (JOI-1), prunes columns, extracts row keys
-  and appends the routed changes to the change log, in a ``batch_id`` partition
-  that a retry overwrites (SNK-2). Changes without a row key go to a quarantine.
+  and appends the routed changes to the change log, in a ``batch_id`` folder that a
+  retry replaces, also by nothing (SNK-2). Changes without a row key go to a
+  quarantine. Config ops that are not there yet are no ops.
 * ``compact_snapshot``: the dimension tables from the change log (STA-4) with
   the lifecycle of the config ops (SNK-3): a batch job run as often as needed.
 
 By default every change of a micro-batch meets the config in force at the
-batch start; with ``as_of=True`` (config ops and changes on one position axis)
-each change meets the config in force at its own position, per record, as the
-reference and the batch job ``rillflow.operators.dims.route_changes`` do.
+batch start; with ``as_of=True`` each change meets the config in force at its own
+position, per record, as the reference and the batch job
+``rillflow.operators.dims.route_changes`` do.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.operators import changes as chg
 from rillflow.operators import config as cfg
 from rillflow.operators import dims
+from rillflow.operators.position import positioned
+
+OPS_SCHEMA = "seq decimal(38,0), op string, " + ", ".join(f"{f} string" for f in cfg.FIELDS)
 
 
 def config_ops_stream(raw: DataFrame) -> DataFrame:
     """Decoded config ops ``(seq, op, source_table, ...)`` from the envelope stream."""
-    return cfg.decode_config(raw)
+    return positioned(cfg.decode_config(raw, event_time=True), "ts_ms").drop("ts_ms")
+
+
+def read_ops(spark: SparkSession, path: str) -> DataFrame:
+    """The config ops so far; a table that does not exist yet has none."""
+    try:
+        return spark.read.schema(OPS_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], OPS_SCHEMA)
 
 
 class DimBatchWriter:
@@ -36,9 +54,9 @@ class DimBatchWriter:
 
     def __init__(self, ops_path: str, changelog_path: str, quarantine_path: str,
                  database: str, preload: DataFrame | None = None, as_of: bool = False):
-        """``as_of``: config ops and changes share the ``seq`` axis, so each change
-        meets the config in force at its own position (per-record semantics);
-        otherwise every change of the batch meets the latest config."""
+        """``as_of``: each change meets the config in force at its own position
+        (per-record semantics); otherwise every change of the batch meets the latest
+        config."""
         self.ops_path = ops_path
         self.changelog_path = changelog_path
         self.quarantine_path = quarantine_path
@@ -47,35 +65,34 @@ class DimBatchWriter:
         self.as_of = as_of
 
     def ops(self, spark: SparkSession) -> DataFrame:
-        ops = spark.read.schema(
-            "seq bigint, op string, " + ", ".join(f"{f} string" for f in cfg.FIELDS)
-        ).parquet(self.ops_path)
-        return cfg.config_ops(ops, self.preload)
+        return cfg.config_ops(read_ops(spark, self.ops_path), self.preload)
 
     def latest(self, spark: SparkSession) -> DataFrame:
         return cfg.latest_config(self.ops(spark))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        changes = chg.clean_changes(chg.parse_changes(batch), self.database)
+        changes = positioned(chg.clean_changes(chg.parse_changes(
+            batch, only=lambda db, table, kind: db == self.database, old=False),
+            self.database), "ts")
         if self.as_of:
             routed = dims.route_changes(changes, cfg.config_intervals(self.ops(spark)))
         else:
             routed = dims.route_latest(changes, self.latest(spark))
         keyed = dims.with_row_key(dims.prune_columns(routed))
-        keyed = keyed.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        cols = ["seq", "ts", "table", "type", "data", "sink_table", "row_key", "op", "batch_id"]
-        (keyed.where(F.col("row_key").isNotNull()).select(*cols)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self.changelog_path))
-        (dims.bad_row_keys(keyed).select(*cols)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self.quarantine_path))
+        cols = ["seq", "ts", "table", "type", "data", "sink_table", "row_key", "op"]
+        keyed = keyed.select(*cols).persist(StorageLevel.DISK_ONLY)
+        # the batch's own folder is replaced as a whole: after a retry that routes
+        # differently nothing of the first attempt is left
+        for rows, path in ((keyed.where(F.col("row_key").isNotNull()), self.changelog_path),
+                           (dims.bad_row_keys(keyed), self.quarantine_path)):
+            rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        keyed.unpersist()
 
 
 def compact_snapshot(spark: SparkSession, changelog_path: str, ops_path: str) -> DataFrame:
     """Dimension contents from the change log; config ops and changes share
-    the ``seq`` axis for the table resets."""
+    the position axis for the table resets."""
     log = spark.read.parquet(changelog_path)
-    ops = spark.read.parquet(ops_path)
+    ops = read_ops(spark, ops_path)
     return dims.dim_snapshot(dims.apply_lifecycle(log, cfg.table_lifecycle(ops)))
