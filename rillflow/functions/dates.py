@@ -51,6 +51,11 @@ def ts_to_date(ts_ms: Column | str, zone: str | None = None) -> Column:
     return F.date_format(wall_clock(ts_ms, zone), DATE_FMT)
 
 
+def ts_to_day(ts_ms: Column | str, zone: str | None = None) -> Column:
+    """The date of FUN-10 as days since 1970-01-01."""
+    return F.unix_date(wall_clock(ts_ms, zone).cast("date"))
+
+
 def ts_to_datetime(ts_ms: Column | str, zone: str | None = None) -> Column:
     """FUN-11: epoch ms -> 'yyyy-MM-dd HH:mm:ss'."""
     return F.date_format(wall_clock(ts_ms, zone), DATETIME_FMT)

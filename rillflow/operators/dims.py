@@ -3,8 +3,8 @@ pruning (PRJ-4), row keys (PRJ-5) and the cell-level snapshot (SNK-2, STA-4).
 
 Batch form: every change meets the config in force at its position (an as-of
 join to validity intervals), so config edits in the middle of the stream apply
-exactly where they happened. The snapshot is two partial aggregations and one
-join on (sink_table, row_key); no window sorts a whole row key in one task.
+exactly where they happened. The snapshot is one partial aggregation per cell and a
+window over a row's aggregated cells (at most one per column).
 """
 
 from __future__ import annotations
@@ -14,14 +14,21 @@ from pyspark.sql import functions as F
 
 from rillflow.functions.jsonvar import keep_keys
 from rillflow.operators.config import FIELDS
-from rillflow.operators.joins import MIN_LONG, interval_join, sized_broadcast
+from rillflow.operators.joins import (
+    MIN_LONG, fits_broadcast, interval_join, sized_broadcast,
+)
 
 ROUTE_COLS = FIELDS[1:] + ("op",)
 
 
 def route_changes(changes: DataFrame, intervals: DataFrame, limit: int | None = None) -> DataFrame:
     """JOI-1 (batch): inner as-of join on ``table = source_table`` with
-    ``valid_from < seq < valid_to``; unmatched changes are dropped."""
+    ``valid_from < seq < valid_to``; unmatched changes are dropped. Changes of tables
+    that no config ever names are dropped first, before their maps are shuffled, if the
+    names are few enough to broadcast."""
+    names = intervals.select(F.col("source_table").alias("table")).distinct()
+    if fits_broadcast(names):
+        changes = changes.join(F.broadcast(names), "table", "left_semi").select(changes.columns)
     iv = intervals.select(F.col("source_table"), "valid_from", "valid_to", *ROUTE_COLS)
     out = interval_join(changes, iv, "table", "source_table", "seq", "valid_from", "valid_to",
                         limit=limit)

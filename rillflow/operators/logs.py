@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.functions.dates import in_range, prev_day, ts_to_date
+from rillflow.functions.dates import DAY_MS, in_range, prev_day, ts_to_date, ts_to_day
 from rillflow.functions.jsonvar import (
     as_object, drop_keys, get_long, get_str, is_object, keep_where, parse_object, present,
     put_keys, to_json_text,
@@ -56,10 +56,13 @@ def parse_logs(raw: DataFrame, value: str = "value") -> DataFrame:
     return df.withColumn("_clean", F.coalesce(clean, F.lit(False)))
 
 
-def clean_logs(raw: DataFrame, value: str = "value", keep_text: bool = False) -> DataFrame:
-    """FIL-1: keep parseable logs with page or start, common, common.mid and ts."""
+def clean_logs(raw: DataFrame, value: str = "value", keep_text: bool = False,
+               keep_log: bool = True) -> DataFrame:
+    """FIL-1: keep parseable logs with page or start, common, common.mid and ts.
+    Without the text and the parsed record (``keep_log=False``) the rows are slim."""
     parsed = parse_logs(raw, value).drop("_dirty")
-    return keep_where(parsed if keep_text else parsed.drop(value), "_clean")
+    gone = ([] if keep_text else [value]) + ([] if keep_log else [LOG])
+    return keep_where(parsed.drop(*gone), "_clean")
 
 
 def dirty_logs(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -84,15 +87,19 @@ def visitor_candidate(zone: str | None = None) -> Column:
             .when(is_new == "0", prev_day("ts", zone)))
 
 
-def first_visit_dates(logs: DataFrame, zone: str | None = None,
-                      order: Sequence[str] = ("ts", "seq")) -> DataFrame:
-    """Per device, the state the sequential rule ends with: the candidate date of
-    the first record (in ``order``) that has one. Partial aggregation absorbs hot
-    devices before the shuffle."""
-    cand = visitor_candidate(zone)
-    return (logs.where(cand.isNotNull())
-            .groupBy("mid")
-            .agg(F.min_by(cand, F.struct(*order)).alias("first_dt")))
+def first_visit_days(logs: DataFrame, zone: str | None = None,
+                     order: tuple[str, str] = ("ts", "seq")) -> DataFrame:
+    """Per device, the state the sequential rule ends with: the candidate day of
+    the first record (by ``order``, two longs) that has one. Day and order are numbers of
+    fixed width, so the partial aggregation that absorbs hot devices before the shuffle
+    is a hash aggregation: no log is sorted."""
+    is_new = F.col("is_new")
+    day = (F.when(is_new == "1", ts_to_day("ts", zone))
+           .when(is_new == "0", ts_to_day(F.col("ts") - F.lit(DAY_MS), zone)))
+    at = (F.col(order[0]).cast("decimal(19,0)") * F.lit(str(1 << 64)).cast("decimal(20,0)")
+          + F.col(order[1]).cast("decimal(19,0)")).cast("decimal(38,0)")
+    return (logs.select("mid", day.alias("day"), at.alias("at")).where("day is not null")
+            .groupBy("mid").agg(F.min_by("day", "at").alias("first_day")))
 
 
 def set_fixed_flag(logs: DataFrame) -> DataFrame:
@@ -106,28 +113,30 @@ def set_fixed_flag(logs: DataFrame) -> DataFrame:
 
 
 def apply_visitor_fix(logs: DataFrame, state: DataFrame, zone: str | None = None) -> DataFrame:
-    """Join the per-device date back and rewrite ``common.is_new``.
+    """Join the per-device day back and rewrite ``common.is_new``.
 
-    A "1" becomes "0" when the device's first date differs from the record's
-    date; every record is kept. ``state`` has ``mid, first_dt``.
+    A "1" becomes "0" when the device's first day differs from the record's
+    day; every record is kept. ``state`` has ``mid, first_day``.
     """
-    day = ts_to_date("ts", zone)
     joined = logs.join(state, "mid", "left")
-    fixed = F.when((F.col("is_new") == "1") & (F.col("first_dt") != day), F.lit("0")) \
-        .otherwise(F.col("is_new"))
-    return set_fixed_flag(joined.withColumn("fixed_is_new", fixed).drop("first_dt"))
+    fixed = F.when((F.col("is_new") == "1") & (F.col("first_day") != ts_to_day("ts", zone)),
+                   F.lit("0")).otherwise(F.col("is_new"))
+    return set_fixed_flag(joined.withColumn("fixed_is_new", fixed).drop("first_day"))
 
 
 def repair_new_visitors(logs: DataFrame, zone: str | None = None,
-                        order: Sequence[str] = ("ts", "seq")) -> DataFrame:
+                        order: tuple[str, str] = ("ts", "seq"),
+                        slim: DataFrame | None = None) -> DataFrame:
     """STA-1 (batch): equals the per-device sequential state machine.
 
     State S per device, written at most once: flag "1" with S set and S != date
     -> "0"; flag "1" with S empty -> S := date; flag "0" with S empty -> S :=
     date(ts - 24 h). The final S is the first candidate in order, and a "1"
-    record changes exactly when S differs from its date.
+    record changes exactly when S differs from its date. ``slim``: the same records
+    without the parsed log, from which the state is computed.
     """
-    return apply_visitor_fix(logs, first_visit_dates(logs, zone, order), zone)
+    return apply_visitor_fix(logs, first_visit_days(logs if slim is None else slim, zone, order),
+                             zone)
 
 
 # ----------------------------------------------------------------------- split
@@ -193,4 +202,5 @@ def log_channels(raw: DataFrame, zone: str | None = None,
     clean = clean_logs(raw)
     if set(channels) <= {"err"}:
         return split_log(clean, channels)
-    return split_log(repair_new_visitors(clean, zone), channels)
+    return split_log(repair_new_visitors(clean, zone, slim=clean_logs(raw, keep_log=False)),
+                     channels)

@@ -47,7 +47,9 @@ def log_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repaired_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs.repair_new_visitors(logs.clean_logs(log_topic(spark, sf_dir)), ZONE)
+    raw = log_topic(spark, sf_dir)
+    return logs.repair_new_visitors(logs.clean_logs(raw), ZONE,
+                                    slim=logs.clean_logs(raw, keep_log=False))
 
 
 @register("log_clean")

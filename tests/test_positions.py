@@ -135,3 +135,13 @@ def test_dimension_snapshot_as_dictionary(spark, scratch):
     writer(_topic(spark, [(4, comment)]), 1)
     got = spark.read.parquet(out).collect()
     assert [(r["id"], r["appraise_name"]) for r in got] == [("9", "good")] * 2
+
+
+def test_repair_state_is_hash_aggregated(spark):
+    """No log is sorted before the first exchange of the device state."""
+    from rillflow.plans import queries as Q
+    from tests.conftest import SF
+    plan = Q.REGISTRY["visitor_fix"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "partial_min_by" in plan
+    state = plan[plan.index("HashAggregate(keys=[mid"):]
+    assert "Sort [" not in state
