@@ -109,9 +109,6 @@ def with_class(docs: DataFrame, out: str, text_col: str = "text") -> DataFrame:
 _PACKED = "bucket bigint, cls binary, n binary, count binary, token binary"
 _PACKED_ARROW = pa.schema([("bucket", pa.int64())] + [(c, pa.binary()) for c in
                                                       ("cls", "n", "count", "token")])
-_SHARED = "cls binary, n int, token binary"
-_SHARED_ARROW = pa.schema([("cls", pa.binary()), ("n", pa.int32()), ("token", pa.binary())])
-
 
 def _pack(key: int, cls: np.ndarray, n: np.ndarray, owner: np.ndarray, token: np.ndarray) -> dict:
     """One row: the tokens by owner (ascending), each owner's class, size and count."""
@@ -177,58 +174,70 @@ def _pack_texts(buckets: int):
     return run
 
 
-def _find_shared(table: pa.Table) -> pa.Table:
-    """A bucket's tokens that several classes hold, by class (a pass-through row as it
-    is)."""
+def _packed_by_class(names: np.ndarray, size: np.ndarray, owner: np.ndarray, token: np.ndarray,
+                     parts: int) -> list[dict]:
+    """Tokens dealt to ``parts`` by their owner's class, packed."""
+    part = (names.view("<u8").reshape(-1, 2)[:, 0] % _U(parts)).astype(np.int64)[owner]
+    order = np.lexsort((owner, part))
+    token, owner, part = token[order], owner[order], part[order]
+    edges = np.searchsorted(part, np.arange(parts + 1))
+    return [_pack(k, names, size, owner[a:b], token[a:b])
+            for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
+
+
+def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The classes of packed rows, their sizes, and each token's owner and itself."""
     def column(name, kind):
         return np.concatenate([np.frombuffer(x.as_buffer(), dtype=kind)
                                for x in table.column(name)])
 
-    cls, n, count = column("cls", "V16"), column("n", "<i4"), column("count", "<i4")
-    token = column("token", "<u8")
-    names, who = np.unique(cls, return_inverse=True)
-    size = np.zeros(len(names), dtype=np.int32)
-    size[who] = n
-    owner = np.repeat(who, count)
-    if table.column("bucket")[0].as_py() >= 0:
-        order = np.lexsort((owner, token))
-        token, owner = token[order], owner[order]
-        new = np.concatenate(([True], token[1:] != token[:-1]))
-        again = np.concatenate(([False], owner[1:] == owner[:-1])) & ~new
-        token, owner, new = token[~again], owner[~again], new[~again]
-        marked = names[owner] == np.void(_MARK)
-        run = np.cumsum(new) - 1
-        fine = np.bincount(run) > 1  # a mark beside another entry counts as well
-        keep = fine[run] & ~marked
-        token, owner = token[keep], owner[keep]
-    order = np.argsort(owner, kind="stable")
+    names, who = np.unique(column("cls", "V16"), return_inverse=True)
+    size = np.zeros(len(names), dtype=np.int64)
+    size[who] = column("n", "<i4")
+    return names, size, np.repeat(who, column("count", "<i4")), column("token", "<u8")
+
+
+def _distinct(owner: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (token, owner) in that order, and where a new token begins."""
+    order = np.lexsort((owner, token))
     token, owner = token[order], owner[order]
-    first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) \
-        if len(owner) else np.zeros(0, dtype=np.int64)
-    ends = np.append(first[1:], len(owner))
-    return pa.table([
-        pa.array([names[owner[a]].tobytes() for a in first], pa.binary()),
-        pa.array(size[owner[first]], pa.int32()),
-        pa.array([token[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())],
-        schema=_SHARED_ARROW)
-
-
-def _unpacked(percent: int):
-    """Packed shared tokens of a class as a sorted array; classes with too few go."""
+    new = np.concatenate(([True], token[1:] != token[:-1]))
+    again = np.concatenate(([False], owner[1:] == owner[:-1])) & ~new
+    return owner[~again], token[~again], new[~again]
+
+
+def _find_shared(parts: int):
+    """A bucket's tokens that several classes hold, dealt by class (those of a
+    pass-through row as they are)."""
+    def run(table: pa.Table) -> pa.Table:
+        names, size, owner, token = _unpack(table)
+        if table.column("bucket")[0].as_py() >= 0:
+            owner, token, new = _distinct(owner, token)
+            at = np.cumsum(new) - 1
+            several = np.bincount(at) > 1  # a mark beside another entry counts as well
+            keep = several[at] & (names[owner] != np.void(_MARK))
+            owner, token = owner[keep], token[keep]
+        return pa.Table.from_pylist(_packed_by_class(names, size, owner, token, parts),
+                                    schema=_PACKED_ARROW)
+    return run
+
+
+def _enough_shared(percent: int):
+    """Classes with at least ``percent`` of their tokens shared, with those, sorted."""
     schema = pa.schema([("cls", pa.binary()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cls, n, sets = [], [], []
-            for c, k, parts in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                t = np.unique(np.concatenate([np.frombuffer(p, "<u8") for p in parts]))
-                if len(t) >= needed(k, percent):
-                    cls.append(c)
-                    n.append(k)
-                    sets.append(t.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cls, pa.binary()), pa.array(n, pa.int32()),
-                 pa.array(sets, pa.list_(pa.int64()))], schema=schema)
+    def run(table: pa.Table) -> pa.Table:
+        names, size, owner, token = _unpack(table)
+        owner, token, _ = _distinct(owner, token)
+        order = np.argsort(owner, kind="stable")
+        token, count = token[order], np.bincount(owner, minlength=len(names))
+        end = np.cumsum(count)
+        rows = np.flatnonzero(count * 100 >= percent * size)
+        return pa.table([
+            pa.array([names[i].tobytes() for i in rows], pa.binary()),
+            pa.array(size[rows], pa.int32()),
+            pa.array([token[end[i] - count[i]:end[i]].view(np.int64) for i in rows],
+                     pa.list_(pa.int64()))], schema=schema)
     return run
 
 
@@ -238,12 +247,10 @@ def shared_tokens(docs: DataFrame, text_col: str, total: int, percent: int = PER
     batch_rows(docs.sparkSession, BATCH)
     buckets = max(1, -(-total // BUCKET_TOKENS))
     packed = docs.select(text_col).mapInArrow(_pack_texts(buckets), _PACKED)
-    shared = packed.groupBy("bucket").applyInArrow(_find_shared, _SHARED)
-    held = F.aggregate("parts", F.lit(0), lambda a, p: a + F.octet_length(p))
-    per = shared.groupBy("cls", "n").agg(F.collect_list("token").alias("parts")) \
-        .where(held / 8 * 100 >= percent * F.col("n"))
-    return materialize(per.mapInArrow(_unpacked(percent), "cls binary, n int, tokens array<bigint>"),
-                       "ngram-shared")
+    shared = packed.groupBy("bucket").applyInArrow(_find_shared(buckets), _PACKED)
+    enough = shared.groupBy("bucket").applyInArrow(_enough_shared(percent),
+                                                   "cls binary, n int, tokens array<bigint>")
+    return materialize(enough, "ngram-shared")
 
 
 # -------------------------------------------------------------------- candidates
