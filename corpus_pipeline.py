@@ -56,12 +56,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     how = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     batch_rows(spark, bpe.BATCH)
-    ids = docs.select("doc_id", "lang", "source", "text",
-                      bpe.encoded(F.col("text"), *how).alias("ids"))
-    back = bpe.decoded(F.col("ids"), *how)
-    return ids.select(
-        "doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
-        (back == F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("decodes"))
+    return docs.select("doc_id", "lang", "source",
+                       bpe.encoded_checked(F.col("text"), *how).alias("e")).select(
+        "doc_id", "lang", "source", F.size("e.ids").cast("bigint").alias("n_tokens"),
+        "e.ids", "e.decodes")
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates),

@@ -196,6 +196,24 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
     return data(ids)
 
 
+def encoded_checked(text: Column, path: str, pattern: str) -> Column:
+    """struct(ids, decodes): the ids of each text, and whether they decode to its very
+    bytes, in one pass."""
+    kind = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())),
+                         T.StructField("decodes", T.BooleanType())])
+
+    @F.pandas_udf(kind)
+    def checked(texts: pd.Series) -> pd.DataFrame:
+        c, ids, fine = codec(path, pattern), [], []
+        for t in texts:
+            own = c.encode(t or "")
+            ids.append(np.asarray(own, dtype=np.int32))
+            fine.append(c.decode(own) == (t or "").encode())
+        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decodes": fine})
+
+    return checked(text)
+
+
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """Per row: id, n_tokens, and digests of the ids (little-endian 32-bit integers)
