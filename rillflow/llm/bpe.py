@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -160,6 +161,11 @@ class Codec:
             return self._whole(text)
         return self._whole(first) + rest
 
+    def forget(self) -> None:
+        for memory in (self.known, self.parts):
+            memory.clear()
+            memory.older = {}
+
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
@@ -198,18 +204,22 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
 
 def encoded_checked(text: Column, path: str, pattern: str) -> Column:
     """struct(ids, decodes): the ids of each text, and whether they decode to its very
-    bytes, in one pass."""
+    bytes, in one pass. What a worker remembers is let go with the task: the worker
+    may go on to other work."""
     kind = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())),
                          T.StructField("decodes", T.BooleanType())])
 
     @F.pandas_udf(kind)
-    def checked(texts: pd.Series) -> pd.DataFrame:
-        c, ids, fine = codec(path, pattern), [], []
-        for t in texts:
-            own = c.encode(t or "")
-            ids.append(np.asarray(own, dtype=np.int32))
-            fine.append(c.decode(own) == (t or "").encode())
-        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decodes": fine})
+    def checked(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        c = codec(path, pattern)
+        for texts in batches:
+            ids, fine = [], []
+            for t in texts:
+                own = c.encode(t or "")
+                ids.append(np.asarray(own, dtype=np.int32))
+                fine.append(c.decode(own) == (t or "").encode())
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decodes": fine})
+        c.forget()
 
     return checked(text)
 

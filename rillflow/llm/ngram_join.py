@@ -54,7 +54,7 @@ from rillflow.session import materialize
 NGRAM = 4
 PERCENT = 85
 #: tokens that a bucket of the first pass aims at, and those of a packed row
-BUCKET_TOKENS, PACK_TOKENS = 2_000_000, 1_000_000
+BUCKET_TOKENS, PACK_TOKENS = 1_000_000, 500_000
 #: classes on a side of a search task
 GROUP = 2_000
 #: texts in an Arrow batch
