@@ -7,7 +7,9 @@ stages but the last return the columns of ``documents``.
 1. ``language``: the language model learns from the labelled rows (a bounded sample);
    documents without a letter, or of which it is less than ``LEAST_SURE`` sure, go; a missing
    ``lang`` is filled with the prediction.
-2. ``near_duplicates``: one document of each component of the n-gram join stays.
+2. ``near_duplicates``: one document of each component of the n-gram join stays; documents
+   are linked at a Jaccard of ``NEAR_PERCENT`` over ``NEAR_WORDS`` words (op9's own limits
+   are those of its contract).
 3. ``secrets``: every span found is replaced by a mark; ``n_chars`` follows.
 4. ``mixture``: sources are mixed to their target weights; a row that is drawn twice
    comes twice.
@@ -28,6 +30,8 @@ from rillflow.llm.common import batch_rows, fresh, read_table
 from rillflow.session import materialize
 
 LEAST_SURE = 0.1
+#: near duplicates: words of an n-gram, least Jaccard in percent
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +43,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, percent=NEAR_PERCENT, ngram=NEAR_WORDS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Every text becomes the set of its word n-grams (64-bit hashes); equal sets are one
 class (``members``), so copies cost one. Linked classes, those with
-``100 * |x & y| >= PERCENT * |x | y|``, are found without listing pairs of a group:
+``100 * |x & y| >= percent * |x | y|``, are found without listing pairs of a group:
 
 1. ``shared_tokens``: a token that one class alone holds cannot count towards any
    overlap. Tokens are shuffled once, packed, into buckets of about
@@ -92,17 +92,21 @@ def needed(n: int, percent: int) -> int:
 _MEMBER = T.StructType([T.StructField("n", T.LongType()), T.StructField("cls", T.BinaryType())])
 
 
-@F.pandas_udf(_MEMBER)
-def _member(texts: pd.Series) -> pd.DataFrame:
-    sets = [tokens(t) for t in texts]
-    return pd.DataFrame({"n": [len(t) for t in sets], "cls": [class_of(t) for t in sets]})
+def _member(ngram: int):
+    @F.pandas_udf(_MEMBER)
+    def of(texts: pd.Series) -> pd.DataFrame:
+        sets = [tokens(t, ngram) for t in texts]
+        return pd.DataFrame({"n": [len(t) for t in sets], "cls": [class_of(t) for t in sets]})
 
+    return of
 
-def with_class(docs: DataFrame, out: str, text_col: str = "text") -> DataFrame:
+
+def with_class(docs: DataFrame, out: str, text_col: str = "text",
+               ngram: int = NGRAM) -> DataFrame:
     """``docs`` plus ``out``: struct(n, cls), the size of a text's set and its class
     (null if empty)."""
     batch_rows(docs.sparkSession, BATCH)
-    return docs.withColumn(out, _member(F.col(text_col)))
+    return docs.withColumn(out, _member(ngram)(F.col(text_col)))
 
 
 # ---------------------------------------------------------------- shared tokens
@@ -148,7 +152,7 @@ def _packed_rows(cls: list[bytes], sets: list[np.ndarray], buckets: int) -> Iter
             yield _pack(b, names, sizes, owner[part], token[part])
 
 
-def _pack_texts(buckets: int):
+def _pack_texts(buckets: int, ngram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, cls, sets, held = set(), [], [], 0
 
@@ -158,7 +162,7 @@ def _pack_texts(buckets: int):
 
         for batch in batches:
             for text in batch.column(0):
-                t = tokens(text.as_py())
+                t = tokens(text.as_py(), ngram)
                 c = class_of(t)
                 if c is None or c in seen:
                     continue
@@ -241,12 +245,13 @@ def _enough_shared(percent: int):
     return run
 
 
-def shared_tokens(docs: DataFrame, text_col: str, total: int, percent: int = PERCENT) -> DataFrame:
+def shared_tokens(docs: DataFrame, text_col: str, total: int, percent: int = PERCENT,
+                  ngram: int = NGRAM) -> DataFrame:
     """(cls, n, tokens): the classes of which at least ``percent`` of the tokens are
     shared, with those tokens. ``total`` is the number of tokens to place."""
     batch_rows(docs.sparkSession, BATCH)
     buckets = max(1, -(-total // BUCKET_TOKENS))
-    packed = docs.select(text_col).mapInArrow(_pack_texts(buckets), _PACKED)
+    packed = docs.select(text_col).mapInArrow(_pack_texts(buckets, ngram), _PACKED)
     shared = packed.groupBy("bucket").applyInArrow(_find_shared(buckets), _PACKED)
     enough = shared.groupBy("bucket").applyInArrow(_enough_shared(percent),
                                                    "cls binary, n int, tokens array<bigint>")
@@ -352,21 +357,22 @@ def _search_task(percent: int):
     return run
 
 
-def class_components(docs: DataFrame, text_col: str, total: int, percent: int = PERCENT) -> DataFrame:
+def class_components(docs: DataFrame, text_col: str, total: int, percent: int = PERCENT,
+                     ngram: int = NGRAM) -> DataFrame:
     """(node, root) of every linked class of ``docs``."""
-    found = survivors(shared_tokens(docs, text_col, total, percent), percent)
+    found = survivors(shared_tokens(docs, text_col, total, percent, ngram), percent)
     links = search_groups(found).select("task", "cls", "n", "tokens").groupBy("task") \
         .applyInArrow(_search_task(percent), "a binary, b binary")
     return components(links)
 
 
 def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    percent: int = PERCENT) -> DataFrame:
+                    percent: int = PERCENT, ngram: int = NGRAM) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reachable by links)."""
-    members = materialize(with_class(docs.select(id_col, text_col), "m", text_col)
+    members = materialize(with_class(docs.select(id_col, text_col), "m", text_col, ngram)
                           .select(F.col(id_col).alias("id"), "m.n", "m.cls"), "ngram-members")
     total = members.agg(F.sum("n")).first()[0] or 0
-    roots = class_components(docs, text_col, total, percent)
+    roots = class_components(docs, text_col, total, percent, ngram)
     placed = members.where("cls is not null").join(roots, F.col("cls") == F.col("node"), "left") \
         .select("id", "n", F.coalesce("root", "cls").alias("root"))
     low = placed.groupBy("root").agg(F.min("id").alias("low"))
@@ -377,19 +383,19 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                percent: int = PERCENT) -> DataFrame:
+                percent: int = PERCENT, ngram: int = NGRAM) -> DataFrame:
     """``docs`` with one row of each component: the smallest id's (a null id after all
     others; of equal ids the smallest class, of equal rows any). Rows with an empty
     set all stay. What is shuffled besides the search are ids and classes; the rows
     themselves meet the list of those to drop, a table whose size picks the join."""
     m, drop_id, drop_cls = fresh(docs, "_m", "_drop_id", "_drop_cls")
     members = materialize(with_class(docs.select(F.col(id_col).alias("id"),
-                                                 F.col(text_col).alias("text")), "m", "text")
+                                                 F.col(text_col).alias("text")), "m", "text", ngram)
                           .select("id", "m.n", "m.cls").where("cls is not null")
                           .groupBy("id", "n", "cls").agg(F.count(F.lit(1)).alias("k")),
                           "ngram-members")
     total = members.agg(F.sum("n")).first()[0] or 0
-    roots = class_components(docs, text_col, total, percent)
+    roots = class_components(docs, text_col, total, percent, ngram)
     placed = members.join(roots, F.col("cls") == F.col("node"), "left").select(
         "id", "cls", F.coalesce("root", "cls").alias("root"))
     rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "cls")
@@ -398,7 +404,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           .select(F.col("id").alias(drop_id), F.col("cls").alias(drop_cls)),
                           "ngram-dropped")
     cls = F.col(m)["cls"]
-    rows = with_class(docs, m, text_col)
+    rows = with_class(docs, m, text_col, ngram)
 
     def without(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
         return rows.join(some, F.col(id_col).eqNullSafe(F.col(drop_id))
