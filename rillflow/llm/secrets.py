@@ -54,13 +54,22 @@ BASE_RULES = (
     # the runs of 24 and more are the same as those of [0-9a-f]+ that pass
     Rule("hex", r"[0-9a-f]{24,}", 0, 24),
 )
+#: a PEM key: the marker, then all up to the END line that is the next marker; without one,
+#: header lines and the run of base64 lines, a last short one if alone on its line (white
+#: space may be escaped, or lines quoted; possessive loops need no stack)
+_GAP = r"""(?:[\s"'+,;>#*|]|\\+[nrt])"""
+_PEM = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+        r"(?:(?:[^-]++|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----"
+        rf"|(?:{_GAP}++[A-Z][A-Za-z-]+:[^\n\\]*+)*+(?:{_GAP}++[A-Za-z0-9+/]{{16,}}+={{0,2}})++"
+        r"""(?:[ \t"'+]*+(?:\r|\\+r)?(?:\n|\\+n)[ \t"'+>#*|]*+[A-Za-z0-9+/]{1,15}+={0,2}"""
+        r"""(?=[ \t"'+,;]*(?:[\r\n]|\\+[rn]|\Z)))?+)?+""")
 #: further credentials with telling prefixes
 MORE_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", _PEM),
 )
 RULES = BASE_RULES + MORE_RULES
 
