@@ -5,7 +5,8 @@ Parquet to the shared checkpoint folder and reads it again as the next one's ``d
 stages but the last return the columns of ``documents``.
 
 1. ``language``: the language model learns from the labelled rows (a bounded sample);
-   documents without a letter, or of which it is less than ``LEAST_SURE`` sure, go; a missing
+   documents without a letter, less like their language than ``LEAST_LIKE``, or told from the
+   other ones by less than ``LEAST_MARGIN`` (unless as like as ``MIXED_LIKE``), go; a missing
    ``lang`` is filled with the prediction.
 2. ``near_duplicates``: one document of each component of the n-gram join stays; documents
    are linked at a Jaccard of ``NEAR_PERCENT`` over ``NEAR_WORDS`` words (op9's own limits
@@ -29,7 +30,8 @@ from rillflow.llm import bpe, langid, mixing, ngram_join, secrets
 from rillflow.llm.common import batch_rows, fresh, read_table
 from rillflow.session import materialize
 
-LEAST_SURE = 0.1
+#: a text of two learned languages has a small margin, but is much like one of them
+LEAST_MARGIN, LEAST_LIKE, MIXED_LIKE = 0.1, 0.15, 0.6
 #: near duplicates: words of an n-gram, least Jaccard in percent
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
@@ -38,7 +40,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     p, = fresh(docs, "_p")
     judged = langid.identified(docs, langid.fit(docs), p)
     pred = F.col(p)
-    return judged.where((pred["lang_pred"] != langid.UND) & (pred["score"] >= LEAST_SURE)) \
+    return judged.where((pred["lang_pred"] != langid.UND) & (pred["likeness"] >= LEAST_LIKE)
+                        & ((pred["margin"] >= LEAST_MARGIN)
+                           | (pred["likeness"] >= MIXED_LIKE))) \
         .withColumn("lang", F.coalesce("lang", pred["lang_pred"])).drop(p)
 
 

@@ -4,7 +4,10 @@ A text is lower-cased, everything but letters becomes white space, and its byte
 n-grams are hashed into a vector (square roots of counts, length 1). First a linear
 support vector machine per language family picks the family, then, within the
 family, one-versus-one machines between its languages vote. ``score`` is the chance
-of the family times that of the language, by the margins.
+of the family times that of the language, by the margins. As the better of two machines
+always has a chance of a half, ``score`` cannot tell a text of no learned language:
+``margin`` (the least winning margin of the machines asked; near 0, or less, if they tell
+nothing) and ``likeness`` (cosine to the language's mean vector) can.
 
 ``fit`` learns from at most ``MAX_PER_LANG`` labelled texts of each language, those
 with the smallest hash of their id (the bound of the sample; only these texts' vectors come to
@@ -109,10 +112,16 @@ class Model:
     pairs: list[tuple[str, str]] = field(default_factory=list)
     weights: np.ndarray | None = None
     bias: np.ndarray | None = None
+    #: the languages' mean vectors, of length 1
+    centres: dict[str, np.ndarray] = field(default_factory=dict)
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, float, float]:
+        """(language, score, margin, likeness)"""
         if not self.families or not has_letter(text):
-            return UND, 0.0
+            return UND, 0.0, 0.0, 0.0
         at, values = vector(text)
         margin = values @ self.weights[at] + self.bias
         chance = 1 / (1 + np.exp(-4 * margin))
@@ -120,7 +129,8 @@ class Model:
         best = int(first.argmax())
         langs = self.langs[self.families[best]]
         if len(langs) == 1:
-            return langs[0], float(first[best])
+            return (langs[0], float(first[best]), float(margin[best]),
+                    float(values @ self.centres[langs[0]][at]))
         won = dict.fromkeys(langs, 0.0)
         for k, (a, b) in enumerate(self.pairs, start=len(self.families)):
             if a in won and b in won:  # a vote, ties by chance
@@ -130,7 +140,11 @@ class Model:
         own = [chance[k] if a == lang else 1 - chance[k]
                for k, (a, b) in enumerate(self.pairs, start=len(self.families))
                if lang in (a, b)]
-        return lang, float(first[best] * min(own))
+        won_by = [margin[k] if a == lang else -margin[k]
+                  for k, (a, b) in enumerate(self.pairs, start=len(self.families))
+                  if lang in (a, b)]
+        return (lang, float(first[best] * min(own)), float(min(margin[best], *won_by)),
+                float(values @ self.centres[lang][at]))
 
 
 def train(vectors: list[tuple[np.ndarray, np.ndarray]], langs: list[str]) -> Model:
@@ -145,6 +159,9 @@ def train(vectors: list[tuple[np.ndarray, np.ndarray]], langs: list[str]) -> Mod
     model = Model(sorted(set(family)))
     model.langs = {f: sorted(set(y[family == f])) for f in model.families}
     model.pairs = [p for f in model.families for p in combinations(model.langs[f], 2)]
+    for lang in set(langs):
+        mean = x[y == lang].mean(axis=0)
+        model.centres[lang] = mean / max(float(np.linalg.norm(mean)), 1e-12)
     ws = []
     for f in model.families:
         one = np.zeros(x.shape[1] + 1, dtype=np.float32)
@@ -194,20 +211,22 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 PREDICTION = T.StructType([T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+                           T.StructField("score", T.DoubleType()),
+                           T.StructField("margin", T.DoubleType()),
+                           T.StructField("likeness", T.DoubleType())])
 
 
 def predicted(text: Column, model: Model) -> Column:
-    """struct(lang_pred, score) of each text."""
+    """struct(lang_pred, score, margin, likeness) of each text."""
 
     @F.pandas_udf(PREDICTION)
     def of(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([model.predict(t) for t in texts], columns=PREDICTION.names)
+        return pd.DataFrame([model.judge(t) for t in texts], columns=PREDICTION.names)
 
     return of(text)
 
 
 def identified(docs: DataFrame, model: Model, out: str, text_col: str = "text") -> DataFrame:
-    """``docs`` plus ``out``: struct(lang_pred, score)."""
+    """``docs`` plus ``out``: struct(lang_pred, score, margin, likeness)."""
     batch_rows(docs.sparkSession, BATCH)
     return docs.withColumn(out, predicted(F.col(text_col), model))

@@ -1,8 +1,13 @@
 """The pipeline: each stage's decisions take effect, and nothing else."""
 
+import random
+
+import pyarrow.parquet as pq
+
 import corpus_pipeline as P
 from rillflow.llm import bpe
-from tests.llm.fixtures import awkward_docs, docs_frame, with_clashes, write
+from tests.conftest import SF
+from tests.llm.fixtures import awkward_docs, docs_frame, table, with_clashes, write
 
 
 def test_stages_on_awkward_documents(spark, scratch):
@@ -72,3 +77,32 @@ def test_near_duplicates_of_five_words(spark):
     assert kept == set(root)
     four = {r["doc_id"] for r in P.ngram_join.one_of_each(docs_frame(spark, rows)).collect()}
     assert kept < four  # op9's limits would leave some
+
+
+def test_language_rejects_texts_with_letters(spark):
+    rng = random.Random(3)
+    many = pq.read_table(SF.replace("sf0.001", "sf0.01") + "/documents.parquet").to_pylist()
+    clean = [(r["doc_id"], r["text"], r["lang"], "s") for r in many]
+    odd = ["Это предложение написано на русском языке и не должно остаться в корпусе",
+           "这是一个中文句子,不应该留在语料库中", "ωραία μέρα για μια βόλτα στη θάλασσα",
+           " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 9)))
+                    for _ in range(2000))]
+    rows = clean + [(10_000 + i, t, None, "s") for i, t in enumerate(odd)]
+    rows += [(20_000 + i, t, None, "s") for i, (_, t, _, _) in enumerate(clean[:30])]
+    docs = docs_frame(spark, rows)
+    kept = {r["doc_id"]: r["lang"] for r in P.language(spark, docs, "").collect()}
+    assert not {i for i in kept if 10_000 <= i < 20_000}
+    assert {i for i, *_ in clean} <= set(kept)
+    assert all(kept[20_000 + i] == clean[i][2] for i in range(30))
+    # with one language alone, likeness decides
+    one = docs_frame(spark, [r for r in clean if r[2] == "en"] + rows[len(clean):len(clean) + 3])
+    assert all(r["lang"] == "en" and r["doc_id"] < 10_000
+               for r in P.language(spark, one, "").collect())
+
+
+def test_language_keeps_held_out_documents():
+    rows = [(r["text"], r["lang"]) for r in table("documents") if r["text"] and r["lang"]]
+    model = P.langid.train([P.langid.vector(t) for t, _ in rows[::2]], [x for _, x in rows[::2]])
+    for text, _ in rows[1::2]:
+        _, _, margin, like = model.judge(text)
+        assert margin >= P.LEAST_MARGIN and like >= P.LEAST_LIKE
