@@ -8,9 +8,9 @@
    after each block, and their suffixes sorted to a depth of ``RUN`` tokens (prefix doubling).
    Neighbours in that order that agree to the depth are a long repeated substring; one that
    occurs on ``MIN_PAGES`` pages with different streams covers its tokens (``covered``).
-3. Text: the blocks of the main zones; of a page without one, its free blocks less
-   those covered, of which only unique runs of at least ``RUN`` tokens stay (``main_text``). An
-   article is never cut: what it shares with other pages stays.
+3. Text: the blocks of the main zones, and the free blocks less what is covered if that
+   is more than the main ones hold (``main_text``). Of a free block at least half covered
+   every uncovered run stays. An article is never cut: what it shares with other pages stays.
 
 A host's pages are dealt to tasks of about ``TASK_BYTES`` of html: small hosts share one, a
 large host (by the summed length of its pages) is cut by hash into several suffix arrays;
@@ -103,7 +103,7 @@ class _Page(HTMLParser):
             elif zone == FREE and (tag in _MAIN or a.get("role") == "main"
                                    or a.get("itemprop") == "articleBody"):
                 zone = MAIN
-            elif zone != BOILER and tag not in _MAIN and tag != "body" and any(
+            elif zone != BOILER and tag != "body" and any(
                     _TELLING.search(a[k]) for k in ("class", "id") if a.get(k)):
                 zone = BOILER
         if zone != self.zone or tag not in _INLINE and tag not in ("p", "li"):
@@ -186,19 +186,21 @@ def covered(token: np.ndarray, host: np.ndarray, page: np.ndarray) -> np.ndarray
 
 def main_text(page: list[tuple[int, str]], hidden: list[np.ndarray]) -> str:
     """The text of a page from its blocks and their covered tokens."""
-    if any(zone == MAIN for zone, _ in page):
-        return "\n\n".join(text for zone, text in page if zone == MAIN)
-    out = []
+    out, size = [], [0, 0]  # (zone, text); tokens of the main and of the free ones
     for (zone, text), cover in zip(page, hidden):
         if zone == BOILER:
             continue
-        if 2 * cover.sum() < len(cover):
-            out.append(text)
+        if zone == MAIN or 2 * cover.sum() < len(cover):
+            out.append((zone, text))
+            size[zone] += len(cover)
             continue
         words = text.split(" ")
         edge = np.flatnonzero(np.diff(np.concatenate(([1], cover.astype(np.int8), [1]))))
-        out += [" ".join(words[a:b]) for a, b in zip(edge[::2], edge[1::2]) if b - a >= RUN]
-    return "\n\n".join(out)
+        out += [(zone, " ".join(words[a:b])) for a, b in zip(edge[::2], edge[1::2])]
+        size[zone] += int((~cover).sum())
+    # free blocks beside an article count if they are the larger part
+    both = size[MAIN] < size[FREE]
+    return "\n\n".join(text for zone, text in out if zone == MAIN or both)
 
 
 _BLOCKS = T.ArrayType(T.StructType([T.StructField("zone", T.IntegerType()),

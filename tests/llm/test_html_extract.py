@@ -78,6 +78,24 @@ def test_boilerplate_without_containers(spark):
     assert H.extract(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_small_articles_short_runs_and_nested_comments(spark):
+    line = "please share this story with all of your many good friends today"
+    card = "<article><p>another story</p></article>"
+
+    def page(i, body):
+        return (i, f"http://a.org/{i}", f"<div><p>{line}</p>{body}<p>{line} own{i} end{i}</p></div>")
+    own = [" ".join(f"own{i}w{k}" for k in range(20)) for i in range(4)]
+    rows = [page(i, f"<p>{own[i]}</p>{card}") for i in range(4)]
+    rows.append(page(9, f"<article><p>{own[0]} {own[1]}</p></article><p>x</p>"))
+    rows.append((20, "http://b.org", "<article><p>text</p><article class='comment'>me too"
+                                     "</article><article>part</article></article>"))
+    got = texts(spark, rows)
+    for i in range(4):  # the body beside a teaser card, and runs below RUN tokens
+        assert got[i] == f"{own[i]}\n\nanother story\n\nown{i} end{i}"
+    assert got[9] == f"{own[0]} {own[1]}"  # a large article stays alone
+    assert got[20] == "text\n\npart"
+
+
 def test_covered_equals_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(5):
