@@ -13,9 +13,11 @@
    every uncovered run stays. An article is never cut: what it shares with other pages stays.
 
 A host's pages are dealt to tasks of about ``TASK_BYTES`` of html: small hosts share one, a
-large host (by the summed length of its pages) is cut by hash into several suffix arrays;
-what recurs on a host recurs in each. A substring that only a few pages of a very
-large host share is then found only if they meet in one.
+large host (by the summed length of its pages) is cut by hash into several suffix arrays.
+The parts of a large host that has free blocks are joined (``_shared_windows``): each sends the
+hash of every distinct window of ``RUN`` tokens with up to ``MIN_PAGES`` of the streams that
+hold it, packed; the windows that as many streams of all parts hold come back to the parts
+that have them. So the cut does not change the text.
 
 Edge cases: a null or empty html has the text ""; a null url is the host ""; pages with
 equal streams count as one page, so copies of a page do not erase it; repeated rows each
@@ -148,10 +150,24 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     return page.blocks
 
 
-def covered(token: np.ndarray, host: np.ndarray, page: np.ndarray) -> np.ndarray:
+def windows(token: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """The starts of the ``RUN`` tokens without a separator among them, and their hashes."""
+    inside = np.concatenate(([0], np.cumsum(token == 0)))
+    m = max(0, len(token) - RUN + 1)
+    at = np.flatnonzero(inside[RUN:RUN + m] == inside[:m])
+    h = np.full(len(at), salt, dtype=np.uint64)
+    for k in range(RUN):
+        h = (h ^ token[at + k]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return at, h
+
+
+def covered(token: np.ndarray, host: np.ndarray, page: np.ndarray,
+            known: np.ndarray | None = None) -> np.ndarray:
     """Which tokens lie in a long substring that several pages of their host share.
 
-    ``token``: hashes in page order; 0 separates blocks; ``host`` and ``page`` of each."""
+    ``token``: hashes in page order; 0 separates blocks; ``host`` and ``page`` of each;
+    ``known``: starts of windows known to be shared, beside those found here."""
     n = len(token)
     sep = token == 0
     # ranks of the suffixes to depth 1: separators differ from everything
@@ -177,6 +193,8 @@ def covered(token: np.ndarray, host: np.ndarray, page: np.ndarray) -> np.ndarray
     pages = np.bincount(np.cumsum(new_rank) - 1, weights=new_page)
     many = np.zeros(n, dtype=bool)
     many[order] = pages[np.cumsum(new_rank) - 1] >= MIN_PAGES
+    if known is not None:
+        many[known] = True
     edge = np.zeros(n + RUN, dtype=np.int64)  # each start covers RUN tokens
     at = np.flatnonzero(many)
     np.add.at(edge, at, 1)
@@ -212,23 +230,44 @@ def _parsed(html: pd.Series) -> pd.Series:
     return pd.Series([[{"zone": z, "text": t} for z, t in blocks(h)] for h in html], dtype=object)
 
 
-def _host_task(pages: pd.DataFrame) -> pd.DataFrame:
-    read = [[(b["zone"], b["text"]) for b in p] for p in pages["blocks"]]
-    token, sizes, streams = [], [], {}
-    page, host = [], pages["host"].factorize()[0]
+def _streams(read: list, host: np.ndarray):
+    """(tokens, page of each, host of each, block sizes by page, stream hash by page): the
+    page is the first one with its stream."""
+    token, sizes, streams, names = [], [], {}, []
     which = np.empty(len(read), dtype=np.int64)
     for i, p in enumerate(read):
         words = [t.split(" ") for _, t in p]
         hashes = [np.fromiter(map(xxhash.xxh64_intdigest, w), dtype=np.uint64, count=len(w))
                   | np.uint64(1) for w in words]
         stream = b"|".join([str(host[i]).encode(), *(h.tobytes() for h in hashes)])
-        which[i] = streams.setdefault(xxhash.xxh3_128_digest(stream), i)
+        name = xxhash.xxh3_128_digest(stream)
+        which[i] = streams.setdefault(name, i)
+        names.append(int.from_bytes(name[:8], "little"))
         sizes.append([len(w) for w in words])
         token += [x for h in hashes for x in (h, np.zeros(1, dtype=np.uint64))]
     lengths = np.array([sum(s) + len(s) for s in sizes], dtype=np.int64)
     token = np.concatenate(token) if token else np.zeros(0, dtype=np.uint64)
-    page = np.repeat(which, lengths)
-    cover = covered(token, np.repeat(host, lengths), page) if len(token) else token.astype(bool)
+    return (token, np.repeat(which, lengths), np.repeat(host, lengths), sizes,
+            np.array(names, dtype=np.uint64))
+
+
+def _read(pages: pd.DataFrame) -> list:
+    return [[(b["zone"], b["text"]) for b in p] for p in pages["blocks"]]
+
+
+def _salt(host: str | None) -> int:
+    return xxhash.xxh64_intdigest(host or "")
+
+
+def _texts(pages: pd.DataFrame, shared: np.ndarray | None) -> pd.DataFrame:
+    """``shared``: hashes of windows known to be shared (of a large host's part, alone here)."""
+    read = _read(pages)
+    token, page, host, sizes, _ = _streams(read, pages["host"].factorize()[0])
+    known = None
+    if shared is not None and len(shared) and len(token):
+        at, h = windows(token, _salt(pages["host"].iloc[0]))
+        known = at[np.isin(h, shared)]
+    cover = covered(token, host, page, known) if len(token) else token.astype(bool)
     text, at = [], 0
     for p, size in zip(read, sizes):
         hidden = []
@@ -239,6 +278,79 @@ def _host_task(pages: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"id": pages["id"], "url": pages["url"], "text": text})
 
 
+def _host_task(pages: pd.DataFrame) -> pd.DataFrame:
+    return _texts(pages, None)
+
+
+# ------------------------------------------------------------- parts of large hosts
+_FREE_HOST = "host string"
+_PACK = "bucket int, task bigint, hash binary, stream binary"
+_SHARED = "task bigint, hash binary"
+
+
+def _free_host(pages: pd.DataFrame) -> pd.DataFrame:
+    """The hosts of a task with a free block."""
+    free = [any(b["zone"] == FREE for b in p) for p in pages["blocks"]]
+    return pd.DataFrame({"host": pages["host"][free].unique()})
+
+
+def _part_windows(buckets: int):
+    def run(pages: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(pages) and len(wanted):
+            token, page, _, _, names = _streams(_read(pages), np.zeros(len(pages), dtype=np.int64))
+            at, h = windows(token, _salt(pages["host"].iloc[0]))
+            h, stream = _few_streams(h, names[page[at]])
+            bucket = h % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            h, stream, bucket = h[order], stream[order], bucket[order]
+            edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+            task = int(pages["task"].iloc[0])
+            out = [(b, task, h[x:y].tobytes(), stream[x:y].tobytes())
+                   for b, (x, y) in enumerate(zip(edges, edges[1:])) if x < y]
+        return pd.DataFrame(out, columns=["bucket", "task", "hash", "stream"])
+    return run
+
+
+def _few_streams(h: np.ndarray, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (window, stream), up to ``MIN_PAGES`` streams a window."""
+    order = np.lexsort((stream, h))
+    h, stream = h[order], stream[order]
+    new = np.concatenate(([True], (h[1:] != h[:-1]) | (stream[1:] != stream[:-1])))[:len(h)]
+    h, stream = h[new], stream[new]
+    far = np.concatenate((np.ones(min(MIN_PAGES, len(h)), dtype=bool),
+                          h[MIN_PAGES:] != h[:-MIN_PAGES]))
+    return h[far], stream[far]
+
+
+def _join_windows(rows: pd.DataFrame) -> pd.DataFrame:
+    """A bucket's windows that ``MIN_PAGES`` streams of all parts hold, by part."""
+    each = [np.frombuffer(x, dtype=np.uint64) for x in rows["hash"]]
+    h, _ = _few_streams(np.concatenate(each), np.concatenate(
+        [np.frombuffer(x, dtype=np.uint64) for x in rows["stream"]]))
+    names, count = np.unique(h, return_counts=True)
+    shared = names[count >= MIN_PAGES]
+    back = [np.unique(x[np.isin(x, shared)]) for x in each]
+    out = [(t, x.tobytes()) for t, x in zip(rows["task"], back) if len(x)]
+    return pd.DataFrame(out, columns=["task", "hash"])
+
+
+def _shared_windows(read: DataFrame, parts: DataFrame, buckets: int) -> DataFrame:
+    """(task, hash): for the parts of large hosts, the windows that the host's pages share."""
+    free = read.groupBy("task").applyInPandas(_free_host, _FREE_HOST).distinct()
+    tasks = free.join(parts, "host").select(
+        F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1),
+                              lambda k: F.xxhash64("host", k))).alias("task"))
+    packs = read.groupBy("task").cogroup(tasks.groupBy("task")).applyInPandas(
+        _part_windows(buckets), _PACK)
+    return packs.groupBy("bucket").applyInPandas(_join_windows, _SHARED)
+
+
+def _part_task(pages: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
+    return _texts(pages, np.concatenate(
+        [np.zeros(0, dtype=np.uint64), *(np.frombuffer(x, dtype=np.uint64) for x in shared["hash"])]))
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             html_col: str = "html", task_bytes: int = TASK_BYTES) -> DataFrame:
     """Per row: id, url and the main text."""
@@ -258,6 +370,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     read = rows.join(parts, "host").select("id", "url", "host", task.alias("task"),
                                            _parsed("html").alias("blocks"))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    out = read.groupBy("task").applyInPandas(
-        _host_task, f"id {kinds['id']}, url string, text string")
+    schema = f"id {kinds['id']}, url string, text string"
+    large = parts.where("parts > 1")
+    if large.isEmpty():
+        out = read.groupBy("task").applyInPandas(_host_task, schema)
+    else:
+        # hosts that share a task have no windows to join; one exchange serves all readers
+        shared = _shared_windows(read, large, tasks)
+        out = read.groupBy("task").cogroup(shared.groupBy("task")).applyInPandas(
+            _part_task, schema)
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text")

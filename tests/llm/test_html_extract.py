@@ -96,6 +96,26 @@ def test_small_articles_short_runs_and_nested_comments(spark):
     assert got[20] == "text\n\npart"
 
 
+def test_parts_of_a_large_host_are_joined(spark):
+    rare = [" ".join(f"rare{g}x{k}" for k in range(12)) for g in range(40)]
+
+    def page(i, copy=""):
+        own = " ".join(f"own{i}w{k}" for k in range(20))
+        zone = "<nav><p>{}</p></nav>" if i % 5 == 4 else "<p>{}</p>"
+        return (i, f"http://a.org/{i}{copy}", f"<div><p>{own}</p>{zone.format(rare[i % 40])}</div>")
+    rows = [page(i) for i in range(140)]  # the first 20 passages on 4 pages, the others on 3
+    rows += [(500 + i, f"http://a.org/c{i}", "<p>" + " ".join(f"copy{k}" for k in range(12)) + "</p>")
+             for i in range(30)]  # one stream
+    rows += [(600 + i, f"http://a.org/t{i}", f"<p>{' '.join(f'two{k}' for k in range(12))}</p><p>t{i}</p>")
+             for i in range(2)]
+    rows += [(700, "http://b.org/", "<p>" + rare[0] + "</p>"), (701, None, None)]
+    whole = texts(spark, rows)
+    assert not any("rare" in t for i, t in whole.items() if i < 140)
+    assert all("copy5" in whole[500 + i] for i in range(30)) and "two3" in whole[600]
+    for task_bytes in (3_000, 1_000):
+        assert texts(spark, rows, task_bytes=task_bytes) == whole
+
+
 def test_covered_equals_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(5):
