@@ -4,9 +4,11 @@ interfaces, and the digest columns are derived from their outputs here."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from rillflow.llm import (
     url_filter,
 )
 from rillflow.llm.common import batch_rows, read_table, with_next
+from rillflow.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -64,6 +67,42 @@ def op8_mixing(spark, sf_dir):
         (F.col("size") * F.size("draws")).alias("taken"))
 
 
+#: bytes of a conversation that is digested in one row
+WHOLE_BYTES = 32_000_000
+#: windows in an Arrow batch
+_WINDOWS = 256
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A digest row of each conversation from its windows, which come in order."""
+    conv, now = None, None
+
+    def row():
+        turns, loss = now["turns"].hexdigest(), now["loss"].hexdigest()
+        return pa.RecordBatch.from_arrays(
+            [pa.array([conv], kind), *map(pa.array, ([now["n"]], [turns], [now["loss_chars"]],
+                                                     [loss], [now["chars"]]))],
+            names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256",
+                   "formatted_chars"])
+
+    for batch in batches:
+        kind = batch.schema.field("conv_id").type
+        for r in batch.to_pylist():
+            if now is None or r["conv_id"] != conv:
+                if now is not None:
+                    yield row()
+                conv = r["conv_id"]
+                now = {"turns": hashlib.sha256(), "loss": hashlib.sha256(), "n": 0,
+                       "loss_chars": 0, "chars": 0}
+            now["turns"].update(r["turns"].encode())
+            now["loss"].update(r["loss"].encode())
+            now["n"] += r["n"]
+            now["loss_chars"] += len(r["loss"])
+            now["chars"] += r["chars"]
+    if now is not None:
+        yield row()
+
+
 @register
 def op10_chat_format(spark, sf_dir):
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -72,9 +111,23 @@ def op10_chat_format(spark, sf_dir):
         F.struct(F.lit(-7).cast("bigint").alias("conv_id"), F.lit(i).cast("bigint").alias("turn"),
                  F.lit(role).alias("role"), text.alias("text"))
         for i, role in enumerate(("user", "assistant"))])))
-    w = chat.windows(turns.unionByName(more))
-    # the digests run over a whole conversation: its windows' texts, joined in order
-    read = w.select(
+    turns = turns.unionByName(more)
+    # sha2 takes a whole text: conversations too large for a row are digested as streams
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + F.coalesce(
+        F.octet_length("role"), F.lit(0)) + 16
+    large = materialize(turns.groupBy("conv_id").agg(F.sum(size).alias("bytes"))
+                        .where(F.col("bytes") > WHOLE_BYTES)
+                        .select(F.col("conv_id").alias("large_id")), "large-conversations")
+    if large.isEmpty():
+        return _digested_whole(turns)
+    same = F.col("conv_id").eqNullSafe(F.col("large_id"))
+    return _digested_whole(turns.join(large, same, "left_anti")).unionByName(
+        _digested_streams(turns.join(large, same, "left_semi")))
+
+
+def _windows_read(turns):
+    """Each window's turns and loss texts, read back."""
+    return chat.windows(turns).select(
         "conv_id", F.struct(
             "window",
             F.size(chat.read_turns(F.col("text"), F.col("n_repeated"))).alias("n"),
@@ -84,7 +137,21 @@ def op10_chat_format(spark, sf_dir):
             .alias("turns"),
             F.array_join(chat.read_loss(F.col("text"), F.col("loss")), "").alias("loss"),
             F.length("text").alias("chars")).alias("w"))
-    per = read.groupBy("conv_id").agg(F.array_sort(F.collect_list("w")).alias("w"))
+
+
+def _digested_streams(turns):
+    kind = dict(turns.dtypes)["conv_id"]
+    batch_rows(turns.sparkSession, _WINDOWS)
+    return _windows_read(turns).select("conv_id", "w.*").repartition("conv_id") \
+        .sortWithinPartitions("conv_id", "window").mapInArrow(
+            _digests, f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, "
+                      "loss_sha256 string, formatted_chars bigint")
+
+
+def _digested_whole(turns):
+    """The digests run over a whole conversation: its windows' texts, joined in order."""
+    per = _windows_read(turns).groupBy("conv_id").agg(
+        F.array_sort(F.collect_list("w")).alias("w"))
     loss = F.array_join("w.loss", "")
     return per.select(
         "conv_id", F.aggregate("w.n", F.lit(0), lambda a, n: a + n).cast("bigint").alias("n_turns"),

@@ -3,7 +3,7 @@
 import hashlib
 import random
 
-from rillflow.llm import chat
+from rillflow.llm import chat, queries
 from rillflow.llm.queries import REGISTRY
 from tests.llm.fixtures import table, with_clashes, write
 
@@ -51,6 +51,19 @@ def test_query_reads_every_turn_back(spark, scratch):
         assert g["formatted_chars"] >= sum(len(x or "") for i, _, _, x in rows if i == c)
 
 
+def test_large_conversations_are_digested_as_streams(spark, scratch, monkeypatch):
+    rows = awkward_turns()
+    sf = write(with_clashes(spark.createDataFrame(rows, SCHEMA)), scratch + "/d", "conversations")
+    whole = REGISTRY["op10_chat_format"](spark, sf)
+    for least in (0, 5_000):
+        monkeypatch.setattr(queries, "WHOLE_BYTES", least)
+        streamed = REGISTRY["op10_chat_format"](spark, sf)
+        assert streamed.dtypes == whole.dtypes
+        assert "MapInArrow" in streamed._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, streamed.collect()), key=repr) \
+            == sorted(map(tuple, whole.collect()), key=repr)
+
+
 def test_windows_budget_history_system(spark):
     turns = [(1, 0, "system", "be kind")] + [
         (1, t, ("assistant", "user")[t % 2], f"turn {t} " + "x" * 100) for t in range(1, 60)]
