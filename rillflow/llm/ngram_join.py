@@ -19,10 +19,11 @@ class (``members``), so copies cost one. Linked classes, those with
    chunks is a task, so no task grows with the group.
 4. ``search``: within a task, classes by ascending size, each one a query against those
    before it: an overlap of T = ceil(PERCENT n) tokens is required; the L longest
-   inverted lists are put aside, the short ones heap-merged for classes with
-   T - L occurrences, and the long ones binary-probed for those. A class that
-   is already connected with the query is skipped: only connections are returned, as
-   forest edges.
+   inverted lists are put aside, the short ones counted for classes with
+   T - L occurrences, and the long ones binary-probed for those. Every pair is verified, in
+   one task only; returned are each class's number of links, weighed by the linked classes'
+   rows, and the connections as forest edges, so no pair list grows. For ``one_of_each``,
+   which needs components only, a class already connected with the query is skipped.
 
 Edge cases: a null or empty text, or one without words, has an empty set and links
 with nothing; a text of fewer words than an n-gram is one n-gram; repeated rows and
@@ -34,10 +35,8 @@ count as equal.
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -274,8 +273,9 @@ def survivors(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
         "tokens", F.lit(1), (n - least + 1) - (n - size))), "ngram-survivors")
 
 
-def search_groups(found: DataFrame) -> DataFrame:
-    """``found`` dealt to search tasks: one row per class and task, with ``task``."""
+def search_groups(found: DataFrame, copies: DataFrame | None = None) -> DataFrame:
+    """``found`` dealt to search tasks: one row per class and task, with ``task``, the class's
+    ``chunk``, its ``copies`` and ``own``: whether the pairs within the chunk are this task's."""
     postings = found.select("cls", F.explode("prefix").alias("token"))
     low = postings.groupBy("token").agg(F.min("cls").alias("low"), F.count(F.lit(1)).alias("k")) \
         .where("k > 1").select("token", "low")
@@ -287,19 +287,35 @@ def search_groups(found: DataFrame) -> DataFrame:
     shared_tasks = max(1, -(-total // GROUP))
     chunks = F.ceil(F.col("size") / GROUP).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit(3)), F.col("chunks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.xxhash64(
-        "root", F.least(c, F.col("chunk")), F.greatest(c, F.col("chunk"))))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(
+        F.xxhash64("root", F.least(c, F.col("chunk")), F.greatest(c, F.col("chunk"))).alias("task"),
+        (c == F.col("chunk")).alias("own")))
+    # copies join the places, which are small, not the tokens
+    groups = groups.withColumn("copies", F.lit(1).cast("bigint")) if copies is None \
+        else groups.join(copies, F.col("node") == F.col("cls")).drop("cls")
     placed = groups.join(sizes, "root").withColumn("chunks", chunks).withColumn("chunk", own) \
-        .select(F.col("node").alias("cls"), F.explode(F.when(
+        .select(F.col("node").alias("cls"), "copies", "chunk", F.inline(F.when(
             F.col("chunks") == 1,
-            F.array(F.pmod(F.xxhash64("root"), F.lit(shared_tasks)))).otherwise(pairs))
-            .alias("task"))
+            F.array(F.struct(F.pmod(F.xxhash64("root"), F.lit(shared_tasks)).alias("task"),
+                             F.lit(True).alias("own")))).otherwise(pairs)))
     return found.select("cls", "n", "tokens").join(placed, "cls")
 
 
 def search(n: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     """Labels of the classes (sizes ascending): the first class connected with each."""
-    label = np.arange(len(n))
+    return search_links(n, sets, percent, every=False)[0]
+
+
+def search_links(n: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT,
+                 copies: np.ndarray | None = None, chunk: np.ndarray | None = None,
+                 within: np.ndarray | None = None, every: bool = True) \
+        -> tuple[np.ndarray, np.ndarray]:
+    """Labels as in ``search`` and each class's links: the sum of the linked classes'
+    ``copies`` (1 each by default). Pairs within a ``chunk`` are left out unless ``within``. If
+    not ``every``, classes connected already are skipped, and the links are too few."""
+    label, links = np.arange(len(n)), np.zeros(len(n), dtype=np.int64)
+    copies = np.ones(len(n), dtype=np.int64) if copies is None else copies
+    whole = chunk is None or bool(np.all(within))
     sizes = np.array([len(s) for s in sets])
     token = np.concatenate(sets) if len(sets) else np.zeros(0, np.int64)
     rec = np.repeat(np.arange(len(n)), sizes)
@@ -324,62 +340,96 @@ def search(n: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> np.
         aside = min(least - 1, int(least / (0.0085 * math.log2(longest + 1) + 1)))
         short, long = by_length[:len(a) - aside], by_length[len(a) - aside:]
         smallest = np.searchsorted(n, -(-percent * int(n[r]) // 100))
-        merged = []
-        for k in short:
-            part = lists[a[k]:b[k]]
-            part = part[(part >= smallest) & (label[part] != label[r])]
-            if len(part):
-                merged.append(part.tolist())
-        seen = {s: sum(1 for _ in g) for s, g in groupby(heapq.merge(*merged))}
-        near = np.array([s for s, c in seen.items() if c >= least - aside], dtype=np.int64)
+        seen = np.bincount(np.concatenate([lists[a[k]:b[k]] for k in short]), minlength=r)
+        fine = seen >= least - aside
+        fine[:smallest] = False
+        if not whole and not within[r]:
+            fine &= chunk[:r] != chunk[r]
+        if not every:
+            fine &= label[:r] != label[r]
+        near = np.flatnonzero(fine)
         if not len(near):
             continue
-        overlap = np.array([seen[s] for s in near.tolist()])
+        overlap = seen[near]
         for k in long:
             part = lists[a[k]:b[k]]
             place = np.minimum(np.searchsorted(part, near), len(part) - 1)
             overlap = overlap + (part[place] == near)
         linked = near[overlap * 100 >= percent * (n[near] + n[r] - overlap)]
+        if len(linked):
+            links[linked] += copies[r]
+            links[r] += copies[linked].sum()
+            linked = linked[label[linked] != label[r]]
         if len(linked):
             label = unite(label, linked, np.full(len(linked), r))
-    return label
+    return label, links
+
 
+_LINKS = "a binary, b binary, links bigint"
 
-def _search_task(percent: int):
+
+def _search_task(percent: int, every: bool):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pandas().drop_duplicates("cls")
         rows = rows.sort_values(["n", "cls"], ignore_index=True)
-        label = search(rows["n"].to_numpy(np.int64), list(rows["tokens"]), percent)
+        label, links = search_links(
+            rows["n"].to_numpy(np.int64), list(rows["tokens"]), percent,
+            rows["copies"].to_numpy(np.int64), rows["chunk"].to_numpy(), rows["own"].to_numpy(bool),
+            every)
         cls = rows["cls"].to_numpy()
-        linked = np.flatnonzero(label != np.arange(len(label)))
-        return pa.table([pa.array(cls[linked], pa.binary()), pa.array(cls[label[linked]], pa.binary())],
-                        names=["a", "b"])
+        linked = np.flatnonzero(links > 0)  # with its label, itself at the root
+        return pa.table([pa.array(cls[linked], pa.binary()), pa.array(cls[label[linked]], pa.binary()),
+                         pa.array(links[linked], pa.int64())], names=["a", "b", "links"])
     return run
 
 
+def class_links(docs: DataFrame, text_col: str, total: int, percent: int = PERCENT,
+                ngram: int = NGRAM, copies: DataFrame | None = None) -> DataFrame:
+    """(a, b, links): forest edges between linked classes, and a's links found beside each.
+    ``copies`` (cls, copies): the rows of each class; without it links are not counted in
+    full."""
+    found = survivors(shared_tokens(docs, text_col, total, percent, ngram), percent)
+    return search_groups(found, copies).select("task", "cls", "n", "tokens", "copies", "chunk", "own") \
+        .groupBy("task").applyInArrow(_search_task(percent, copies is not None), _LINKS)
+
+
 def class_components(docs: DataFrame, text_col: str, total: int, percent: int = PERCENT,
                      ngram: int = NGRAM) -> DataFrame:
     """(node, root) of every linked class of ``docs``."""
-    found = survivors(shared_tokens(docs, text_col, total, percent, ngram), percent)
-    links = search_groups(found).select("task", "cls", "n", "tokens").groupBy("task") \
-        .applyInArrow(_search_task(percent), "a binary, b binary")
-    return components(links)
+    return components(class_links(docs, text_col, total, percent, ngram))
 
 
 def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     percent: int = PERCENT, ngram: int = NGRAM) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reachable by links)."""
+    return with_links(docs, id_col, text_col, percent, ngram).drop("n_links")
+
+
+def with_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               percent: int = PERCENT, ngram: int = NGRAM) -> DataFrame:
+    """Per row: id, n_shingles, component_id (smallest id reachable by links) and n_links (the
+    other rows that it is linked with, copies among them)."""
     members = materialize(with_class(docs.select(id_col, text_col), "m", text_col, ngram)
                           .select(F.col(id_col).alias("id"), "m.n", "m.cls"), "ngram-members")
     total = members.agg(F.sum("n")).first()[0] or 0
-    roots = class_components(docs, text_col, total, percent, ngram)
-    placed = members.where("cls is not null").join(roots, F.col("cls") == F.col("node"), "left") \
-        .select("id", "n", F.coalesce("root", "cls").alias("root"))
+    copies = members.where("cls is not null").groupBy("cls").agg(
+        F.count(F.lit(1)).alias("copies"))
+    found = materialize(class_links(docs, text_col, total, percent, ngram, copies), "ngram-links")
+    links = found.groupBy("a").agg(F.sum("links").alias("links"))
+    roots = copies.join(components(found), F.col("cls") == F.col("node"), "left") \
+        .join(links, F.col("cls") == F.col("a"), "left").select(
+            "cls", F.coalesce("root", "cls").alias("root"),
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    placed = members.where("cls is not null").join(
+        roots.where("links > 0"), "cls", "left").select(
+            "id", "n", F.coalesce("root", "cls").alias("root"),
+            F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
     low = placed.groupBy("root").agg(F.min("id").alias("low"))
-    return placed.join(low, "root").select("id", "n", "low").unionByName(
-        members.where("cls is null").select("id", "n", F.col("id").alias("low"))) \
+    return placed.join(low, "root").select("id", "n", "low", "links").unionByName(
+        members.where("cls is null").select("id", "n", F.col("id").alias("low"),
+                                            F.lit(0).cast("bigint").alias("links"))) \
         .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                F.col("low").alias("component_id"))
+                F.col("low").alias("component_id"), F.col("links").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

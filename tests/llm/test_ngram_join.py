@@ -71,6 +71,23 @@ def test_families(spark, monkeypatch, seed, small):
     assert len({g["component_id"] for g in got}) < len(got) - 15
 
 
+@pytest.mark.parametrize("group", [2_000, 4])
+def test_links_are_counted(spark, monkeypatch, group):
+    monkeypatch.setattr(J, "GROUP", group)
+    many = " ".join(f"c{k}" for k in range(60))  # a group of mutually linked texts
+    rows = families(5, 15) + [(3000 + i, f"{many} end{i}") for i in range(12)]
+    rows += [(None, "v1 v2 v3 v4"), (4000, None), (4001, "one"), (4002, "ONE")]
+    sets = [shingles(t) for _, t in rows]
+    want = sorted(((d, sum(i != j and bool(a and b) and 100 * len(a & b) >= 85 * len(a | b)
+                           for j, b in enumerate(sets)))
+                   for i, ((d, _), a) in enumerate(zip(rows, sets))), key=repr)
+    df = with_clashes(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = J.with_links(df)
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+    assert sorted(((r["doc_id"], r["n_links"]) for r in got.collect()), key=repr) == want
+    assert dict(want)[3000] == 11
+
+
 def test_query_on_documents(spark, scratch):
     rows = awkward_docs()
     sf = write(docs_frame(spark), scratch + "/d", "documents")
