@@ -13,15 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.llm import (
-    bpe, chat, embed_dedup, html_extract, langid, minhash, mixing, ngram_join, secrets,
-    url_filter,
+    blocks, bpe, chat, embed_dedup, hard_negatives, html_extract, langid, minhash, mixing,
+    neighbours, ngram_join, secrets, spelling, url_filter,
 )
 from rillflow.llm.common import batch_rows, read_table, with_next
+from rillflow.llm.oracles import ORACLES
 from rillflow.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 URL_RULES: list[url_filter.Rule] = [
     ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -216,3 +216,24 @@ def op9_ngram_join(spark, sf_dir):
 def op3_html_extract(spark, sf_dir):
     return html_extract.extract(read_table(spark, sf_dir, "pages")).withColumn(
         "n_chars", F.length("text").cast("bigint"))
+
+
+@register
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variants(spelling.words_of(read_table(spark, sf_dir, "documents")))
+
+
+@register
+def op12_hard_negatives(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    return hard_negatives.mine(
+        rows.select("vec_id", label.alias("label"),
+                    F.when(blocks.usable(F.col("embedding")), whole).alias("embedding")),
+        F.col("vec_id") % 100 == 0)
+
+
+@register
+def op13_nearest_neighbours(spark, sf_dir):
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
