@@ -21,10 +21,13 @@ from rillflow.constants import CHANNEL_TOPICS, CHECKPOINT_INTERVAL, TOPIC_DB, TO
 from rillflow.operators import logs
 from rillflow.operators.comments import dictionary_from_snapshot
 from rillflow.operators.config import read_config_table
+from rillflow.operators.position import UNITS
 from rillflow.session import ensure_json_settings
 from rillflow.streaming import topics
 from rillflow.streaming.comment_job import CommentBatchWriter
-from rillflow.streaming.dim_job import DimBatchWriter, compact_snapshot, config_ops_stream
+from rillflow.streaming.dim_job import (
+    ConfigBatchWriter, DimBatchWriter, SnapshotStore, compact_snapshot,
+)
 from rillflow.streaming.log_job import log_stream
 from rillflow.streaming.runner import checkpoint_location, run_stream
 
@@ -68,13 +71,15 @@ def run_log(spark, args):
 def run_dim(spark, args):
     if not args.ops_path:
         raise SystemExit("the dim job needs --ops-path, the folder of its config ops")
+    if args.snapshot and not args.available_now:
+        raise SystemExit("--snapshot is written when the job stops: it needs --available-now "
+                         "(--snapshot-store is kept up by a running job)")
     # the whole feed: an earlier op counts until a later one replaces it
     cfg_src = _source(spark, args, args.config_topic, args.config_source, "_config",
                       args.config_starting)
     ops_name = args.name + "_config"
-    ops_query = run_stream(cfg_src, config_ops_stream,
-                           lambda df: df.writeStream.format("parquet")
-                           .option("path", args.ops_path),
+    config_writer = ConfigBatchWriter(args.ops_path, args.config_ts_unit)
+    ops_query = run_stream(cfg_src, None, lambda df: df.writeStream.foreachBatch(config_writer),
                            name=ops_name,
                            checkpoint=(args.checkpoint + "_config" if args.checkpoint
                                        else checkpoint_location(spark, ops_name)),
@@ -84,9 +89,17 @@ def run_dim(spark, args):
     preload = read_config_table(spark, args.preload, args.preload_url, args.preload_table) \
         if args.preload or args.preload_url else None
     writer = DimBatchWriter(args.ops_path, args.sink, args.sink + "_quarantine",
-                            args.database, preload=preload, as_of=args.as_of)
+                            args.database, preload=preload, as_of=args.as_of,
+                            unit=args.ts_unit)
+    store = SnapshotStore(args.snapshot_store) if args.snapshot_store else None
+
+    def each(batch, batch_id):
+        writer(batch, batch_id)
+        if store:
+            store.compact(batch.sparkSession, args.sink, args.ops_path)
+
     src = _source(spark, args, TOPIC_DB, args.source)
-    query = _run(args, src, None, lambda df: df.writeStream.foreachBatch(writer))
+    query = _run(args, src, None, lambda df: df.writeStream.foreachBatch(each))
     if args.snapshot:
         query.awaitTermination()
         compact_snapshot(spark, args.sink, args.ops_path).write.mode("overwrite") \
@@ -133,7 +146,12 @@ def parse_args(argv):
     p.add_argument("--preload-url", help="dim job: the config table by JDBC")
     p.add_argument("--preload-table")
     p.add_argument("--as-of", action="store_true")
-    p.add_argument("--snapshot")
+    p.add_argument("--ts-unit", default="ms", choices=sorted(UNITS),
+                   help="dim job: unit of the changes' ts")
+    p.add_argument("--config-ts-unit", default="ms", choices=sorted(UNITS))
+    p.add_argument("--snapshot", help="dim job: write the dimension cells when the job stops")
+    p.add_argument("--snapshot-store", help="dim job: keep the dimension cells in buckets, "
+                   "compacted after each micro-batch")
     p.add_argument("--dictionary")
     p.add_argument("--dictionary-table", help="comment job: --dictionary is a dimension "
                    "snapshot, and this sink table of it the dictionary")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.functions.jsonvar import get_long, get_str, keep_where
+from rillflow.operators.carry import WINDOW_ROWS, next_in_group, previous_in_group
 from rillflow.operators.joins import sized_broadcast
 
 FIELDS = ("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key")
@@ -120,16 +121,39 @@ def config_intervals(ops: DataFrame) -> DataFrame:
     """STA-2 as validity intervals: each non-delete op is in force from its
     ``seq`` (exclusive) until the next op of its source table. The "next op"
     is found without a window over a whole source table (``next_in_group``)."""
-    from rillflow.operators.ordered import next_in_group
     return (next_in_group(ops, "source_table", "seq", "valid_to")
             .where(~F.col("op").eqNullSafe("d"))
             .withColumnRenamed("seq", "valid_from"))
 
 
+def _life_ops(decoded: DataFrame) -> DataFrame:
+    """The ops as they act on sink tables. One whose table creation does not happen: c/r do
+    nothing, any other op has already dropped the table, so it acts as d."""
+    creates = family_creates()
+    eff = (F.when(F.col("op") == "d", F.lit("d"))
+           .when(F.col("op").isin("c", "r"), F.when(creates, F.col("op")))
+           .otherwise(F.when(creates, F.coalesce(F.col("op"), F.lit("u"))).otherwise(F.lit("d"))))
+    return decoded.withColumn("op", eff).where(F.col("op").isNotNull())
+
+
+def generations(decoded: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """SNK-3 over time: ``sink_table, seq, generation``, one row for each op that opens a
+    generation of its sink table (an u or other op, or a c/r when there is no table) or
+    ends one (d). A generation is numbered by the ``seq`` of the op that opened it, and is null after a d:
+    a change belongs to the generation in force when it is routed, and the table holds the
+    changes of its live generation only, whatever clocks both topics keep."""
+    ops = previous_in_group(_life_ops(decoded).select("sink_table", "seq", "op"), "sink_table",
+                            "seq", "op", "_before", window_rows)
+    absent = F.col("_before").isNull() | (F.col("_before") == "d")
+    opens = ~F.col("op").isin("c", "r", "d") | (F.col("op").isin("c", "r") & absent)
+    return ops.where(opens | (F.col("op") == "d")) \
+        .select("sink_table", "seq", F.when(opens, F.col("seq")).alias("generation"))
+
+
 def table_lifecycle(decoded: DataFrame, latest: DataFrame | None = None) -> DataFrame:
     """SNK-3: per sink table named by the feed, whether it exists at the end
     (its last op is not d) and ``reset_seq``, where its current life began
-    (null for a dropped table).
+    (null for a dropped table): the number of its live generation.
 
     c/r create the table unless it exists (then they do nothing); d drops it;
     u, and any other op, drops and re-creates it empty. A put to a table that
@@ -140,13 +164,7 @@ def table_lifecycle(decoded: DataFrame, latest: DataFrame | None = None) -> Data
     With ``latest`` (from ``latest_config``), also ``orphan``: the table exists
     but no source table routes to it any more (a renamed sink, D13).
     """
-    # an op whose table creation does not happen: c/r do nothing, any other
-    # op has already dropped the table, so it acts as d
-    creates = family_creates()
-    eff = (F.when(F.col("op") == "d", F.lit("d"))
-           .when(F.col("op").isin("c", "r"), F.when(creates, F.col("op")))
-           .otherwise(F.when(creates, F.coalesce(F.col("op"), F.lit("u"))).otherwise(F.lit("d"))))
-    decoded = decoded.withColumn("op", eff).where(F.col("op").isNotNull())
+    decoded = _life_ops(decoded)
     op = F.col("op")
     resets = ~op.isin("c", "r", "d")
     last = (decoded.groupBy("sink_table")

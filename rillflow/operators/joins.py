@@ -1,9 +1,7 @@
 """Join strategies with a checked size.
 
 ``sized_broadcast`` broadcasts a side only when its measured size (rows and
-value bytes) is under ``spark.sql.autoBroadcastJoinThreshold``. ``interval_join`` is the
-as-of join of facts to validity intervals: broadcast when the intervals are
-small, else a bucketed range join whose candidate pairs are bounded.
+value bytes) is under ``spark.sql.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
@@ -15,8 +13,6 @@ from pyspark.sql import types as T
 # Per-row overhead added to the measured bytes of a broadcast side (row header,
 # fixed-width fields, hash-table entry).
 ROW_OVERHEAD = 64
-MAX_LONG = (1 << 63) - 1
-MIN_LONG = -(1 << 63)
 
 
 def broadcast_threshold(df: DataFrame) -> int:
@@ -75,95 +71,3 @@ def sized_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
     join with ``df`` as the build side, so that Catalyst cannot broadcast it on
     a file-size estimate either (AQE still splits skewed partitions)."""
     return F.broadcast(df) if fits_broadcast(df, limit) else df.hint("shuffle_hash")
-
-
-# An interval key with more versions than this is "hot": its position axis is
-# cut into buckets so that a fact meets only the versions near it.
-HOT_VERSIONS = 16
-MAX_BUCKETS = 4096
-# Hot keys are sent to the driver (to mark the facts' buckets) up to this many;
-# beyond it every key is bucketed instead.
-MAX_HOT_KEYS = 10_000
-
-
-def interval_join(facts: DataFrame, intervals: DataFrame, fact_key: str, int_key: str,
-                  pos: str, valid_from: str, valid_to: str, how: str = "inner",
-                  limit: int | None = None) -> DataFrame:
-    """Each fact meets the interval of its key with ``valid_from < pos < valid_to``
-    (``valid_to`` null = open). Intervals of one key must not overlap.
-
-    One small job over the intervals gives their count and the hot keys (more
-    than ``HOT_VERSIONS`` versions). A hot key's intervals are repeated in every
-    bucket of the position axis they overlap, and its facts carry their bucket;
-    other keys use bucket -1. The equi-join on (key, bucket) plus the range
-    condition then finds the single match while comparing each fact with a
-    bounded number of candidates, and a hot key's facts spread over all its
-    buckets. The interval side is broadcast when its (bounded) size fits, else
-    both sides shuffle on (key, bucket) and AQE splits skewed partitions.
-    """
-    min_long = F.lit(MIN_LONG)
-    per_key = intervals.groupBy(int_key).agg(
-        F.count(F.lit(1)).alias("_versions"),
-        F.sum(side_bytes(intervals)).alias("_bytes"),
-        F.max(side_bytes(intervals)).alias("_max_bytes"),
-        F.min(F.when(F.col(valid_from) > min_long, F.col(valid_from))).alias("_lo"),
-        F.max(F.col(valid_from)).alias("_hi"))
-    hot_cond = F.col("_versions") > HOT_VERSIONS
-    stats = per_key.agg(
-        F.sum("_versions").alias("n"),
-        F.sum("_bytes").alias("bytes"), F.max("_max_bytes").alias("max_bytes"),
-        F.count(F.lit(1)).alias("n_keys"),
-        F.sum(hot_cond.cast("long")).alias("n_hot"),
-        # at most MAX_HOT_KEYS + 1 keys travel to the driver
-        F.slice(F.collect_list(F.when(hot_cond, F.col(int_key))), 1, MAX_HOT_KEYS + 1)
-        .alias("hot"),
-        F.max(F.col("_versions")).alias("k_max"),
-        F.min(F.when(hot_cond, F.col("_lo"))).alias("lo_hot"),
-        F.max(F.when(hot_cond, F.col("_hi"))).alias("hi_hot"),
-        F.min("_lo").alias("lo_all"), F.max("_hi").alias("hi_all")).first()
-    n = stats["n"] or 0
-    n_hot = stats["n_hot"] or 0
-    limit = broadcast_row_limit(intervals) if limit is None else limit
-
-    if n_hot:
-        # many hot keys: bucket every key (exact; more interval rows)
-        bucket_all = n_hot > MAX_HOT_KEYS
-        hot = [] if bucket_all else list(stats["hot"])
-        lo, hi = ((stats["lo_all"], stats["hi_all"]) if bucket_all
-                  else (stats["lo_hot"], stats["hi_hot"]))
-        if lo is None:
-            lo = hi = 0
-        n_buckets = min(MAX_BUCKETS, max(2, 2 * -(-stats["k_max"] // HOT_VERSIONS)))
-        width = max(1, (hi - lo) // n_buckets + 1)
-
-        def bucket(c: Column) -> Column:
-            clamped = F.greatest(F.least(c, F.lit(hi)), F.lit(lo))
-            return F.floor((clamped - F.lit(lo)) / F.lit(width)).cast("long")
-
-        is_hot = F.lit(True) if bucket_all else F.col(int_key).isin(hot)
-        fact_hot = F.lit(True) if bucket_all else F.col(fact_key).isin(hot)
-        last = bucket(F.coalesce(F.col(valid_to) - 1, F.lit(hi)))
-        spans = F.when(is_hot, F.sequence(bucket(F.col(valid_from)), last)) \
-            .otherwise(F.array(F.lit(-1).cast("long")))
-        iv = intervals.withColumn("_b", F.explode(spans))
-        f = facts.withColumn("_b", F.when(fact_hot, bucket(F.col(pos)))
-                             .otherwise(F.lit(-1).cast("long")))
-        # proven bound on the exploded side: every interval once, plus one extra
-        # row per bucket of each bucketed key, each no bigger than the largest row
-        extra = (stats["n_keys"] if bucket_all else n_hot) * n_buckets
-    else:
-        iv = intervals.withColumn("_b", F.lit(-1).cast("long"))
-        f = facts.withColumn("_b", F.lit(-1).cast("long"))
-        extra = 0
-    rows_bound = n + extra
-    bytes_bound = (stats["bytes"] or 0) + extra * ((stats["max_bytes"] or 0) + 8)
-    if 0 < limit and rows_bound <= limit and bytes_bound <= broadcast_threshold(intervals):
-        iv = F.broadcast(iv)
-    else:
-        # measured too big: no broadcast on an estimate; hash the intervals per
-        # (key, bucket) partition and stream the facts through
-        iv = iv.hint("shuffle_hash")
-    cond = ((f[fact_key] == iv[int_key]) & (f["_b"] == iv["_b"])
-            & (f[pos] > iv[valid_from]) & (iv[valid_to].isNull() | (f[pos] < iv[valid_to])))
-    out = f.join(iv, cond, how).drop(f["_b"]).drop(iv["_b"])
-    return out.drop(iv[int_key]) if fact_key == int_key else out

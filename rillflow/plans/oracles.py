@@ -125,42 +125,44 @@ SELECT channel, CAST(n AS BIGINT) AS n FROM counts WHERE n > 0
 # Database changes as fields, by FIXTURES.md 3.2; ``keys`` lists the data keys.
 _CHANGES = """
 chg AS (
-  SELECT c_custkey AS seq, 'shop' AS database, 'customer' AS tbl, 'bootstrap-insert' AS type,
+  SELECT 2 * c_custkey AS seq, 'shop' AS database, 'customer' AS tbl, 'bootstrap-insert' AS type,
          CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment,
-         CAST(c_nationkey AS VARCHAR) AS nation, 'id,name,segment,nation' AS keys
+         CAST(c_nationkey AS VARCHAR) AS nation, CAST(NULL AS VARCHAR) AS status,
+         CAST(NULL AS VARCHAR) AS priority, 'id,name,segment,nation' AS keys
   FROM customer
   UNION ALL
-  SELECT 1000000 + c_custkey, 'shop', 'customer', 'update', CAST(c_custkey AS VARCHAR),
+  SELECT 10000000000 + 2 * c_custkey, 'shop', 'customer', 'update', CAST(c_custkey AS VARCHAR),
          c_name || '_v2', CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE lower(c_mktsegment) END,
-         CAST(c_nationkey AS VARCHAR), 'id,name,segment,nation'
+         CAST(c_nationkey AS VARCHAR), NULL, NULL, 'id,name,segment,nation'
   FROM customer WHERE c_custkey % 5 = 0
   UNION ALL
-  SELECT 2000000 + c_custkey, 'shop', 'customer', 'delete', CAST(c_custkey AS VARCHAR),
-         c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR), 'id,name,segment,nation'
+  SELECT 20000000000 + 2 * c_custkey, 'shop', 'customer', 'delete', CAST(c_custkey AS VARCHAR),
+         c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR), NULL, NULL, 'id,name,segment,nation'
   FROM customer WHERE c_custkey % 11 = 0
   UNION ALL
-  SELECT 3000000 + c_custkey, 'shop', 'customer', 'insert', CAST(c_custkey AS VARCHAR),
-         'reborn', NULL, NULL, 'id,name'
+  SELECT 30000000000 + 2 * c_custkey, 'shop', 'customer', 'insert', CAST(c_custkey AS VARCHAR),
+         'reborn', NULL, NULL, NULL, NULL, 'id,name'
   FROM customer WHERE c_custkey % 22 = 0
   UNION ALL
-  SELECT 4000000 + s_suppkey, 'shop', 'supplier',
+  SELECT 40000000000 + 2 * s_suppkey, 'shop', 'supplier',
          CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE 'insert' END, CAST(s_suppkey AS VARCHAR),
-         s_name, NULL, CAST(s_nationkey AS VARCHAR), 'id,name,nation'
+         s_name, NULL, CAST(s_nationkey AS VARCHAR), NULL, NULL, 'id,name,nation'
   FROM supplier
   UNION ALL
-  SELECT 5000000 + p_partkey, 'shop', 'part', 'insert', CAST(p_partkey AS VARCHAR), p_name,
-         NULL, NULL, 'id,name'
+  SELECT 50000000000 + 2 * p_partkey, 'shop', 'part', 'insert', CAST(p_partkey AS VARCHAR), p_name,
+         NULL, NULL, NULL, NULL, 'id,name'
   FROM part
   UNION ALL
-  SELECT 6000000 + o_orderkey, 'shop', 'order_info', 'insert', CAST(o_orderkey AS VARCHAR),
-         NULL, NULL, NULL, 'id'
+  SELECT 60000000000 + 2 * o_orderkey, 'shop', 'order_info', 'insert',
+         CAST(o_orderkey AS VARCHAR), NULL, NULL, NULL, o_orderstatus, o_orderpriority,
+         'id,status,priority'
   FROM orders
   UNION ALL
-  SELECT 9000000, 'shop', 'customer', 'bootstrap-start', NULL, NULL, NULL, NULL, ''
+  SELECT 90000000000, 'shop', 'customer', 'bootstrap-start', NULL, NULL, NULL, NULL, NULL, NULL, ''
   FROM region WHERE r_regionkey = 0
   UNION ALL
-  SELECT 9000001 + r_regionkey, 'other', 'customer', 'insert', CAST(r_regionkey AS VARCHAR),
-         r_name, NULL, NULL, 'id,name'
+  SELECT 90000000002 + 2 * r_regionkey, 'other', 'customer', 'insert',
+         CAST(r_regionkey AS VARCHAR), r_name, NULL, NULL, NULL, NULL, 'id,name'
   FROM region
 ),
 clean AS (
@@ -195,8 +197,19 @@ feed AS (
                (-5, 'r', 'part', 'dim_part', 'id,name', 'info', 'id'),
                (-4, 'c', 'supplier', 'dim_supplier', 'id,name,nation', 'info', 'id'),
                (-3, 'u', 'supplier', 'dim_supplier', 'id,name', 'info', 'id'),
-               (-2, 'd', 'part', 'dim_part', 'id,name', 'info', 'id'))
+               (-2, 'd', 'part', 'dim_part', 'id,name', 'info', 'id'),
+               (40000000011, 'u', 'supplier', 'dim_supplier', 'id,name,nation', 'info', 'id'),
+               (50000000041, 'r', 'part', 'dim_part', 'id,name', 'info', 'id'),
+               (50000000121, NULL, 'part', 'dim_part', 'id,name', 'info', 'code'),
+               (50000000161, 'c', 'part', 'dim_part', 'id,name', 'info', 'id'))
        AS t(seq, op, source_table, sink_table, sink_columns, sink_family, sink_row_key)
+  UNION ALL
+  SELECT 60000000001 + 2 * o_orderkey,
+         CASE turn WHEN 0 THEN 'c' WHEN 1 THEN 'u' WHEN 2 THEN 'd' WHEN 3 THEN 'r' END,
+         'order_info', CASE turn WHEN 3 THEN 'dim_order_alt' ELSE 'dim_order' END,
+         CASE turn WHEN 1 THEN 'id,status,priority' WHEN 4 THEN 'status' ELSE 'id,status' END,
+         'info', 'id'
+  FROM (SELECT o_orderkey, o_orderkey // 50 % 5 AS turn FROM orders WHERE o_orderkey % 50 = 0)
 ),
 preload AS (
   SELECT * FROM (VALUES ('customer', 'dim_customer', 'id,name,segment', 'info', 'id'),
@@ -215,16 +228,18 @@ ops AS (
 iv AS (
   SELECT * FROM (
     SELECT *, lead(seq) OVER (PARTITION BY source_table ORDER BY seq) AS valid_to FROM ops)
-  WHERE op <> 'd'
+  WHERE op IS DISTINCT FROM 'd'
+),
+life AS (
+  SELECT *, op NOT IN ('c', 'r', 'd') OR (op IN ('c', 'r') AND (prev IS NULL OR prev = 'd'))
+            AS opens
+  FROM (SELECT sink_table, seq, op, lag(op) OVER (PARTITION BY sink_table ORDER BY seq) AS prev
+        FROM (SELECT sink_table, seq, coalesce(op, 'u') AS op FROM feed))
 ),
 lc AS (
   SELECT sink_table, arg_max(op, seq) <> 'd' AS live,
-         CASE WHEN arg_max(op, seq) <> 'd' THEN
-           max(seq) FILTER (WHERE op NOT IN ('c', 'r', 'd')
-                             OR (op IN ('c', 'r') AND (prev IS NULL OR prev = 'd'))) END
-           AS reset_seq
-  FROM (SELECT *, lag(op) OVER (PARTITION BY sink_table ORDER BY seq) AS prev FROM feed)
-  GROUP BY sink_table
+         CASE WHEN arg_max(op, seq) <> 'd' THEN max(seq) FILTER (WHERE opens) END AS reset_seq
+  FROM life GROUP BY sink_table
 )
 """
 
@@ -265,7 +280,7 @@ WITH {_CONFIG},
 last AS (SELECT *, row_number() OVER (PARTITION BY source_table ORDER BY seq DESC) AS rn
          FROM ops)
 SELECT source_table, sink_table, sink_columns, sink_family, sink_row_key, op
-FROM last WHERE rn = 1 AND op <> 'd'
+FROM last WHERE rn = 1 AND op IS DISTINCT FROM 'd'
 """
 
 ORACLES["config_intervals"] = f"""
@@ -277,7 +292,7 @@ ORACLES["table_lifecycle"] = f"""
 WITH {_CONFIG},
 last AS (SELECT *, row_number() OVER (PARTITION BY source_table ORDER BY seq DESC) AS rn
          FROM ops),
-routed AS (SELECT DISTINCT sink_table FROM last WHERE rn = 1 AND op <> 'd')
+routed AS (SELECT DISTINCT sink_table FROM last WHERE rn = 1 AND op IS DISTINCT FROM 'd')
 SELECT lc.sink_table, live, reset_seq,
        live AND lc.sink_table NOT IN (SELECT sink_table FROM routed) AS orphan
 FROM lc
@@ -293,7 +308,7 @@ WITH {_CHANGES}, {_CONFIG},
 last AS (SELECT *, row_number() OVER (PARTITION BY source_table ORDER BY seq DESC) AS rn
          FROM ops)
 SELECT c.seq, c.tbl AS "table", last.sink_table
-FROM clean c JOIN last ON c.tbl = last.source_table AND last.rn = 1 AND last.op <> 'd'
+FROM clean c JOIN last ON c.tbl = last.source_table AND last.rn = 1 AND last.op IS DISTINCT FROM 'd'
 """
 
 ORACLES["column_prune"] = f"""
@@ -312,6 +327,30 @@ SELECT seq, sink_table,
 FROM routed
 """
 
+ORACLES["row_key_quarantine"] = f"""
+WITH {_CHANGES}, {_CONFIG}, {_ROUTED}
+SELECT seq, tbl AS "table", sink_table, sink_row_key FROM routed
+WHERE NOT list_contains(list_intersect(string_split(keys, ','), string_split(sink_columns, ',')),
+                        sink_row_key)
+"""
+
+ORACLES["table_generations"] = f"""
+WITH {_CONFIG}
+SELECT sink_table, seq, CASE WHEN opens THEN seq END AS generation FROM life
+WHERE opens OR op = 'd'
+"""
+
+# the generation by counting: ops that open or end one, at most as late as the change
+ORACLES["change_generation"] = f"""
+WITH {_CHANGES}, {_CONFIG}, {_ROUTED}, marks AS (
+  SELECT sink_table, seq, opens, lead(seq) OVER (PARTITION BY sink_table ORDER BY seq) AS until
+  FROM life WHERE opens OR op = 'd'
+)
+SELECT r.seq, r.sink_table, m.seq AS generation
+FROM routed r JOIN marks m ON r.sink_table = m.sink_table AND m.opens AND r.seq > m.seq
+     AND (m.until IS NULL OR r.seq < m.until)
+"""
+
 # Snapshot by windows over the unpivoted cells: the last delete of a row hides
 # every earlier put; per cell the last non-null put after it wins.
 ORACLES["dim_snapshot"] = f"""
@@ -329,7 +368,8 @@ marked AS (
 cells AS (
   SELECT sink_table, id AS row_key, seq, col, val FROM marked
   CROSS JOIN LATERAL (VALUES ('id', id), ('name', name), ('segment', segment),
-                             ('nation', nation)) AS u(col, val)
+                             ('nation', nation), ('status', status),
+                             ('priority', priority)) AS u(col, val)
   WHERE (type IS NULL OR type <> 'delete') AND seq > coalesce(del_seq, -1)
     AND val IS NOT NULL
     AND list_contains(string_split(keys, ','), col)
@@ -341,7 +381,7 @@ FROM cells GROUP BY sink_table, row_key, col
 
 _COMMENTS = """
 cm AS (
-  SELECT doc_id, 20000000 + doc_id AS seq,
+  SELECT doc_id, 100000000000 + doc_id AS seq,
          CASE WHEN doc_id % 13 = 0 THEN 'other' ELSE 'shop' END AS database,
          CASE WHEN doc_id % 10 = 0 THEN 'update' ELSE 'insert' END AS type,
          CAST(doc_id AS VARCHAR) AS id, CAST(doc_id % 100 AS VARCHAR) AS user_id,

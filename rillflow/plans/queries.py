@@ -227,8 +227,7 @@ def table_lifecycle(spark, sf_dir):
 
 def routed_changes(spark, sf_dir, ops: DataFrame | None = None) -> DataFrame:
     ops = all_config_ops(spark, sf_dir) if ops is None else ops
-    intervals = cfg.config_intervals(ops)
-    return dims.route_changes(clean_change_rows(spark, sf_dir), intervals)
+    return dims.route_changes(clean_change_rows(spark, sf_dir), ops)
 
 
 @register("config_route")
@@ -260,12 +259,35 @@ def row_key(spark, sf_dir):
     return keyed_changes(spark, sf_dir).select("seq", "sink_table", "row_key")
 
 
+@register("row_key_quarantine")
+def row_key_quarantine(spark, sf_dir):
+    """Routed changes without a row key (D16)."""
+    return dims.bad_row_keys(keyed_changes(spark, sf_dir)) \
+        .select("seq", "table", "sink_table", "sink_row_key")
+
+
+@register("table_generations")
+def table_generations(spark, sf_dir):
+    return cfg.generations(feed_ops(all_config_ops(spark, sf_dir)))
+
+
+def stamped_changes(spark, sf_dir, ops: DataFrame) -> DataFrame:
+    return dims.with_generation(keyed_changes(spark, sf_dir, ops),
+                                materialize(cfg.generations(feed_ops(ops)), "generations"))
+
+
+@register("change_generation")
+def change_generation(spark, sf_dir):
+    """Each change that meets an existing table, with the table's generation there."""
+    return stamped_changes(spark, sf_dir, all_config_ops(spark, sf_dir)) \
+        .select("seq", "sink_table", "generation")
+
+
 @register("dim_snapshot")
 def dim_snapshot(spark, sf_dir):
     ops = all_config_ops(spark, sf_dir)
     lifecycle = cfg.table_lifecycle(feed_ops(ops))
-    live = dims.apply_lifecycle(keyed_changes(spark, sf_dir, ops), lifecycle)
-    return dims.dim_snapshot(live)
+    return dims.dim_snapshot(dims.apply_lifecycle(stamped_changes(spark, sf_dir, ops), lifecycle))
 
 
 @register("dic_from_snapshot")

@@ -73,6 +73,13 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the library's own from shared storage, if it is there."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def size_for_input(spark: SparkSession, input_bytes: int,
                    partition_bytes: int = 256 << 20) -> dict:
     """Shuffle and scan sizing for a batch over ``input_bytes`` of input.

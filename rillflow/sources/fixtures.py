@@ -17,7 +17,10 @@ SHOP_DB = "shop"
 COMMENT_TS_BASE = 1_700_000_000_000
 CHANGE_TS_BASE = 1_700_000_000_000
 CONFIG_CHURN_BASE = -1_000_000_000   # config churn sits before every change
-COMMENT_SEQ_BASE = 20_000_000        # offset of comment rows on the shared topic
+# Changes lie in stages of the shared position axis, at even numbers: stage * STAGE + 2 * key;
+# config ops between them at odd ones. Apart up to five thousand million keys.
+STAGE = 10_000_000_000
+COMMENT_SEQ_BASE = 10 * STAGE        # offset of comment rows on the shared topic
 CREATE_TIME = "2024-01-01 00:00:00"
 
 # Fixed config rows of FIXTURES.md 3.3, in feed order (cseq -6 .. -1).
@@ -30,6 +33,17 @@ CONFIG_ROWS = [
     ("d", ("part", "dim_part", "id,name", "info", "id"), None),
     ("text", None, None),
 ]
+# Config rows amid the changes: (seq, op, image). A reset of dim_supplier; dim_part (dropped
+# above) created, reset by an envelope without an op to a row key that parts lack, and
+# given its key again.
+CONFIG_BETWEEN = [
+    (4 * STAGE + 11, "u", ("supplier", "dim_supplier", "id,name,nation", "info", "id")),
+    (5 * STAGE + 41, "r", ("part", "dim_part", "id,name", "info", "id")),
+    (5 * STAGE + 121, None, ("part", "dim_part", "id,name", "info", "code")),
+    (5 * STAGE + 161, "c", ("part", "dim_part", "id,name", "info", "id")),
+]
+# One order in so many brings an op on its own source table right behind its change.
+ORDER_OP_EVERY = 50
 CONFIG_FIELDS = ["source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key"]
 CONFIG_STRUCT = "struct<" + ",".join(f"{c}:string" for c in CONFIG_FIELDS) + ">"
 
@@ -101,6 +115,10 @@ def _explode_changes(df: DataFrame, changes: list[Column]) -> DataFrame:
     return df.select(F.inline(arr))
 
 
+def _at(stage: int, key: Column) -> Column:
+    return F.lit(stage * STAGE) + key.cast("bigint") * 2
+
+
 def change_raw(customer: DataFrame, supplier: DataFrame, part: DataFrame,
                orders: DataFrame, region: DataFrame) -> DataFrame:
     """``(seq, value)`` database change records (FIXTURES.md 3.2)."""
@@ -113,31 +131,33 @@ def change_raw(customer: DataFrame, supplier: DataFrame, part: DataFrame,
                    F.col("c_nationkey").alias("nation"))
     reborn = F.struct(ck.alias("id"), F.lit("reborn").alias("name"))
     cust = _explode_changes(spread(customer), [
-        _change(SHOP_DB, "customer", "bootstrap-insert", ck, base),
-        F.when(ck % 5 == 0, _change(SHOP_DB, "customer", "update", F.lit(1_000_000) + ck, upd,
+        _change(SHOP_DB, "customer", "bootstrap-insert", _at(0, ck), base),
+        F.when(ck % 5 == 0, _change(SHOP_DB, "customer", "update", _at(1, ck), upd,
                                     F.create_map(F.lit("name"), F.col("c_name")))),
-        F.when(ck % 11 == 0, _change(SHOP_DB, "customer", "delete", F.lit(2_000_000) + ck, base)),
-        F.when(ck % 22 == 0, _change(SHOP_DB, "customer", "insert", F.lit(3_000_000) + ck, reborn)),
+        F.when(ck % 11 == 0, _change(SHOP_DB, "customer", "delete", _at(2, ck), base)),
+        F.when(ck % 22 == 0, _change(SHOP_DB, "customer", "insert", _at(3, ck), reborn)),
     ])
     sk = F.col("s_suppkey")
     supp = spread(supplier).select(F.inline(F.array(_change(
-        SHOP_DB, "supplier", F.when(sk % 7 != 0, F.lit("insert")), F.lit(4_000_000) + sk,
+        SHOP_DB, "supplier", F.when(sk % 7 != 0, F.lit("insert")), _at(4, sk),
         F.struct(sk.alias("id"), F.col("s_name").alias("name"),
                  F.col("s_nationkey").alias("nation"))))))
     pk = F.col("p_partkey")
     prt = spread(part).select(F.inline(F.array(_change(
-        SHOP_DB, "part", "insert", F.lit(5_000_000) + pk,
+        SHOP_DB, "part", "insert", _at(5, pk),
         F.struct(pk.alias("id"), F.col("p_name").alias("name"))))))
     ok = F.col("o_orderkey")
     ords = spread(orders).select(F.inline(F.array(_change(
-        SHOP_DB, "order_info", "insert", F.lit(6_000_000) + ok, F.struct(ok.alias("id"))))))
+        SHOP_DB, "order_info", "insert", _at(6, ok),
+        F.struct(ok.alias("id"), F.col("o_orderstatus").alias("status"),
+                 F.col("o_orderpriority").alias("priority"))))))
     rk = F.col("r_regionkey").cast("bigint")
     other = region.select(F.inline(F.array(_change(
-        "other", "customer", "insert", F.lit(9_000_001) + rk,
+        "other", "customer", "insert", _at(9, rk) + 2,
         F.struct(rk.alias("id"), F.col("r_name").alias("name"))))))
     # the single bootstrap-start marker rides on region key 0
     marker = region.where(F.col("r_regionkey") == 0).select(F.inline(F.array(_change(
-        SHOP_DB, "customer", "bootstrap-start", F.lit(9_000_000).cast("bigint"),
+        SHOP_DB, "customer", "bootstrap-start", F.lit(9 * STAGE).cast("bigint"),
         F.create_map().cast("map<string,string>")))))
     return cust.unionByName(supp).unionByName(prt).unionByName(ords) \
         .unionByName(other).unionByName(marker)
@@ -156,7 +176,8 @@ def _envelope(op: Column, before: Column, after: Column, ts_ms: Column) -> Colum
 
 
 def config_fixed(spark: SparkSession) -> DataFrame:
-    """The six fixed config feed rows (FIXTURES.md 3.3), cseq -6 .. -1."""
+    """The fixed config feed rows (FIXTURES.md 3.3): cseq -6 .. -1, and those amid the
+    changes."""
     rows = []
     none = F.lit(None).cast(CONFIG_STRUCT)
     for i, (op, before, after) in enumerate(CONFIG_ROWS):
@@ -170,9 +191,33 @@ def config_fixed(spark: SparkSession) -> DataFrame:
         rows.append(F.struct(F.lit(cseq).cast("bigint").alias("seq"),
                              _envelope(F.lit(op), b, a, F.lit(CHANGE_TS_BASE + cseq))
                              .alias("value")))
+    for seq, op, image in CONFIG_BETWEEN:
+        rows.append(F.struct(F.lit(seq).cast("bigint").alias("seq"), _envelope(
+            F.lit(op).cast("string"), none, _cfg_struct(*image), F.lit(CHANGE_TS_BASE + seq))
+            .alias("value")))
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
+def config_amid_orders(orders: DataFrame) -> DataFrame:
+    """Ops on the source table ``order_info`` between its changes, one in ``ORDER_OP_EVERY``:
+    create, reset, drop, create another sink, and an envelope without an op whose columns
+    lack the row key, in turn. One source table with a version for every few changes."""
+    ok = F.col("o_orderkey")
+    turn = F.floor(ok / ORDER_OP_EVERY) % 5
+    op = F.element_at(F.array(*[F.lit(x).cast("string") for x in ("c", "u", "d", "r", None)]),
+                      (turn + 1).cast("int"))
+    sink = F.when(turn == 3, "dim_order_alt").otherwise("dim_order")
+    cols = (F.when(turn == 1, "id,status,priority").when(turn == 4, "status")
+            .otherwise("id,status"))
+    image = _cfg_struct("order_info", sink, cols, "info", "id")
+    none = F.lit(None).cast(CONFIG_STRUCT)
+    gone = op.eqNullSafe("d")
+    seq = _at(6, ok) + 1
+    value = _envelope(op, F.when(gone, image).otherwise(none),
+                      F.when(gone, none).otherwise(image), F.lit(CHANGE_TS_BASE) + seq)
+    return orders.where(ok % ORDER_OP_EVERY == 0).select(seq.alias("seq"), value.alias("value"))
+
+
 def config_churn(orders: DataFrame) -> DataFrame:
     """Config feed rows derived from ``orders``: one op per order on 61 source
     tables, before every change, so the config jobs grow with the data."""
@@ -199,8 +244,10 @@ def config_churn(orders: DataFrame) -> DataFrame:
 
 
 def config_raw(spark: SparkSession, orders: DataFrame) -> DataFrame:
-    """``(seq, value)`` config change envelopes: derived churn, then fixed rows."""
-    return config_churn(orders).unionByName(config_fixed(spark))
+    """``(seq, value)`` config change envelopes: derived churn, fixed rows, and ops
+    between the changes of orders."""
+    return config_churn(orders).unionByName(config_fixed(spark)) \
+        .unionByName(config_amid_orders(spread(orders)))
 
 
 def config_table(spark: SparkSession, orders: DataFrame) -> DataFrame:

@@ -106,8 +106,7 @@ def _route(spark, sink_columns, row_key="id"):
     ops = spark.createDataFrame(
         [(-1, "r", "t", "dim_t", sink_columns, "info", row_key)],
         "seq long, op string, " + ", ".join(f"{f} string" for f in cfg.FIELDS))
-    iv = cfg.config_intervals(cfg.config_ops(ops))
-    return dims.with_row_key(dims.prune_columns(dims.route_changes(changes, iv)))
+    return dims.with_row_key(dims.prune_columns(dims.route_changes(changes, cfg.config_ops(ops))))
 
 
 def test_row_key_pruned_away_is_quarantined(spark):
@@ -177,7 +176,8 @@ def test_table_needs_a_family(spark):
 
 
 def test_resets_switchable_off(spark):
-    keyed = spark.createDataFrame([(5, "dim_t", "k")], "seq long, sink_table string, row_key string")
+    keyed = spark.createDataFrame([(5, "dim_t", "k", 2)], "seq long, sink_table string, "
+                                  "row_key string, generation long")
     lc = spark.createDataFrame([("dim_t", True, 9)], "sink_table string, live boolean, reset_seq long")
     assert dims.apply_lifecycle(keyed, lc).count() == 0
     assert dims.apply_lifecycle(keyed, lc, resets=False).count() == 1

@@ -4,12 +4,15 @@ of the reference's rules (property tests)."""
 import datetime as dt
 import json
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from rillflow.operators import changes as chg
 from rillflow.operators import config as cfg
 from rillflow.operators import dims, logs
+from rillflow.operators.carry import asof_join, next_in_group, previous_in_group, ranges
 
 DAY = 86_400_000
 T0 = 1_704_067_200_000  # 2024-01-01 UTC
@@ -166,67 +169,64 @@ def test_dim_snapshot_equals_sequential_simulation(spark, evs, with_preload):
     ops = cfg.config_ops(decoded, cfg.camel_columns(pre) if pre is not None else None)
     changes = chg.clean_changes(chg.parse_changes(spark.createDataFrame(change_rows, schema)),
                                 "shop")
-    keyed = dims.with_row_key(dims.prune_columns(
-        dims.route_changes(changes, cfg.config_intervals(ops))))
-    snap = dims.dim_snapshot(dims.apply_lifecycle(keyed, cfg.table_lifecycle(decoded)))
-    got = {tuple(r) for r in snap.collect()}
-    assert got == expected
-
-
-def test_interval_join_hot_keys_match_broadcast(spark):
-    """The bucketed plan (hot keys, no broadcast) equals the broadcast plan."""
-    from pyspark.sql import functions as F
-
-    from rillflow.operators.joins import HOT_VERSIONS, interval_join
-    n_versions = HOT_VERSIONS * 5
-    iv = spark.createDataFrame(
-        [("hot", v * 100, (v + 1) * 100 if v < n_versions - 1 else None, f"h{v}")
-         for v in range(n_versions)]
-        + [("cold", -5, None, "c0")], "k string, vf long, vt long, tag string")
-    facts = spark.range(0, n_versions * 100 + 300, 7).select(
-        F.when(F.col("id") % 3 == 0, "cold").otherwise("hot").alias("k"),
-        F.col("id").alias("pos"))
-    a = interval_join(facts, iv, "k", "k", "pos", "vf", "vt", limit=0)
-    b = interval_join(facts, iv, "k", "k", "pos", "vf", "vt", limit=10_000)
-    ra = sorted(tuple(r) for r in a.select("k", "pos", "tag").collect())
-    rb = sorted(tuple(r) for r in b.select("k", "pos", "tag").collect())
-    assert ra == rb
-    # every fact strictly inside an interval matched exactly once
-    assert len(ra) == facts.where("k = 'cold' or pos % 100 <> 0").count()
-
-
-def test_interval_join_buckets_every_key_when_many_are_hot(spark, monkeypatch):
-    from pyspark.sql import functions as F
-
-    from rillflow.operators import joins
-    rows = [(k, v * 10, (v + 1) * 10 if v < 39 else None, f"{k}{v}")
-            for k in ("a", "b", "c") for v in range(40)] + [("d", -1, None, "d0")]
-    iv = spark.createDataFrame(rows, "k string, vf long, vt long, tag string")
-    facts = spark.range(0, 420, 3).select(
-        F.element_at(F.array(*[F.lit(x) for x in "abcd"]), (F.col("id") % 4 + 1).cast("int"))
-        .alias("k"), F.col("id").alias("pos"))
-    base = sorted(tuple(r) for r in joins.interval_join(
-        facts, iv, "k", "k", "pos", "vf", "vt", limit=10_000).select("k", "pos", "tag").collect())
-    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 1)
-    every = sorted(tuple(r) for r in joins.interval_join(
-        facts, iv, "k", "k", "pos", "vf", "vt", limit=0).select("k", "pos", "tag").collect())
-    assert base == every and len(base) > 0
+    # both plans of the as-of joins: broadcast lists, and ranges with carry
+    for limit in (None, 0):
+        keyed = dims.with_row_key(dims.prune_columns(dims.route_changes(changes, ops, limit)))
+        stamped = dims.with_generation(keyed, cfg.generations(decoded, limit or 10**6), limit)
+        snap = dims.dim_snapshot(dims.apply_lifecycle(stamped, cfg.table_lifecycle(decoded)))
+        got = {tuple(r) for r in snap.collect()}
+        assert got == expected
+
+
+def _last_version(facts, versions):
+    out = []
+    for k, pos in facts:
+        earlier = [v for v in versions if v[0] == k and v[1] < pos] if k is not None else []
+        if earlier:
+            last = max(earlier, key=lambda v: v[1])
+            if last[2] is not None:
+                out.append((k, pos, last[2]))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_asof_join_with_clumps_and_hot_keys(spark, limit):
+    """A key with most facts, another with most versions, at clumped positions."""
+    import random
+    rnd = random.Random(4)
+    versions = [("hot", p, None if p % 7 == 0 else f"h{p}") for p in
+                list(range(1000, 1300)) + [10**9, 10**9 + 1, 2 * 10**9]]
+    versions += [("one", 5, "o"), ("gone", 1, "g"), ("gone", 2, None), (None, 1, "null")]
+    facts = [("hot", rnd.choice([999, 1000, 1001, 1150, 1299, 1300, 10**9, 10**9 + 1, 3 * 10**9]))
+             for _ in range(300)] + [("one", p) for p in range(0, 2000, 3)]
+    facts += [("gone", 1), ("gone", 2), ("gone", 9), (None, 5), ("none", 5), ("hot", None)]
+    f = spark.createDataFrame(facts, "k string, pos long").repartition(3)
+    v = spark.createDataFrame(versions, "key string, at long, tag string").repartition(3)
+    got = asof_join(f, v, "k", "key", "pos", "at", ["tag"],
+                    in_force=F.col("tag").isNotNull(), limit=limit)
+    want = _last_version([x for x in facts if x[1] is not None], versions)
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 700
+
+
+def test_asof_ranges_stay_even_for_one_key(spark):
+    """A single key at clumped positions still spreads over all ranges."""
+    rows = spark.range(20_000).select(F.lit("k").alias("k"), F.when(
+        F.col("id") < 19_000, F.col("id")).otherwise(F.col("id") * 10**12).alias("p"))
+    n = [r["count"] for r in ranges(rows, "k", "p").groupBy("_range").count().collect()]
+    assert len(n) == 4 and max(n) < 10_000
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.too_slow,
                                                                  HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(["h", "h", "h", "x", "y"]),
                           st.integers(-50, 500)), min_size=1, max_size=80, unique_by=lambda t: t))
-def test_next_in_group_equals_lead(spark, rows):
+def test_neighbours_in_group_equal_lead_and_lag(spark, rows):
     from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
-    from rillflow.operators.joins import MIN_LONG
-    from rillflow.operators.ordered import next_in_group
-    rows = rows + [("h", MIN_LONG)]
+    rows = rows + [("h", cfg.MIN_SEQ)]
     df = spark.createDataFrame(rows, "k string, s long")
-    got = sorted(tuple(r) for r in next_in_group(df, "k", "s", "nxt", rows_per_bucket=3)
-                 .select("k", "s", "nxt").collect())
-    exp = sorted(tuple(r) for r in df.withColumn(
-        "nxt", F.lead("s").over(Window.partitionBy("k").orderBy("s"))).collect())
-    assert got == exp
+    w = Window.partitionBy("k").orderBy("s")
+    exp = sorted(df.select("k", "s", F.lead("s").over(w), F.lag("s").over(w)).collect(), key=repr)
+    for most in (3, 10**6):
+        got = next_in_group(df, "k", "s", "nxt", most)
+        got = previous_in_group(got, "k", "s", "s", "prv", most)
+        assert sorted(got.select("k", "s", "nxt", "prv").collect(), key=repr) == exp

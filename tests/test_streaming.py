@@ -8,16 +8,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillflow.constants import CHANNEL_TOPICS
-from rillflow.operators import logs
+from rillflow.operators import config as cfg
+from rillflow.operators import dims, logs
 from rillflow.plans import queries as Q
 from rillflow.sources import fixtures as fx
 from rillflow.streaming import topics
 from rillflow.streaming.comment_job import CommentBatchWriter
-from rillflow.streaming.dim_job import DimBatchWriter, compact_snapshot, config_ops_stream
+from rillflow.streaming.dim_job import ConfigBatchWriter, DimBatchWriter, compact_snapshot
 from rillflow.streaming.log_job import log_stream
 from rillflow.streaming.runner import run_stream
 from tests.conftest import SF
 
+T0 = 1_700_000_000_000
+
 
 def _write_in_batches(df, path, bounds):
     """Topic files, one file per batch, written in seq order."""
@@ -68,11 +71,11 @@ def test_dim_stream_equals_batch_snapshot(spark, scratch, as_of):
     cfg_src, chg_src, ops, log, bad = (os.path.join(scratch, d) for d in
                                        ("topic_cfg", "topic_db", "ops", "changelog", "bad"))
     topics.write_topic_files(fx.config_raw(spark, orders), cfg_src, parts=1)
-    _write_in_batches(Q.change_topic(spark, SF), chg_src, [0, 1_000_000, 5_000_000, 10**9])
+    _write_in_batches(Q.change_topic(spark, SF), chg_src, [0, fx.STAGE, 5 * fx.STAGE, 10 * fx.STAGE])
 
-    q = run_stream(topics.read_topic(spark, path=cfg_src), config_ops_stream,
-                   lambda df: df.writeStream.format("parquet").option("path", ops),
-                   name="config_ops", checkpoint=os.path.join(scratch, "ck1"),
+    config_writer = ConfigBatchWriter(ops)
+    q = run_stream(topics.read_topic(spark, path=cfg_src), None,
+                   lambda df: df.writeStream.foreachBatch(config_writer), name="config_ops", checkpoint=os.path.join(scratch, "ck1"),
                    available_now=True)
     q.awaitTermination(300)
     writer = DimBatchWriter(ops, log, bad, fx.SHOP_DB,
@@ -83,7 +86,15 @@ def test_dim_stream_equals_batch_snapshot(spark, scratch, as_of):
     q.awaitTermination(300)
     assert q.exception() is None
     got = sorted(tuple(r) for r in compact_snapshot(spark, log, ops).collect())
-    exp = sorted(tuple(r) for r in Q.dim_snapshot(spark, SF).collect())
+    if as_of:
+        want = Q.dim_snapshot(spark, SF)
+    else:  # all config came before the first batch
+        all_ops = Q.all_config_ops(spark, SF)
+        life = cfg.table_lifecycle(Q.feed_ops(all_ops))
+        routed = dims.route_latest(Q.clean_change_rows(spark, SF), cfg.latest_config(all_ops))
+        want = dims.dim_snapshot(dims.apply_lifecycle(dims.with_current_generation(
+            dims.with_row_key(dims.prune_columns(routed)), life), life))
+    exp = sorted(tuple(r) for r in want.collect())
     assert got == exp and len(got) > 0
 
 
@@ -167,8 +178,8 @@ def test_dirty_logs_on_a_stream(spark, scratch):
 def test_dim_batch_retry_is_idempotent(spark, scratch):
     orders = fx.read_table(spark, SF, "orders")
     ops, log, bad = (os.path.join(scratch, d) for d in ("ops", "log", "bad"))
-    config_ops_stream(fx.config_raw(spark, orders)).write.parquet(ops)
-    batch = Q.change_topic(spark, SF).where("seq < 1000000")
+    ConfigBatchWriter(ops)(fx.config_raw(spark, orders), 0)
+    batch = Q.change_topic(spark, SF).where(F.col("seq") < fx.STAGE)
     writer = DimBatchWriter(ops, log, bad, fx.SHOP_DB)
     writer(batch, 7)
     n = spark.read.parquet(log).count()
@@ -195,30 +206,28 @@ def test_dictionary_refresh_interval(spark, scratch):
 
 def test_dim_batch_as_of_applies_config_per_record(spark, scratch):
     from rillflow.operators import changes as chg
-    from rillflow.operators import config as cfg
-    from rillflow.operators import dims
 
-    def env(op, cols):
+    def env(op, cols, t):
         c = {"source_table": "t", "sink_table": "dim_t", "sink_columns": cols,
              "sink_family": "info", "sink_row_key": "id"}
-        return json.dumps({"op": op, "before": None, "after": c})
+        return json.dumps({"op": op, "before": None, "after": c, "ts_ms": t})
 
-    def change(rid):
-        return json.dumps({"database": "shop", "table": "t", "type": "insert",
+    def change(rid, t):
+        return json.dumps({"database": "shop", "table": "t", "type": "insert", "ts": t,
                            "data": {"id": rid, "a": "x", "b": "y"}})
 
     schema = "seq long, value string"
-    cfg_raw = spark.createDataFrame([(1, env("c", "id,a")), (50, env("r", "id,b"))], schema)
-    chg_raw = spark.createDataFrame([(10, change("1")), (60, change("2"))], schema)
+    cfg_raw = spark.createDataFrame([(1, env("c", "id,a", T0 + 1)), (50, env("r", "id,b", T0 + 50))], schema)
+    chg_raw = spark.createDataFrame([(10, change("1", T0 + 10)), (60, change("2", T0 + 60))], schema)
     ops = os.path.join(scratch, "ops")
-    config_ops_stream(cfg_raw).write.parquet(ops)
+    ConfigBatchWriter(ops)(cfg_raw, 0)
 
     decoded = cfg.decode_config(cfg_raw)
     keyed = dims.with_row_key(dims.prune_columns(dims.route_changes(
-        chg.clean_changes(chg.parse_changes(chg_raw), "shop"),
-        cfg.config_intervals(cfg.config_ops(decoded)))))
-    batch = {tuple(r) for r in dims.dim_snapshot(
-        dims.apply_lifecycle(keyed, cfg.table_lifecycle(decoded))).collect()}
+        chg.clean_changes(chg.parse_changes(chg_raw), "shop"), cfg.config_ops(decoded))))
+    batch = {tuple(r) for r in dims.dim_snapshot(dims.apply_lifecycle(
+        dims.with_generation(keyed, cfg.generations(decoded)), cfg.table_lifecycle(decoded)))
+        .collect()}
     assert ("dim_t", "1", "a", "x") in batch and ("dim_t", "2", "b", "y") in batch
 
     for as_of in (True, False):
@@ -251,6 +260,7 @@ def test_job_programs(spark, scratch):
     q = jobs.main(["dim", "--source", chg_src, "--config-source", cfg_src,
                    "--ops-path", os.path.join(scratch, "ops"), "--preload", pre,
                    "--sink", os.path.join(scratch, "changelog"), "--snapshot", snap,
+                   "--snapshot-store", os.path.join(scratch, "store"), "--as-of",
                    "--available-now", "--checkpoint", os.path.join(scratch, "ck2")], spark)
     assert q.exception() is None
     assert sorted(map(tuple, spark.read.parquet(snap).collect())) == \
