@@ -1,6 +1,6 @@
 """The three jobs as programs (API-1): ``python -m rillflow.jobs <job> ...``.
 
-    log      topic of behaviour logs -> five channel topics
+    log      topic of behaviour logs -> five channel topics and the rejected messages
     dim      topic of database changes + topic of config envelopes -> change log
              (and, on demand, the dimension snapshot)
     comment  topic of database changes + dictionary table -> enriched comments
@@ -17,8 +17,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from rillflow.constants import CHANNEL_TOPICS, CHECKPOINT_INTERVAL, TOPIC_DB, TOPIC_LOG
-from rillflow.operators import logs
+from rillflow.constants import CHECKPOINT_INTERVAL, TOPIC_DB, TOPIC_LOG
 from rillflow.operators.comments import dictionary_from_snapshot
 from rillflow.operators.config import read_config_table
 from rillflow.operators.position import UNITS
@@ -28,16 +27,21 @@ from rillflow.streaming.comment_job import CommentBatchWriter
 from rillflow.streaming.dim_job import (
     ConfigBatchWriter, DimBatchWriter, SnapshotStore, compact_snapshot,
 )
-from rillflow.streaming.log_job import log_stream
+from rillflow.streaming.log_job import LogBatchWriter, tagged_stream
 from rillflow.streaming.runner import checkpoint_location, run_stream
 
 
+#: of a micro-batch: files, or thousands of Kafka records
+MAX_PER_TRIGGER = 1000
+
+
 def _source(spark, args, topic, path, part="", starting=None):
     """``part``: queries of one job have consumer groups of their own, so that each
     reads the whole topic."""
     return topics.read_topic(spark, topic, bootstrap_servers=args.bootstrap_servers,
                              path=path, starting=starting or args.starting,
-                             group_id=args.name + part, max_per_trigger=args.max_per_trigger)
+                             group_id=args.name + part, max_per_trigger=args.max_per_trigger
+                             * (1000 if args.bootstrap_servers else 1))
 
 
 def _run(args, source, transform, sink):
@@ -47,25 +51,13 @@ def _run(args, source, transform, sink):
 
 
 def run_log(spark, args):
-    src = _source(spark, args, TOPIC_LOG, args.source)
-    if args.dirty_sink:
-        # FIL-4: rejected messages, printed (console) or kept in a quarantine folder
-        def dirty_sink(df):
-            if args.dirty_sink == "console":
-                return topics.console_writer(df, "dirty")
-            return df.writeStream.format("parquet").option("path", args.dirty_sink)
-        dirty = run_stream(_source(spark, args, TOPIC_LOG, args.source, "_dirty"), logs.dirty_logs,
-                           dirty_sink, name=args.name + "_dirty",
-                           checkpoint=(args.checkpoint + "_dirty" if args.checkpoint
-                                       else checkpoint_location(spark, args.name + "_dirty")),
-                           trigger=args.trigger, available_now=args.available_now)
-        if args.available_now:
-            dirty.awaitTermination()
-    return _run(args, src, lambda df: log_stream(df, args.zone or spark.conf.get(
-        "spark.sql.session.timeZone")),
-        lambda df: topics.channel_writer(df, topics=CHANNEL_TOPICS,
-                                         bootstrap_servers=args.bootstrap_servers,
-                                         path=args.sink))
+    """The five channels and the rejected messages from one read of the topic."""
+    zone = args.zone or spark.conf.get("spark.sql.session.timeZone")
+    state = args.state_path or checkpoint_location(spark, args.name) + "_devices"
+    writer = LogBatchWriter(state, args.sink, zone, bootstrap_servers=args.bootstrap_servers,
+                            dirty_topic=args.dirty_topic)
+    return _run(args, _source(spark, args, TOPIC_LOG, args.source), tagged_stream,
+                lambda df: df.writeStream.foreachBatch(writer))
 
 
 def run_dim(spark, args):
@@ -129,14 +121,16 @@ def parse_args(argv):
     p.add_argument("--source", help="folder of (seq, value) files for the input topic")
     p.add_argument("--bootstrap-servers")
     p.add_argument("--starting", default="latest")
-    p.add_argument("--max-per-trigger", type=int)
+    p.add_argument("--max-per-trigger", type=int, default=MAX_PER_TRIGGER,
+                   help="files, or Kafka records in thousands, of a micro-batch")
     p.add_argument("--sink", required=True, help="output folder")
     p.add_argument("--name", help="query name, consumer group and checkpoint folder")
     p.add_argument("--checkpoint")
     p.add_argument("--trigger", default=CHECKPOINT_INTERVAL)
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--zone", help="zone of dates in the log job (default: session zone)")
-    p.add_argument("--dirty-sink", help="log job: folder for rejected messages, or 'console'")
+    p.add_argument("--dirty-topic", default="dirty", help="log job: topic of rejected messages")
+    p.add_argument("--state-path", help="log job: folder of the devices' first days")
     p.add_argument("--database", default="shop")
     p.add_argument("--config-topic", default="topic_config")
     p.add_argument("--config-source")

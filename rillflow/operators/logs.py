@@ -21,6 +21,7 @@ from rillflow.functions.jsonvar import (
 
 LOG = "log"
 CHANNELS = ("err", "start", "page", "display", "action")
+DIRTY = "dirty"
 OUT_OF_ORDERNESS = "3 seconds"
 _OBJECT_KEYS = ("page", "start", "common", "err")
 
@@ -73,6 +74,19 @@ def dirty_logs(raw: DataFrame, value: str = "value") -> DataFrame:
     return keep_where(parse_logs(raw, value).select(*raw.columns, "_dirty"), "_dirty")
 
 
+def tagged_logs(raw: DataFrame, value: str = "value") -> DataFrame:
+    """FIL-1 and FIL-4 in one pass: clean records, and rejected messages marked ``_dirty``,
+    which have their text in ``value`` and neither record nor device. ``dropped``: the
+    display and action elements that the split leaves out (D19)."""
+    parsed = parse_logs(raw, value)
+    dirty = F.col("_dirty")
+    tagged = parsed.select(
+        *[c for c in raw.columns if c != value], F.when(dirty, F.col(value)).alias(value),
+        *[F.when(~dirty, F.col(c)).alias(c) for c in (LOG, "mid", "is_new", "ts")], "_dirty",
+        _dropped().alias("dropped"), (dirty | F.col("_clean")).alias("_keep"))
+    return keep_where(tagged, "_keep")
+
+
 def with_event_time(logs: DataFrame, delay: str = OUT_OF_ORDERNESS) -> DataFrame:
     """STR-1: event time from ``ts`` with a bounded out-of-orderness watermark.
     Nothing downstream drops late rows (the repair reads ``ts`` itself)."""
@@ -160,20 +174,29 @@ def _elements(key: str) -> Column:
     return F.filter(F.transform(items, as_object), lambda e: e.isNotNull())
 
 
-def dropped_elements(logs: DataFrame) -> DataFrame:
-    """Per record, display/action elements dropped for not being objects."""
+def _dropped() -> Column:
     def n_bad(key):
         items = _key(key).try_cast("array<variant>")
         return F.coalesce(F.size(items) - F.size(_elements(key)), F.lit(0))
-    return logs.select("seq", (n_bad("displays") + n_bad("actions")).alias("dropped"))
+    return n_bad("displays") + n_bad("actions")
 
 
-def split_log(logs: DataFrame, channels: Sequence[str] = CHANNELS) -> DataFrame:
-    """SPL-1..6: every record to ``(seq, channel, value)`` rows in one pass.
+def dropped_elements(logs: DataFrame) -> DataFrame:
+    """Per record, display/action elements dropped for not being objects."""
+    return logs.select("seq", _dropped().alias("dropped"))
+
+
+def split_log(logs: DataFrame, channels: Sequence[str] = CHANNELS,
+              numbered: bool = False) -> DataFrame:
+    """SPL-1..6: every record to ``(seq, channel, value)`` rows in one pass, with ``n`` if
+    ``numbered``.
 
     err: the err object alone. start: the record without err (start wins over
     page). page records: one display/action row per element with common, ts and
-    page set on it, and the record itself without err, displays and actions.
+    page set on it, and the record itself without err, displays and actions. dirty (if
+    asked for, of ``tagged_logs``): the text of a rejected message.
+
+    ``n`` counts the rows of a record from 0: (seq, n) identifies a row.
     """
     log = F.col(LOG)
     err = as_object(_key("err"))
@@ -189,10 +212,22 @@ def split_log(logs: DataFrame, channels: Sequence[str] = CHANNELS) -> DataFrame:
             _elements("actions"), lambda e: to_json_text(put_keys(e, stamp)))),
         "page": lambda: _rows(is_page, "page", value=to_json_text(
             drop_keys(log, ["err", "displays", "actions"]))),
+        DIRTY: lambda: _rows(F.col("_dirty"), DIRTY, value=F.col("value")),
     }
-    arrays = [parts[c]() for c in CHANNELS if c in channels]
+    arrays = [parts[c]() for c in (*CHANNELS, DIRTY) if c in channels]
     rows = arrays[0] if len(arrays) == 1 else F.concat(*arrays)
-    return logs.select("seq", F.inline(rows))
+    if not numbered:
+        return logs.select("seq", F.inline(rows))
+    return logs.select("seq", F.posexplode(rows).alias("n", "r")) \
+        .select("seq", "n", "r.channel", "r.value")
+
+
+def log_outputs(raw: DataFrame, zone: str | None = None) -> DataFrame:
+    """All six outputs of the log job, ``(seq, n, channel, value)``: rejected messages take the
+    same pass as the five channels, and no device state."""
+    slim = clean_logs(raw, keep_log=False)
+    return split_log(repair_new_visitors(tagged_logs(raw), zone, slim=slim), (*CHANNELS, DIRTY),
+                     numbered=True)
 
 
 def log_channels(raw: DataFrame, zone: str | None = None,

@@ -122,6 +122,22 @@ counts AS (
 SELECT channel, CAST(n AS BIGINT) AS n FROM counts WHERE n > 0
 """
 
+# the rows of a record in the order err, start, page, display, action
+ORACLES["log_outputs"] = f"""
+WITH {_LOGS},
+parts AS (
+  SELECT seq, 1 AS part, 0 AS i, 'err' AS channel FROM lg WHERE clean AND et = 'error'
+  UNION ALL SELECT seq, 2, 0, 'start' FROM lg WHERE clean AND et = 'signup'
+  UNION ALL SELECT seq, 4, unnest(range(k % 4)), 'display' FROM lg
+    WHERE clean AND et IN ('view', 'click') AND k % 4 <> 3
+  UNION ALL SELECT seq, 5, 0, 'action' FROM lg WHERE clean AND et IN ('click', 'purchase')
+  UNION ALL SELECT seq, 3, 0, 'page' FROM lg WHERE clean AND et <> 'signup'
+  UNION ALL SELECT seq, 6, 0, 'dirty' FROM lg WHERE dirty
+)
+SELECT seq, CAST(row_number() OVER (PARTITION BY seq ORDER BY part, i) - 1 AS INTEGER) AS n, channel
+FROM parts
+"""
+
 # Database changes as fields, by FIXTURES.md 3.2; ``keys`` lists the data keys.
 _CHANGES = """
 chg AS (

@@ -152,8 +152,13 @@ def split_router(spark, sf_dir):
     return out.groupBy("channel").agg(F.count(F.lit(1)).alias("n"))
 
 
-# --------------------------------------------------------------------- changes
+@register("log_outputs")
+def log_outputs(spark, sf_dir):
+    """The six outputs in one pass, rejected messages among them, as row ids."""
+    return logs.log_outputs(log_topic(spark, sf_dir), ZONE).select("seq", "n", "channel")
+
 
+# --------------------------------------------------------------------- changes
 
 def change_topic(spark, sf_dir) -> DataFrame:
     r = lambda t: _read(spark, sf_dir, t)

@@ -25,8 +25,6 @@ the whole change log.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +34,9 @@ from rillflow.operators import config as cfg
 from rillflow.operators import dims
 from rillflow.operators.joins import sized_broadcast
 from rillflow.operators.position import positioned, usable_millis
-from rillflow.session import remove
-from rillflow.streaming.versions import VersionedTable, pinned, read_if_there
+from rillflow.streaming.versions import (
+    BucketedTable, VersionedTable, pinned, read_if_there,
+)
 
 POSITION = "decimal(38,0)"
 OPS_SCHEMA = f"seq {POSITION}, op string, " + ", ".join(f"{f} string" for f in cfg.FIELDS)
@@ -205,76 +204,34 @@ def compact_snapshot(spark: SparkSession, changelog_path: str, ops_path: str) ->
 
 
 CELL_SCHEMA = (f"sink_table string, row_key string, `column` string, value string, "
-               f"seq struct<batch_id:bigint,seq:{POSITION}>, generation {POSITION}, bucket int")
-MANIFEST_SCHEMA = "bucket int, cells_version bigint, upto bigint"
+               f"seq struct<batch_id:bigint,seq:{POSITION}>, generation {POSITION}")
 
 
 class SnapshotStore:
     """The dimension tables as buckets of rows, compacted batch by batch.
 
-    A bucket's cells lie in the files of one version, ``cells/version=<v>/bucket=<b>``; the
-    manifest names that version for each bucket and the last batch that is in. A table that
-    was dropped or reset is hidden at once (its generation is not live) and its cells go
-    when their bucket is next merged."""
+    A compaction reads the new batches of the change log and the buckets they touch, and writes
+    those anew. A table that was dropped or reset is hidden at once (its generation is
+    not live) and its cells go when their bucket is next merged."""
 
     def __init__(self, path: str, buckets: int = 256, keep: int = 2):
-        self.path, self.buckets, self.keep = path.rstrip("/"), buckets, keep
-        self.manifest = VersionedTable(f"{self.path}/manifest", MANIFEST_SCHEMA)
-
-    def _files(self, spark: SparkSession, entries: Iterable) -> DataFrame:
-        """The cells of manifest entries: at most one folder a bucket is listed."""
-        paths = [f"{self.path}/cells/version={e['cells_version']}/bucket={e['bucket']}"
-                 for e in entries if e["cells_version"] is not None]
-        if not paths:
-            return spark.createDataFrame([], CELL_SCHEMA).drop("bucket")
-        return spark.read.schema(CELL_SCHEMA).parquet(*paths).drop("bucket")
+        self.table = BucketedTable(path, CELL_SCHEMA, ["sink_table", "row_key"], buckets, keep)
 
     def compact(self, spark: SparkSession, changelog_path: str, ops_path: str) -> list[int]:
         """Merges the batches that are not in yet; returns the buckets it touched."""
-        before = self.manifest.newest(spark)
-        entries = self.manifest.read(spark, before).collect()
-        upto = max((e["upto"] for e in entries), default=None)
+        _, upto = self.table.files(spark)
         newest = change_log(spark, changelog_path, upto).agg(F.max("seq.batch_id")).first()[0]
         if newest is None:
             return []
-        version = 0 if before is None else before + 1
         live = _live(spark, ops_path)
-        bucket = F.pmod(F.xxhash64("sink_table", "row_key"), F.lit(self.buckets)).cast("int")
         fresh = dims.cell_entries(dims.apply_lifecycle(
             change_log(spark, changelog_path, upto, newest), live), "generation")
-        touched = sorted(r["b"] for r in fresh.select(bucket.alias("b")).distinct().collect())
-        held = {e["bucket"]: e for e in entries}
-        old = dims.apply_lifecycle(self._files(spark, [held[b] for b in touched if b in held]),
-                                   live)
-        merged = dims.last_cells(fresh.unionByName(old), "generation") \
-            .withColumn("bucket", bucket)
-        files = f"{self.path}/cells/version={version}"
-        merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(files)
-        filled = {r["bucket"] for r in spark.read.schema(CELL_SCHEMA).parquet(files)
-                  .select("bucket").distinct().collect()}
-        names = {b: e["cells_version"] for b, e in held.items()} | {
-            b: version if b in filled else None for b in touched}
-        self.manifest.write(spark.createDataFrame(
-            [(b, v, newest) for b, v in sorted(names.items())] or [(0, None, newest)],
-            MANIFEST_SCHEMA), version)
-        self._retain(spark)
+        touched = self.table.buckets_of(fresh)
+        old = dims.apply_lifecycle(self.table.read(spark, touched), live)
+        self.table.commit(dims.last_cells(fresh.unionByName(old), "generation"), newest, touched)
         return touched
 
-    def _retain(self, spark: SparkSession) -> None:
-        """Removes manifests but the newest ``keep`` and the files that only they name."""
-        versions = self.manifest.versions(spark)
-
-        def named(some):
-            return {e["cells_version"] for v in some
-                    for e in self.manifest.read(spark, v).collect()} - {None}
-        gone = named(versions[:-self.keep]) - named(versions[-self.keep:])
-        self.manifest.retain(spark, self.keep)
-        for v in gone:
-            remove(spark, f"{self.path}/cells/version={v}")
-
     def cells(self, spark: SparkSession, ops_path: str) -> DataFrame:
         """The tables' contents as of the last compaction, dropped and reset tables left out."""
-        found = self._files(spark, self.manifest.read(
-            spark, self.manifest.newest(spark)).collect())
-        return dims.apply_lifecycle(found, _live(spark, ops_path)) \
+        return dims.apply_lifecycle(self.table.read(spark), _live(spark, ops_path)) \
             .select("sink_table", "row_key", "column", "value")

@@ -51,6 +51,39 @@ def read_topic(spark: SparkSession, topic: str | None = None, *,
     return reader.load(path)
 
 
+#: how long a channel's reader remembers the ids of rows
+REPLAY = "1 hour"
+
+
+def read_channel(spark: SparkSession, topic: str, *, bootstrap_servers: str | None = None,
+                 path: str | None = None, within: str = REPLAY, starting: str = "earliest",
+                 max_per_trigger: int | None = None) -> DataFrame:
+    """A channel topic as ``(seq, n, value, time)``, each row once (SNK-1, STR-1).
+
+    The sink is at least once: a batch that is written again repeats its rows, by the same
+    (seq, n). Rows of an id that came within ``within`` before are dropped; the
+    watermark on the time of writing (record time, or file time) bounds the ids that are
+    remembered."""
+    if bootstrap_servers:
+        reader = (spark.readStream.format("kafka")
+                  .option("kafka.bootstrap.servers", bootstrap_servers)
+                  .option("subscribe", topic).option("startingOffsets", starting))
+        if max_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
+        key = F.split(F.col("key").cast("string"), ":")
+        rows = reader.load().select(
+            F.get(key, F.lit(0)).cast("bigint").alias("seq"),
+            F.get(key, F.lit(1)).cast("int").alias("n"),
+            F.col("value").cast("string").alias("value"), F.col("timestamp").alias("time"))
+    else:
+        reader = spark.readStream.schema("seq bigint, n int, value string").format("json")
+        if max_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+        rows = reader.load(f"{path}/batch_id=*/topic={topic}").select(
+            "seq", "n", "value", F.col("_metadata.file_modification_time").alias("time"))
+    return rows.withWatermark("time", within).dropDuplicatesWithinWatermark(["seq", "n"])
+
+
 def write_topic_files(df: DataFrame, batch_path: str, parts: int | None = None) -> None:
     """Append a batch ``(seq, value)`` DataFrame as files of a file-backed topic."""
     out = df.select("seq", "value")

@@ -4,6 +4,9 @@ A version's rows lie in ``<path>/data/version=<v>`` and count from the moment it
 (``<path>/commits/version=<v>``) is there; the commit is written last. A reader takes one version by
 number and keeps it while it works, so writers never pull files from under it. A version
 that is written again (a retry) replaces itself. ``retain`` removes old versions.
+
+``BucketedTable`` keeps rows in buckets of a key's hash, so that a micro-batch reads and
+writes the buckets it touches and leaves the files of the others alone.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.session import remove
@@ -75,3 +78,72 @@ def pinned(spark: SparkSession, path: str, batch_id: int, choose) -> int | None:
     spark.range(1).select(F.lit(version).cast("bigint").alias("version")) \
         .write.mode("overwrite").parquet(mine)
     return version
+
+
+MANIFEST_SCHEMA = "bucket int, version bigint, upto bigint"
+
+
+class BucketedTable:
+    """Rows in buckets; a bucket's rows lie in the files of one or more versions,
+    ``data/version=<v>/bucket=<b>``. The manifest, a versioned table itself, names them, and the
+    last micro-batch that is in."""
+
+    def __init__(self, path: str, schema: str, key: list[str], buckets: int, keep: int = 2):
+        self.path, self.schema, self.key = path.rstrip("/"), schema, key
+        self.buckets, self.keep = buckets, keep
+        self.manifest = VersionedTable(f"{self.path}/manifest", MANIFEST_SCHEMA)
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+
+    def buckets_of(self, rows: DataFrame) -> list[int]:
+        """The buckets of some rows: at most ``buckets`` numbers on the driver."""
+        return sorted(r["b"] for r in rows.select(self.bucket().alias("b")).distinct().collect())
+
+    def files(self, spark: SparkSession) -> tuple[dict[int, list[int]], int | None]:
+        """(versions of each bucket, the last micro-batch that is in)."""
+        rows = self.manifest.read(spark, self.manifest.newest(spark)).collect()
+        found: dict[int, list[int]] = {}
+        for r in rows:
+            if r["version"] is not None:
+                found.setdefault(r["bucket"], []).append(r["version"])
+        return found, max((r["upto"] for r in rows), default=None)
+
+    def read(self, spark: SparkSession, buckets: Iterable[int] | None = None) -> DataFrame:
+        """The rows of some buckets (default: of all)."""
+        found, _ = self.files(spark)
+        paths = [f"{self.path}/data/version={v}/bucket={b}"
+                 for b in (found if buckets is None else buckets) for v in found.get(b, ())]
+        if not paths:
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(*paths)
+
+    def commit(self, rows: DataFrame, upto: int, replace: Iterable[int] = ()) -> None:
+        """Adds ``rows`` as files of a new version; the files that the buckets ``replace`` had
+        before are no longer named. Old manifests go, and the versions that only they name."""
+        spark = rows.sparkSession
+        found, _ = self.files(spark)
+        newest = self.manifest.newest(spark)
+        version = 0 if newest is None else newest + 1
+        where = f"{self.path}/data/version={version}"
+        rows.withColumn("bucket", self.bucket()).repartition("bucket") \
+            .write.mode("overwrite").partitionBy("bucket").parquet(where)
+        filled = [r["bucket"] for r in spark.read.schema(self.schema + ", bucket int")
+                  .parquet(where).select("bucket").distinct().collect()]
+        replaced = set(replace)
+        names = [(b, v, upto) for b, vs in found.items() if b not in replaced for v in vs]
+        names += [(b, version, upto) for b in filled]
+        self.manifest.write(spark.createDataFrame(names or [(0, None, upto)], MANIFEST_SCHEMA),
+                            version)
+        self._retain(spark)
+
+    def _retain(self, spark: SparkSession) -> None:
+        versions = self.manifest.versions(spark)
+
+        def named(some):
+            return {r["version"] for v in some
+                    for r in self.manifest.read(spark, v).collect()} - {None}
+        gone = named(versions[:-self.keep]) - named(versions[-self.keep:])
+        self.manifest.retain(spark, self.keep)
+        for v in gone:
+            remove(spark, f"{self.path}/data/version={v}")

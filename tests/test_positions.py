@@ -211,17 +211,16 @@ def test_snapshot_store_merges_touched_buckets_only(spark, scratch):
 
     writer(_topic(spark, [(i, _chg(T0 + i, i, f"n{i}")) for i in range(200)]), 0)
     assert len(store.compact(spark, log, ops)) == 16 and kept() == whole() != []
-    first = {e["bucket"]: e["cells_version"] for e in store.manifest.read(spark, 0).collect()}
+    first, _ = store.table.files(spark)
     # an update, a delete and a row that comes back: three rows, three buckets at most
     writer(_topic(spark, [(300, _chg(T0, 5, "again")), (301, _chg(T0, 6, None, "delete")),
                           (302, _chg(T0, 7, None, "delete")), (303, _chg(T0 + 1, 7, "back"))]), 1)
     touched = store.compact(spark, log, ops)
     assert 1 <= len(touched) <= 3 and kept() == whole()
-    second = {e["bucket"]: e["cells_version"] for e in store.manifest.read(spark, 1).collect()}
+    second, _ = store.table.files(spark)
     assert {b for b in second if second[b] != first[b]} == set(touched)
-    read = store._files(spark, [e for e in store.manifest.read(spark, 1).collect()
-                                if e["bucket"] in touched]).inputFiles()
-    assert len(read) < len(store._files(spark, store.manifest.read(spark, 1).collect()).inputFiles())
+    read = store.table.read(spark, touched).inputFiles()
+    assert len(read) <= len(touched) < len(store.table.read(spark).inputFiles())
     assert store.compact(spark, log, ops) == []  # nothing new
     # a reset hides the table at once, before any compaction
     _ops(spark, ops, [(2, _cfg("u", T0 + 2))])

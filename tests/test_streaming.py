@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 
 import pytest
 
@@ -15,7 +16,8 @@ from rillflow.sources import fixtures as fx
 from rillflow.streaming import topics
 from rillflow.streaming.comment_job import CommentBatchWriter
 from rillflow.streaming.dim_job import ConfigBatchWriter, DimBatchWriter, compact_snapshot
-from rillflow.streaming.log_job import log_stream
+from rillflow.streaming import log_job
+from rillflow.streaming.log_job import LogBatchWriter, log_stream, tagged_stream
 from rillflow.streaming.runner import run_stream
 from tests.conftest import SF
 
@@ -161,18 +163,145 @@ def test_sql_job_on_a_stream(spark, scratch):
     assert got == sorted(map(tuple, Q.comment_info(spark, SF).collect()))
 
 
-def test_dirty_logs_on_a_stream(spark, scratch):
-    """FIL-4 is row-level: the quarantine runs unchanged on a stream."""
-    raw = Q.log_topic(spark, SF)
-    src, out = os.path.join(scratch, "t"), os.path.join(scratch, "dirty")
-    _write_in_batches(raw, src, [0, 500, 10**9])
-    q = run_stream(topics.read_topic(spark, path=src), logs.dirty_logs,
-                   lambda df: df.writeStream.format("parquet").option("path", out),
-                   name="dirty", checkpoint=os.path.join(scratch, "ck"), available_now=True)
+def _run_log_job(spark, src, out, state, ckpt, buckets=8):
+    writer = LogBatchWriter(state, out, "UTC", buckets=buckets)
+    q = run_stream(topics.read_topic(spark, path=src, max_per_trigger=1), tagged_stream,
+                   lambda df: df.writeStream.foreachBatch(writer), name="log_batches",
+                   checkpoint=ckpt, available_now=True)
     q.awaitTermination(300)
     assert q.exception() is None
-    got = sorted(map(tuple, spark.read.parquet(out).collect()))
-    assert got == sorted(map(tuple, logs.dirty_logs(raw).collect())) and got
+    return q
+
+
+def test_log_batches_equal_batch_and_restart(spark, scratch, monkeypatch):
+    """Six outputs from one read; state in buckets; a restart goes on with it."""
+    monkeypatch.setattr(log_job, "MOST_FILES", 2)  # buckets are merged on the way
+    raw = Q.log_topic(spark, SF)
+    src, out, state, ckpt = (os.path.join(scratch, d) for d in ("t", "o", "state", "ck"))
+
+    def expected(hi):
+        part = raw.where(F.col("seq") < hi)
+        topic = F.coalesce(*[F.when(F.col("channel") == c, t)
+                             for c, t in CHANNEL_TOPICS.items()], F.col("channel"))
+        rows = logs.log_outputs(part, "UTC").select(topic.alias("topic"), "seq", "n", "value")
+        return sorted(map(tuple, rows.collect()), key=repr)
+
+    def got():
+        return sorted(map(tuple, spark.read.json(out).select("topic", "seq", "n", "value")
+                          .collect()), key=repr)
+
+    _write_in_batches(raw, src, [0, 200, 400, 600, 800])
+    q = _run_log_job(spark, src, out, state, ckpt)
+    assert got() == expected(800) and any(r[0] == "dirty" for r in got())
+    seen = [p["observedMetrics"][log_job.METRICS] for p in map(json.loads, (
+        p.json for p in q.recentProgress)) if p["numInputRows"]]
+    assert sum(m["dirty"] for m in seen) == sum(r[0] == "dirty" for r in got())
+    _write_in_batches(raw, src, [800, 10**9])
+    _run_log_job(spark, src, out, state, ckpt)
+    assert got() == expected(10**9)
+    # a batch that is processed again leaves the same rows
+    before = got()
+    last = max(int(d.split("=")[1]) for d in os.listdir(out) if d.startswith("batch_id="))
+    LogBatchWriter(state, out, "UTC", buckets=8)(
+        logs.tagged_logs(raw.where("seq >= 800")), last)
+    assert got() == before
+
+
+def test_log_batches_follow_arrival_and_have_no_python(spark, scratch):
+    """Late rows, one hot device, and a plan of JVM operators."""
+    day, rnd = 86_400_000, random.Random(2)
+    batches, seq = [], 0
+    for b in range(3):
+        rows = []
+        for _ in range(60):
+            ts = T0 + rnd.randint(0, 3) * day - b * day + rnd.randint(0, 999)
+            rows.append((seq, rnd.choice(["m1", "m1", "m2", "m3"]), rnd.choice("011x"), ts))
+            seq += 1
+        batches.append(rows)
+    writer = LogBatchWriter(os.path.join(scratch, "s"), os.path.join(scratch, "o"), "UTC", buckets=4)
+    state, expected = {}, {}
+    for b, rows in enumerate(batches):
+        df = spark.createDataFrame([(s, json.dumps(
+            {"common": {"mid": m, "is_new": f}, "page": {}, "ts": t})) for s, m, f, t in rows],
+            "seq long, value string")
+        writer(logs.tagged_logs(df), b)
+        for s, m, f, t in sorted(rows, key=lambda r: (r[3], r[0])):
+            d = t // day
+            if f == "1":
+                expected[s] = "0" if state.setdefault(m, d) != d else "1"
+            else:
+                if f == "0":
+                    state.setdefault(m, d - 1)
+                expected[s] = f
+    got = {r["seq"]: json.loads(r["value"])["common"]["is_new"]
+           for r in spark.read.json(os.path.join(scratch, "o")).collect()}
+    assert got == expected and len(got) == 180
+    hot = spark.range(1_000_000).select(F.col("id").alias("seq"), F.concat(
+        F.lit('{"common":{"mid":"hot","is_new":"1"},"page":{},"ts":'),
+        (F.lit(T0) + F.col("id") * 500).cast("string"), F.lit("}")).alias("value"))
+    batch = logs.tagged_logs(hot)
+    days = logs.first_visit_days(batch.where(~F.col("_dirty")), "UTC")
+    plan = writer.channels(batch, writer.days.merged(days))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert not any(w in plan for w in ("Python", "Pandas", "Arrow", "Window"))
+    n = writer.channels(batch, writer.days.merged(days)).groupBy(
+        F.get_json_object("value", "$.common.is_new").alias("f")).count().collect()
+    first = (T0 // day + 1) * day
+    assert {r["f"]: r["count"] for r in n} == {
+        "1": -(-(first - T0) // 500), "0": 1_000_000 - -(-(first - T0) // 500)}
+
+
+def test_dropped_elements_are_in_the_progress(spark, scratch):
+    src = os.path.join(scratch, "t")
+    rows = [(1, {"common": {"mid": "a", "is_new": "1"}, "page": {}, "ts": T0,
+                 "displays": [{"i": 1}, 7, "x"], "actions": [None, {"a": 1}]}),
+            (2, "no json"), (3, {"page": {}})]
+    topics.write_topic_files(spark.createDataFrame(
+        [(s, v if isinstance(v, str) else json.dumps(v)) for s, v in rows],
+        "seq long, value string"), src, parts=1)
+    q = _run_log_job(spark, src, os.path.join(scratch, "o"), os.path.join(scratch, "s"),
+                     os.path.join(scratch, "ck"))
+    seen = [m for m in (json.loads(p.json)["observedMetrics"].get(log_job.METRICS)
+                        for p in q.recentProgress) if m and m["messages"]]
+    assert seen == [{"messages": 2, "dirty": 1, "dropped_elements": 3}]
+
+
+def test_channel_reader_takes_replayed_rows_once(spark, scratch):
+    """A batch written twice, under two numbers: every row arrives once, and the ids are
+    forgotten behind the watermark."""
+    src, out = os.path.join(scratch, "in"), os.path.join(scratch, "read")
+    topic = CHANNEL_TOPICS["display"]
+    rows = spark.range(100).selectExpr("id % 50 as seq", "cast(id / 50 as int) as n",
+                                       "'v' as value")
+
+    def write(batch_id, df, at):
+        path = f"{src}/batch_id={batch_id}/topic={topic}"
+        df.coalesce(1).write.json(path)
+        for f in os.listdir(path):
+            os.utime(os.path.join(path, f), (at, at))
+
+    def run():
+        q = run_stream(topics.read_channel(spark, topic, path=src, within="10 minutes",
+                                           max_per_trigger=1), None,
+                       lambda df: df.writeStream.format("parquet").option("path", out),
+                       name="channel_reader", checkpoint=os.path.join(scratch, "ck"),
+                       available_now=True)
+        q.awaitTermination(300)
+        assert q.exception() is None
+        return [json.loads(p.json) for p in q.recentProgress]
+
+    t = 1_700_000_000
+    write(0, rows, t)
+    write(1, rows, t + 60)  # the retry
+    run()
+    assert spark.read.parquet(out).count() == 100
+    write(2, rows.selectExpr("seq + 1000 as seq", "n", "value"), t + 7200)
+    write(3, rows.selectExpr("seq + 2000 as seq", "n", "value"), t + 7300)
+    progress = run()
+    got = spark.read.parquet(out)
+    assert got.count() == got.select("seq", "n").distinct().count() == 300
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    assert held[-1] <= 200  # the first hundred are forgotten
 
 
 def test_dim_batch_retry_is_idempotent(spark, scratch):
@@ -242,13 +371,14 @@ def test_job_programs(spark, scratch):
     raw = Q.log_topic(spark, SF)
     src, out = os.path.join(scratch, "logs"), os.path.join(scratch, "channels")
     _write_in_batches(raw, src, [0, 10**9])
-    dirty = os.path.join(scratch, "dirty")
     q = jobs.main(["log", "--source", src, "--sink", out, "--available-now", "--zone", "UTC",
-                   "--checkpoint", os.path.join(scratch, "ck"), "--dirty-sink", dirty], spark)
+                   "--checkpoint", os.path.join(scratch, "ck"), "--state-path",
+                   os.path.join(scratch, "devices")], spark)
     q.awaitTermination(300)
     assert q.exception() is None
-    assert spark.read.json(out).count() == logs.log_channels(raw, "UTC").count()
-    assert spark.read.parquet(dirty).count() == logs.dirty_logs(raw).count() > 0
+    got = spark.read.json(out)
+    assert got.where("topic <> 'dirty'").count() == logs.log_channels(raw, "UTC").count()
+    assert got.where("topic = 'dirty'").count() == logs.dirty_logs(raw).count() > 0
 
     orders = fx.read_table(spark, SF, "orders")
     cfg_src, chg_src = os.path.join(scratch, "cfg"), os.path.join(scratch, "db")
