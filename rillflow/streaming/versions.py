@@ -31,7 +31,8 @@ def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame | No
 
 
 class VersionedTable:
-    def __init__(self, path: str, schema: str):
+    def __init__(self, path: str, schema: str | None = None):
+        """``schema``: of the rows; None for that of the files."""
         self.path, self.schema = path.rstrip("/"), schema
 
     def write(self, rows: DataFrame, version: int) -> None:
@@ -53,7 +54,8 @@ class VersionedTable:
         """A version's rows; no rows for None (nothing was committed yet)."""
         if version is None:
             return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(f"{self.path}/data/version={version}")
+        reader = spark.read if self.schema is None else spark.read.schema(self.schema)
+        return reader.parquet(f"{self.path}/data/version={version}")
 
     def retain(self, spark: SparkSession, keep: int, pinned: Iterable[int] = ()) -> list[int]:
         """Remove all versions but the newest ``keep`` and the ``pinned`` ones; the commit goes

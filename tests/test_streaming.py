@@ -333,6 +333,35 @@ def test_dictionary_refresh_interval(spark, scratch):
     assert len(loads) == 2
 
 
+def test_dictionary_versions_outlive_rewrites_and_go(spark, scratch):
+    dic, out = os.path.join(scratch, "dic"), os.path.join(scratch, "out")
+
+    def put(name):
+        spark.createDataFrame([("1201", (name,))], "rowkey string, info struct<dic_name:string>") \
+            .write.mode("overwrite").parquet(dic)
+
+    def names():
+        return {(r["batch_id"], r["appraise_name"]) for r in spark.read.parquet(out).collect()}
+
+    comment = {"database": "shop", "table": "comment_info", "type": "insert", "ts": T0,
+               "data": {"id": "9", "appraise": "1201", "comment_txt": "hm"}}
+    batch = spark.createDataFrame([(1, json.dumps(comment))], "seq long, value string")
+    writer = CommentBatchWriter(lambda s: s.read.parquet(dic), out, "shop", keep=2)
+    put("first")
+    writer(batch, 0)
+    put("second")
+    writer(batch, 0)  # a retry keeps to the dictionary of the first attempt
+    assert names() == {(0, "first")}
+    for b in range(1, 4):
+        put(f"of {b}")
+        writer(batch, b)
+    assert names() == {(0, "first"), (1, "of 1"), (2, "of 2"), (3, "of 3")}
+    assert writer.versions.versions(spark) == [2, 3]
+    # another process goes on from the versions that are there
+    CommentBatchWriter(lambda s: s.read.parquet(dic), out, "shop", keep=2)(batch, 4)
+    assert writer.versions.versions(spark) == [3, 4]
+
+
 def test_dim_batch_as_of_applies_config_per_record(spark, scratch):
     from rillflow.operators import changes as chg
 
