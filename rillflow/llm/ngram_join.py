@@ -4,12 +4,15 @@ Every text becomes the set of its word n-grams (64-bit hashes); equal sets are o
 class (``members``), so copies cost one. Linked classes, those with
 ``100 * |x & y| >= percent * |x | y|``, are found without listing pairs of a group:
 
-1. ``shared_tokens``: a token that one class alone holds cannot count towards any
-   overlap. Tokens are shuffled once, packed, into buckets of about
-   ``BUCKET_TOKENS``; each map task sends a token that several of its classes hold only
-   once, so a token that a third of all rows hold stays small. What comes back are
-   each class's shared tokens; a class of which less than PERCENT are shared has no link and
-   goes (exactly, not by guess).
+1. ``packed``: the texts are hashed and written once as packs of about ``PACK_TOKENS``
+   tokens: the rows' ids, their classes, and the classes' words, compressed. Whatever follows
+   works on packs, so a task holds one pack and knows its classes by their places.
+   ``shared_tokens``: a token that one class alone holds cannot count towards any
+   overlap. Each pack sends its distinct tokens, and nothing else, to buckets of about
+   ``BUCKET_TOKENS``; a class in several packs speaks in its first one only, and a token that several
+   classes of a pack hold is sent as known to be shared, so one that a third of all rows
+   hold stays small. What comes back is one bit per token and pack. A class of which less than
+   PERCENT of the tokens are shared has no link and goes (exactly, not by guess).
 2. ``survivors``: the same with the exact frequencies among the remaining classes;
    each keeps its prefix: its ``n - ceil(PERCENT n) + 1`` rarest tokens, of which linked
    classes share one.
@@ -36,24 +39,27 @@ count as equal.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from rillflow.llm.common import batch_rows, fresh
 from rillflow.llm.components import components, unite
+from rillflow.operators.joins import sized_broadcast
 from rillflow.session import materialize
 
 NGRAM = 4
 PERCENT = 85
-#: tokens that a bucket of the first pass aims at, and those of a packed row
-BUCKET_TOKENS, PACK_TOKENS = 1_000_000, 500_000
+#: tokens that a bucket aims at; tokens, and rows, of a pack
+BUCKET_TOKENS, PACK_TOKENS = 2_000_000, 500_000
 #: classes on a side of a search task
 GROUP = 2_000
 #: texts in an Arrow batch
@@ -61,14 +67,12 @@ BATCH = 256
 
 _U = np.uint64
 _MUL = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
-#: owner of the packed tokens that a map task knows to be shared
-_MARK = b"\0" * 16
 
 
-def tokens(text: str | None, n: int = NGRAM) -> np.ndarray:
-    """The sorted n-gram hashes of a text: A-Z lower-cased, words between ASCII white
-    space."""
-    words = (text or "").encode().lower().split()
+def tokens(text: str | bytes | None, n: int = NGRAM) -> np.ndarray:
+    """The sorted n-gram hashes of a text (or its bytes): A-Z lower-cased, words between
+    ASCII white space."""
+    words = (text if isinstance(text, bytes) else (text or "").encode()).lower().split()
     h = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=_U, count=len(words))
     k = min(n, len(words))
     if not k:
@@ -88,172 +92,191 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-_MEMBER = T.StructType([T.StructField("n", T.LongType()), T.StructField("cls", T.BinaryType())])
+# ------------------------------------------------------------------------ packs
+def _words(text: str | None) -> bytes:
+    """A text's words as its n-grams see them, one space between."""
+    return b" ".join((text or "").encode().lower().split())
 
 
-def _member(ngram: int):
-    @F.pandas_udf(_MEMBER)
-    def of(texts: pd.Series) -> pd.DataFrame:
-        sets = [tokens(t, ngram) for t in texts]
-        return pd.DataFrame({"n": [len(t) for t in sets], "cls": [class_of(t) for t in sets]})
+def _packs(ngram: int, schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made = TaskContext.get().partitionId(), 0
+
+        def start():
+            return {"ids": [], "keys": [], "of": [], "cls": [], "n": [], "length": []}, {}, [], 0
+
+        def row():
+            return pa.RecordBatch.from_pylist([{
+                "pack": task << 32 | made, **now, "words": zlib.compress(b"".join(words), 1)}],
+                schema=schema)
 
-    return of
+        now, place, words, held = start()
+        for batch in batches:
+            for doc, text, key in zip(*(c.to_pylist() for c in batch.columns)):
+                t = tokens(text, ngram)
+                c = class_of(t)
+                if c is not None and c not in place:
+                    place[c] = len(place)
+                    words.append(_words(text))
+                    for name, value in (("cls", c), ("n", len(t)), ("length", len(words[-1]))):
+                        now[name].append(value)
+                    held += len(t)
+                for name, value in (("ids", doc), ("keys", key), ("of", place.get(c, -1))):
+                    now[name].append(value)
+                if held >= PACK_TOKENS or len(now["ids"]) >= PACK_TOKENS:
+                    yield row()
+                    made += 1
+                    now, place, words, held = start()
+        if now["ids"]:
+            yield row()
+    return run
 
 
-def with_class(docs: DataFrame, out: str, text_col: str = "text",
-               ngram: int = NGRAM) -> DataFrame:
-    """``docs`` plus ``out``: struct(n, cls), the size of a text's set and its class
-    (null if empty)."""
+def packed(docs: DataFrame, id_col: str, text_col: str, ngram: int = NGRAM) -> DataFrame:
+    """The rows of ``docs`` in packs: ``ids``, ``keys`` (a hash of the whole text) and ``of`` (the
+    place of a row's class in the pack, -1 without words) of the rows; ``cls``, ``n``, and the
+    ``length`` of the compressed ``words`` of the classes."""
     batch_rows(docs.sparkSession, BATCH)
-    return docs.withColumn(out, _member(ngram)(F.col(text_col)))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("key"))
+    ids = T.ArrayType(rows.schema["id"].dataType)
+    schema = T.StructType([T.StructField("pack", T.LongType()), T.StructField("ids", ids)] + [
+        T.StructField(c, T.ArrayType(k)) for c, k in (
+            ("keys", T.LongType()), ("of", T.IntegerType()), ("cls", T.BinaryType()),
+            ("n", T.IntegerType()), ("length", T.IntegerType()))]
+        + [T.StructField("words", T.BinaryType())])
+    return materialize(rows.mapInArrow(_packs(ngram, to_arrow_schema(schema)), schema),
+                       "ngram-packs")
+
+
+def members(packs: DataFrame) -> DataFrame:
+    """(id, key, n, cls) of every row; n is 0 and cls null without words."""
+    of = F.transform(F.arrays_zip("ids", "keys", "of"), lambda m: F.struct(
+        m["ids"].alias("id"), m["keys"].alias("key"),
+        F.coalesce(F.get("n", m["of"]), F.lit(0)).cast("bigint").alias("n"),
+        F.get("cls", m["of"]).alias("cls")))
+    return packs.select(F.inline(of))
+
+
+def repeated(packs: DataFrame) -> DataFrame:
+    """(pack, again): the places of the classes that an earlier pack holds, too."""
+    each = packs.select("pack", F.posexplode("cls").alias("at", "cls"))
+    first = each.groupBy("cls").agg(F.min("pack").alias("first"), F.count(F.lit(1)).alias("k")) \
+        .where("k > 1").select("cls", "first")
+    return each.join(first, "cls").where("pack > first").groupBy("pack").agg(
+        F.collect_list("at").alias("again"))
 
 
 # ---------------------------------------------------------------- shared tokens
-_PACKED = "bucket bigint, cls binary, n binary, count binary, token binary"
-_PACKED_ARROW = pa.schema([("bucket", pa.int64())] + [(c, pa.binary()) for c in
-                                                      ("cls", "n", "count", "token")])
-
-def _pack(key: int, cls: np.ndarray, n: np.ndarray, owner: np.ndarray, token: np.ndarray) -> dict:
-    """One row: the tokens by owner (ascending), each owner's class, size and count."""
-    first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-    who = owner[first]
-    return {"bucket": key, "cls": cls[who].tobytes(), "n": n[who].astype("<i4").tobytes(),
-            "count": np.diff(np.append(first, len(owner))).astype("<i4").tobytes(),
-            "token": token.tobytes()}
-
-
-def _packed_rows(cls: list[bytes], sets: list[np.ndarray], buckets: int) -> Iterator[dict]:
-    names = np.array(cls + [_MARK], dtype="V16")
-    sizes = np.array([len(s) for s in sets] + [0])
-    token = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), sizes[:-1])
-    order = np.argsort(token, kind="stable")
-    ordered = token[order]
-    new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
-    runs = np.diff(np.append(np.flatnonzero(new), len(ordered)))
-    many = np.repeat(runs > 1, runs)  # several classes of this pack hold it
-    shared = np.zeros(len(token), dtype=bool)
-    shared[order[many]] = True
-    if shared.any():
-        # known here: they pass through under a key of their own
-        key = -1 - (int.from_bytes(cls[0][:7], "little"))
-        yield _pack(key, names, sizes, owner[shared], token[shared])
-    marks = ordered[new & many]
-    token = np.concatenate((token[~shared], marks))
-    owner = np.concatenate((owner[~shared], np.full(len(marks), len(sets))))
+_PLACED = "bucket bigint, pack bigint, alone int, token binary"
+_PLACED_ARROW = pa.schema([("bucket", pa.int64()), ("pack", pa.int64()), ("alone", pa.int32()),
+                           ("token", pa.binary())])
+_BITS = "pack bigint, bucket bigint, bits binary"
+
+
+def _sets(row: dict, ngram: int) -> tuple[list[int], list[np.ndarray]]:
+    """The places of a pack's classes, without those that are repeated, and their tokens."""
+    again, begin, places, sets = set(row["again"] or ()), 0, [], []
+    words = zlib.decompress(row["words"])
+    for at, length in enumerate(row["length"]):
+        if at not in again:
+            places.append(at)
+            sets.append(tokens(words[begin:begin + length], ngram))
+        begin += length
+    return places, sets
+
+
+def _dealt(sets: list[np.ndarray], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct tokens by bucket, those of one class first; whether several classes hold
+    each; and where the buckets begin."""
+    token, runs = np.unique(np.concatenate(sets), return_counts=True)
     bucket = token % _U(buckets)
-    order = np.argsort(bucket, kind="stable")  # owners stay in order
-    token, owner, bucket = token[order], owner[order], bucket[order]
-    edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=_U))
-    for b in range(buckets):
-        part = slice(edges[b], edges[b + 1])
-        if part.start < part.stop:
-            yield _pack(b, names, sizes, owner[part], token[part])
+    order = np.lexsort((runs > 1, bucket))
+    return token[order], runs[order] > 1, np.searchsorted(
+        bucket[order], np.arange(buckets + 1, dtype=_U))
 
 
-def _pack_texts(buckets: int, ngram: int):
+def _place_tokens(buckets: int, ngram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, cls, sets, held = set(), [], [], 0
-
-        def flush():
-            for row in _packed_rows(cls, sets, buckets):
-                yield pa.RecordBatch.from_pylist([row], schema=_PACKED_ARROW)
-
         for batch in batches:
-            for text in batch.column(0):
-                t = tokens(text.as_py(), ngram)
-                c = class_of(t)
-                if c is None or c in seen:
+            for row in batch.to_pylist():
+                _, sets = _sets(row, ngram)
+                if not sets:
                     continue
-                seen.add(c)
-                cls.append(c)
-                sets.append(t)
-                held += len(t)
-                if held >= PACK_TOKENS:
-                    yield from flush()
-                    cls, sets, held = [], [], 0
-        if sets:
-            yield from flush()
+                token, several, edges = _dealt(sets, buckets)
+                alone = np.concatenate(([0], np.cumsum(~several)))
+                full = np.flatnonzero(np.diff(edges))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(full, pa.int64()), pa.array(np.full(len(full), row["pack"])),
+                    pa.array((alone[edges[full + 1]] - alone[edges[full]]).astype(np.int32)),
+                    pa.array([token[edges[b]:edges[b + 1]].tobytes() for b in full],
+                             pa.binary())], schema=_PLACED_ARROW)
     return run
 
 
-def _packed_by_class(names: np.ndarray, size: np.ndarray, owner: np.ndarray, token: np.ndarray,
-                     parts: int) -> list[dict]:
-    """Tokens dealt to ``parts`` by their owner's class, packed."""
-    part = (names.view("<u8").reshape(-1, 2)[:, 0] % _U(parts)).astype(np.int64)[owner]
-    order = np.lexsort((owner, part))
-    token, owner, part = token[order], owner[order], part[order]
-    edges = np.searchsorted(part, np.arange(parts + 1))
-    return [_pack(k, names, size, owner[a:b], token[a:b])
-            for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
-
-
-def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The classes of packed rows, their sizes, and each token's owner and itself."""
-    def column(name, kind):
-        return np.concatenate([np.frombuffer(x.as_buffer(), dtype=kind)
-                               for x in table.column(name)])
-
-    names, who = np.unique(column("cls", "V16"), return_inverse=True)
-    size = np.zeros(len(names), dtype=np.int64)
-    size[who] = column("n", "<i4")
-    return names, size, np.repeat(who, column("count", "<i4")), column("token", "<u8")
+def _find_shared(table: pa.Table) -> pa.Table:
+    """Of each pack's tokens that one of its classes holds: whether another pack has them."""
+    parts = [np.frombuffer(x.as_buffer(), dtype=_U) for x in table.column("token")]
+    alone = table.column("alone").to_numpy()
+    token = np.concatenate(parts)
+    size = np.array([len(x) for x in parts])
+    begin = np.concatenate(([0], np.cumsum(size)))
+    known = np.arange(len(token)) - np.repeat(begin[:-1], size) >= np.repeat(alone, size)
+    _, which, runs = np.unique(token, return_inverse=True, return_counts=True)
+    shared = runs > 1  # a pack names a token once
+    shared[which[known]] = True
+    bits = [np.packbits(shared[which[b:b + n]]).tobytes() for b, n in zip(begin, alone)]
+    return pa.table([table.column("pack"), table.column("bucket"), pa.array(bits, pa.binary())],
+                    names=["pack", "bucket", "bits"])
 
 
-def _distinct(owner: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (token, owner) in that order, and where a new token begins."""
-    order = np.lexsort((owner, token))
-    token, owner = token[order], owner[order]
-    new = np.concatenate(([True], token[1:] != token[:-1]))
-    again = np.concatenate(([False], owner[1:] == owner[:-1])) & ~new
-    return owner[~again], token[~again], new[~again]
+_ENOUGH = pa.schema([("cls", pa.binary()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
 
 
-def _find_shared(parts: int):
-    """A bucket's tokens that several classes hold, dealt by class (those of a
-    pass-through row as they are)."""
-    def run(table: pa.Table) -> pa.Table:
-        names, size, owner, token = _unpack(table)
-        if table.column("bucket")[0].as_py() >= 0:
-            owner, token, new = _distinct(owner, token)
-            at = np.cumsum(new) - 1
-            several = np.bincount(at) > 1  # a mark beside another entry counts as well
-            keep = several[at] & (names[owner] != np.void(_MARK))
-            owner, token = owner[keep], token[keep]
-        return pa.Table.from_pylist(_packed_by_class(names, size, owner, token, parts),
-                                    schema=_PACKED_ARROW)
-    return run
-
-
-def _enough_shared(percent: int):
+def _enough_shared(buckets: int, percent: int, ngram: int):
     """Classes with at least ``percent`` of their tokens shared, with those, sorted."""
-    schema = pa.schema([("cls", pa.binary()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
-
-    def run(table: pa.Table) -> pa.Table:
-        names, size, owner, token = _unpack(table)
-        owner, token, _ = _distinct(owner, token)
-        order = np.argsort(owner, kind="stable")
-        token, count = token[order], np.bincount(owner, minlength=len(names))
-        end = np.cumsum(count)
-        rows = np.flatnonzero(count * 100 >= percent * size)
-        return pa.table([
-            pa.array([names[i].tobytes() for i in rows], pa.binary()),
-            pa.array(size[rows], pa.int32()),
-            pa.array([token[end[i] - count[i]:end[i]].view(np.int64) for i in rows],
-                     pa.list_(pa.int64()))], schema=schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                places, sets = _sets(row, ngram)
+                if not sets:
+                    continue
+                token, shared, edges = _dealt(sets, buckets)
+                for answer in row["answers"]:
+                    b = slice(edges[answer["bucket"]], edges[answer["bucket"] + 1])
+                    alone = np.flatnonzero(~shared[b]) + b.start
+                    shared[alone] = np.unpackbits(np.frombuffer(answer["bits"], np.uint8),
+                                                  count=len(alone)).astype(bool)
+                known = np.sort(token[shared])
+                found = []
+                for at, t in zip(places, sets):
+                    place = np.minimum(np.searchsorted(known, t), max(0, len(known) - 1))
+                    mine = t[known[place] == t] if len(known) else t[:0]
+                    if len(mine) * 100 >= percent * len(t):
+                        found.append((row["cls"][at], len(t), mine.view(np.int64)))
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, f.type) for c, f in zip(zip(*found), _ENOUGH)],
+                        schema=_ENOUGH)
     return run
 
 
-def shared_tokens(docs: DataFrame, text_col: str, total: int, percent: int = PERCENT,
+def shared_tokens(packs: DataFrame, total: int, percent: int = PERCENT,
                   ngram: int = NGRAM) -> DataFrame:
     """(cls, n, tokens): the classes of which at least ``percent`` of the tokens are
     shared, with those tokens. ``total`` is the number of tokens to place."""
-    batch_rows(docs.sparkSession, BATCH)
+    spark = packs.sparkSession
+    batch_rows(spark, 1)  # a pack at a time
     buckets = max(1, -(-total // BUCKET_TOKENS))
-    packed = docs.select(text_col).mapInArrow(_pack_texts(buckets, ngram), _PACKED)
-    shared = packed.groupBy("bucket").applyInArrow(_find_shared(buckets), _PACKED)
-    enough = shared.groupBy("bucket").applyInArrow(_enough_shared(percent),
-                                                   "cls binary, n int, tokens array<bigint>")
+    again = materialize(repeated(packs), "ngram-repeated")
+    texts = packs.join(sized_broadcast(again), "pack", "left") \
+        .select("pack", "cls", "length", "words", "again")
+    bits = texts.mapInArrow(_place_tokens(buckets, ngram), _PLACED) \
+        .groupBy("bucket").applyInArrow(_find_shared, _BITS)
+    answers = materialize(bits, "ngram-bits").groupBy("pack").agg(
+        F.collect_list(F.struct("bucket", "bits")).alias("answers"))
+    enough = texts.join(answers, "pack").mapInArrow(
+        _enough_shared(buckets, percent, ngram), "cls binary, n int, tokens array<bigint>")
     return materialize(enough, "ngram-shared")
 
 
@@ -383,22 +406,16 @@ def _search_task(percent: int, every: bool):
     return run
 
 
-def class_links(docs: DataFrame, text_col: str, total: int, percent: int = PERCENT,
-                ngram: int = NGRAM, copies: DataFrame | None = None) -> DataFrame:
+def class_links(packs: DataFrame, total: int, percent: int = PERCENT, ngram: int = NGRAM,
+                copies: DataFrame | None = None) -> DataFrame:
     """(a, b, links): forest edges between linked classes, and a's links found beside each.
     ``copies`` (cls, copies): the rows of each class; without it links are not counted in
     full."""
-    found = survivors(shared_tokens(docs, text_col, total, percent, ngram), percent)
+    found = survivors(shared_tokens(packs, total, percent, ngram), percent)
     return search_groups(found, copies).select("task", "cls", "n", "tokens", "copies", "chunk", "own") \
         .groupBy("task").applyInArrow(_search_task(percent, copies is not None), _LINKS)
 
 
-def class_components(docs: DataFrame, text_col: str, total: int, percent: int = PERCENT,
-                     ngram: int = NGRAM) -> DataFrame:
-    """(node, root) of every linked class of ``docs``."""
-    return components(class_links(docs, text_col, total, percent, ngram))
-
-
 def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     percent: int = PERCENT, ngram: int = NGRAM) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reachable by links)."""
@@ -409,25 +426,25 @@ def with_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                percent: int = PERCENT, ngram: int = NGRAM) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reachable by links) and n_links (the
     other rows that it is linked with, copies among them)."""
-    members = materialize(with_class(docs.select(id_col, text_col), "m", text_col, ngram)
-                          .select(F.col(id_col).alias("id"), "m.n", "m.cls"), "ngram-members")
-    total = members.agg(F.sum("n")).first()[0] or 0
-    copies = members.where("cls is not null").groupBy("cls").agg(
+    packs = packed(docs, id_col, text_col, ngram)
+    rows = members(packs).drop("key")
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    copies = rows.where("cls is not null").groupBy("cls").agg(
         F.count(F.lit(1)).alias("copies"))
-    found = materialize(class_links(docs, text_col, total, percent, ngram, copies), "ngram-links")
+    found = materialize(class_links(packs, total, percent, ngram, copies), "ngram-links")
     links = found.groupBy("a").agg(F.sum("links").alias("links"))
     roots = copies.join(components(found), F.col("cls") == F.col("node"), "left") \
         .join(links, F.col("cls") == F.col("a"), "left").select(
             "cls", F.coalesce("root", "cls").alias("root"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
-    placed = members.where("cls is not null").join(
+    placed = rows.where("cls is not null").join(
         roots.where("links > 0"), "cls", "left").select(
             "id", "n", F.coalesce("root", "cls").alias("root"),
             F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
     low = placed.groupBy("root").agg(F.min("id").alias("low"))
     return placed.join(low, "root").select("id", "n", "low", "links").unionByName(
-        members.where("cls is null").select("id", "n", F.col("id").alias("low"),
-                                            F.lit(0).cast("bigint").alias("links"))) \
+        rows.where("cls is null").select("id", "n", F.col("id").alias("low"),
+                                         F.lit(0).cast("bigint").alias("links"))) \
         .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                 F.col("low").alias("component_id"), F.col("links").alias("n_links"))
 
@@ -435,34 +452,32 @@ def with_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 percent: int = PERCENT, ngram: int = NGRAM) -> DataFrame:
     """``docs`` with one row of each component: the smallest id's (a null id after all
-    others; of equal ids the smallest class, of equal rows any). Rows with an empty
-    set all stay. What is shuffled besides the search are ids and classes; the rows
-    themselves meet the list of those to drop, a table whose size picks the join."""
-    m, drop_id, drop_cls = fresh(docs, "_m", "_drop_id", "_drop_cls")
-    members = materialize(with_class(docs.select(F.col(id_col).alias("id"),
-                                                 F.col(text_col).alias("text")), "m", "text", ngram)
-                          .select("id", "m.n", "m.cls").where("cls is not null")
-                          .groupBy("id", "n", "cls").agg(F.count(F.lit(1)).alias("k")),
-                          "ngram-members")
-    total = members.agg(F.sum("n")).first()[0] or 0
-    roots = class_components(docs, text_col, total, percent, ngram)
-    placed = members.join(roots, F.col("cls") == F.col("node"), "left").select(
-        "id", "cls", F.coalesce("root", "cls").alias("root"))
-    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "cls")
+    others; of equal ids the smallest class, then the smallest hash of the text; of equal rows
+    any). Rows with an empty set all stay. What is shuffled besides the search are ids, classes
+    and hashes; the rows themselves meet the list of those to drop, a table whose size picks
+    the join."""
+    k, drop_id, drop_key = fresh(docs, "_k", "_drop_id", "_drop_key")
+    packs = packed(docs, id_col, text_col, ngram)
+    rows = members(packs).where("cls is not null").groupBy("id", "key", "n", "cls").agg(
+        F.count(F.lit(1)).alias("k"))
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    roots = components(class_links(packs, total, percent, ngram))
+    placed = rows.join(roots, F.col("cls") == F.col("node"), "left").select(
+        "id", "key", "cls", F.coalesce("root", "cls").alias("root"))
+    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "cls", "key")
     first = placed.groupBy("root").agg(F.min(rank).alias("first"))
     dropped = materialize(placed.join(first, "root").where(~rank.eqNullSafe(F.col("first")))
-                          .select(F.col("id").alias(drop_id), F.col("cls").alias(drop_cls)),
+                          .select(F.col("id").alias(drop_id), F.col("key").alias(drop_key)),
                           "ngram-dropped")
-    cls = F.col(m)["cls"]
-    rows = with_class(docs, m, text_col, ngram)
-
-    def without(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
-        return rows.join(some, F.col(id_col).eqNullSafe(F.col(drop_id))
-                         & (cls == F.col(drop_cls)), how)
-
-    kept = without(rows, dropped, "left_anti")
-    again = members.where("k > 1").select(F.col("id").alias(drop_id), F.col("cls").alias(drop_cls))
-    if not again.isEmpty():  # equal ids in one class: one row of them
-        once = without(kept, again, "left_semi").withColumn(m, cls).dropDuplicates([id_col, m])
-        kept = without(kept, again, "left_anti").drop(m).unionByName(once.drop(m))
-    return kept.drop(m)
+    keyed = docs.withColumn(k, F.xxhash64(text_col))
+
+    def without(some: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
+        return some.join(chosen, F.col(id_col).eqNullSafe(F.col(drop_id))
+                         & (F.col(k) == F.col(drop_key)), how)
+
+    kept = without(keyed, dropped, "left_anti")
+    again = rows.where("k > 1").select(F.col("id").alias(drop_id), F.col("key").alias(drop_key))
+    if not again.isEmpty():  # equal ids of equal texts: one row of them
+        once = without(kept, again, "left_semi").dropDuplicates([id_col, k])
+        kept = without(kept, again, "left_anti").unionByName(once)
+    return kept.drop(k)

@@ -209,7 +209,7 @@ def op7_embedding_dedup(spark, sf_dir):
 
 @register
 def op9_ngram_join(spark, sf_dir):
-    return ngram_join.with_components(read_table(spark, sf_dir, "documents"))
+    return ngram_join.with_links(read_table(spark, sf_dir, "documents"))
 
 
 @register
