@@ -15,6 +15,59 @@ bits(i, k, c) AS (
 remainders AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8)
 """
 
+# the smallest id that links (a, b), both ways, lead to
+_REACH = """
+reach(id, now_at) AS (
+  SELECT id, id FROM nodes
+  UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.now_at = l.a
+),
+low AS (SELECT id, min(now_at) AS component_id FROM reach GROUP BY id)
+"""
+
+# vectors without null or non-finite components
+_FINE = """embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"""
+
+ORACLES["op7_embedding_dedup"] = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE {_FINE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON a.id <> b.id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+),
+nodes AS (SELECT vec_id AS id FROM embeddings), {_REACH},
+degree AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT low.id AS vec_id, coalesce(n, 0) AS n_links, component_id, low.id = component_id AS kept
+FROM low LEFT JOIN degree ON low.id = degree.id
+"""
+
+ORACLES["op9_ngram_join"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2),
+                                      lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM w
+),
+shingles AS (SELECT id, len(s) AS n, unnest(s) AS s FROM sets),
+links AS (
+  SELECT a.id AS a, b.id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.id <> b.id
+  GROUP BY a.id, b.id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+nodes AS (SELECT id FROM sets), {_REACH},
+degree AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT sets.id AS doc_id, len(s) AS n_shingles, component_id, coalesce(degree.n, 0) AS n_links
+FROM sets JOIN low ON sets.id = low.id LEFT JOIN degree ON sets.id = degree.id
+"""
+
 ORACLES["op11_spelling_variants"] = f"""
 WITH RECURSIVE {_CRC},
 runs AS (
@@ -68,10 +121,6 @@ FROM near JOIN (SELECT c.word, c.now_at FROM chain c JOIN near f ON c.now_at = f
                 WHERE f.form IS NULL) ends ON near.word = ends.word
 """
 
-# vectors without null or non-finite components
-_FINE = """embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"""
-
 ORACLES["op12_hard_negatives"] = f"""
 WITH v AS (
   SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
