@@ -4,12 +4,16 @@ A conversation becomes one or more windows of turns::
 
     ### role: text</turn>\n
 
-* Prefix sums of turn tokens choose turn-aligned spans: a turn belongs to span
-  ``floor(tokens before it / step)``, so a span holds less than ``step`` tokens
-  plus its last turn, and no turn is cut. No fold over the conversation is needed.
+* Prefix sums of turn tokens choose turn-aligned spans, and no turn is cut. Of the budget, the
+  conversation's leading system turn and the history (``HISTORY_TOKENS``, or a quarter of what
+  the system turn leaves, if that is less) are set aside; a span has the ``room`` that is left.
+  A turn belongs to the half of a room that it begins in, and has a window of its own
+  if it ends beyond that half's room; only the last turn of a half can. No fold over the
+  conversation is needed.
 * Each window holds the conversation's leading system turn, then up to
-  ``HISTORY_TURNS`` turns before its span (as far as they hold at most
-  ``HISTORY_TOKENS`` tokens), then the span's turns.
+  ``HISTORY_TURNS`` turns before its span (as far as they fit into the history), then the
+  span's turns. So it holds ``budget`` tokens at most, but for a turn that does not fit beside
+  the system turn: that one has a window without history.
 * The loss mask (``loss``: code-point ranges of the window's text) covers the
   assistant texts of the span. Repeated turns are masked: each assistant
   text is a target once.
@@ -21,7 +25,8 @@ Edge cases: a null text or role counts as empty; a null conversation id is a
 conversation like any other; turns with an equal number are ordered by role, then
 text (a null number comes first), and repeated rows are turns of their own; an empty
 table gives an empty result; other columns of the input are ignored. A turn larger
-than the budget gets a window of its own, whole. Windows are built by sorting, so a
+than the room gets a window of its own, whole; a system turn that leaves no room is kept, and
+each turn has a window with it. Windows are built by sorting, so a
 conversation that holds a third of all turns is spilled, never gathered in one row.
 """
 
@@ -30,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: tokens of a window: two steps of new turns, the history and the system turn
+#: tokens of a window: the system turn, the history and new turns
 BUDGET_TOKENS = 2048
 HISTORY_TURNS, HISTORY_TOKENS = 2, 512
 
@@ -67,29 +72,37 @@ def windows(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
             history_turns: int = HISTORY_TURNS, history_tokens: int = HISTORY_TOKENS) -> DataFrame:
     """(conv_id, window, text, n_repeated, loss): the windows of each conversation,
     by ``window``; ``n_repeated`` turns at the front repeat earlier ones."""
-    step = max(1, (budget - history_tokens) // 2)
     t = turns.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"),
                      F.coalesce(role, F.lit("")).alias("role"),
                      F.coalesce(text, F.lit("")).alias("text"))
     order = Window.partitionBy("conv").orderBy(
         F.col("turn").asc_nulls_first(), "role", "text")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    t = (t.withColumn("nth", F.row_number().over(order))
-         .withColumn("tok", tokens(F.col("text")))
-         .withColumn("at", F.coalesce(F.sum("tok").over(before), F.lit(0)))
-         .withColumn("span", F.floor(F.col("at") / step)))
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    t = t.withColumn("nth", F.row_number().over(order)).withColumn("tok", tokens(F.col("text")))
     lead_system = (F.col("nth") == 1) & (F.lower("role") == "system")
+    t = t.withColumn("lead", F.first(F.when(lead_system, F.col("tok")).otherwise(F.lit(0)))
+                     .over(so_far)).withColumn("sum", F.sum("tok").over(so_far))
+    left = F.greatest(F.lit(budget) - F.col("lead"), F.lit(0))
+    t = t.withColumn("history", F.least(F.lit(history_tokens), F.floor(left / 4))) \
+        .withColumn("room", left - F.col("history")) \
+        .withColumn("half", F.greatest(F.floor(F.col("room") / 2), F.lit(1)))
+    # tokens before the turn, beside the system turn's; that is no part of any room
+    t = t.withColumn("at", F.greatest(F.col("sum") - F.col("tok") - F.col("lead"), F.lit(0)))
+    part = F.floor(F.col("at") / F.col("half"))
+    alone = ~lead_system & (F.col("at") + F.col("tok") > part * F.col("half") + F.col("room"))
+    t = t.withColumn("span", part * 2 + alone.cast("bigint")) \
+        .withColumn("large", F.col("tok") > F.col("room"))
     # the later spans that begin at one of the next turns, near enough in tokens
-    nexts = [F.when((F.lead("span", k).over(order) != F.lead("span", k - 1).over(order) if k > 1
-                     else F.lead("span", 1).over(order) != F.col("span"))
-                    & (F.lead("at", k).over(order) - F.col("at") <= history_tokens),
+    nexts = [F.when((F.lead("span", k).over(order) != (
+                        F.lead("span", k - 1).over(order) if k > 1 else F.col("span")))
+                    & ~(F.lead("large", k).over(order))
+                    & (F.lead("at", k).over(order) - F.col("at") <= F.col("history")),
                     F.lead("span", k).over(order)) for k in range(1, history_turns + 1)]
     later = F.array_compact(F.array(*nexts)) if nexts else F.array().cast("array<bigint>")
     t = t.withColumn("later", F.when(lead_system, F.array().cast("array<bigint>"))
                      .otherwise(later))
     span_starts = (F.col("nth") > 1) & (F.col("span") != F.lag("span", 1).over(order))
-    system = F.first(F.when(lead_system, F.struct("role", "text"))).over(
-        order.rowsBetween(Window.unboundedPreceding, 0))
+    system = F.first(F.when(lead_system, F.struct("role", "text"))).over(so_far)
     t = t.withColumn("system", F.when(span_starts, system))
     # kinds: 0 the system turn again, 1 history, 2 a turn of the span
     pieces = F.concat(

@@ -87,5 +87,43 @@ def test_windows_budget_history_system(spark):
     assert len(seen) == 60
 
 
+def test_budget_holds_with_the_system_turn_and_large_turns(spark):
+    """Tokens of whole windows, the system turn among them; nothing but a turn that does not
+    fit beside it goes beyond the budget, and that has a window without history."""
+    rng, rows = random.Random(8), []
+    for c in range(40):
+        system = rng.choice([None, 3, 400, 1500, 2000, 2048, 9000])
+        if system is not None:
+            rows.append((c, 0, "system", "s" * (4 * system - 16)))
+        rows += [(c, t, ("assistant", "user")[t % 2], "x" * (4 * rng.choice(
+            [5, 20, 100, 400, 700, 1500, 2000, 5000]))) for t in range(1, 30)]
+    rows += [(100, 1, "user", "y" * 400), (100, 2, "assistant", "z" * 20_000),
+             (100, 3, "user", "after")]
+    got = chat.windows(spark.createDataFrame(rows, SCHEMA)).orderBy("conv_id", "window").collect()
+
+    def cost(body):
+        return -(-len(body) // 4) + 4
+
+    lead = {c: cost(x) for c, _, r, x in rows if r == "system"}
+    new, large, full = {}, 0, 0
+    for w in got:
+        c = w["conv_id"]
+        bodies = [p.split(": ", 1)[1] for p in w["text"].split("</turn>\n")[:-1]]
+        total = sum(map(cost, bodies))
+        ours = bodies[w["n_repeated"]:]
+        new.setdefault(c, []).extend(ours)
+        if total > chat.BUDGET_TOKENS:
+            large += 1
+            turns = [b for b in ours if not b.startswith("s")]
+            assert len(turns) <= 1 and len(bodies) - len(turns) <= (c in lead)
+        else:
+            full += total > chat.BUDGET_TOKENS // 2
+    assert large > 100 and full > 100
+    for c in new:
+        assert new[c] == [x for k, _, _, x in rows if k == c]
+    assert [w["text"].count("</turn>") - w["n_repeated"] for w in got if w["conv_id"] == 100] \
+        == [1, 1, 1]
+
+
 def test_empty(spark):
     assert chat.windows(spark.createDataFrame([], SCHEMA)).collect() == []
