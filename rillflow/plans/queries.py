@@ -19,7 +19,7 @@ from rillflow.operators import comments as cmt
 from rillflow.operators import config as cfg
 from rillflow.operators import dims, logs
 from rillflow.operators.joins import fits_broadcast
-from rillflow.session import ensure_json_settings, materialize
+from rillflow.session import ensure_json_settings, materialize, written
 from rillflow.sources import fixtures as fx
 
 # Every date in a query result is rendered in this zone, whatever the session's.
@@ -188,7 +188,9 @@ def decoded_config(spark, sf_dir) -> DataFrame:
 
 
 def preload_config(spark, sf_dir) -> DataFrame:
-    return cfg.camel_columns(fx.config_table(spark, _read(spark, sf_dir, "orders")))
+    """The config table from files, by the reader of the dimension job (SRC-4)."""
+    return cfg.read_config_table(spark, written(
+        fx.config_table(spark, _read(spark, sf_dir, "orders")), "config-table"))
 
 
 def all_config_ops(spark, sf_dir) -> DataFrame:

@@ -62,15 +62,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df, name: str):
-    """Write ``df`` once as a parquet table under the shared checkpoint folder
-    and read it back: later uses (size checks, stats, joins) read the files
-    instead of recomputing the lineage, and the data survives executor loss."""
+#: folders that this process has written with ``written``
+_WRITTEN: list[str] = []
+
+
+def written(df, name: str) -> str:
+    """Write ``df`` as a parquet table of its own under the shared checkpoint folder; the
+    path."""
     import uuid
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    _WRITTEN.append(path)
+    return path
+
+
+def materialize(df, name: str):
+    """``written`` and read back: later uses (size checks, stats, joins) read the files
+    instead of recomputing the lineage, and the data survives executor loss."""
+    return df.sparkSession.read.parquet(written(df, name))
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Remove the tables that this process has written with ``materialize``, once the results
+    that read them are stored; how many went."""
+    n = len(_WRITTEN)
+    while _WRITTEN:
+        remove(spark, _WRITTEN.pop())
+    return n
 
 
 def remove(spark: SparkSession, path: str) -> None:

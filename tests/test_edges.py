@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from rillflow.functions import dates
@@ -183,6 +185,18 @@ def test_resets_switchable_off(spark):
     assert dims.apply_lifecycle(keyed, lc, resets=False).count() == 1
 
 
+def test_tables_are_released(spark):
+    from rillflow import session
+    kept, session._WRITTEN[:] = list(session._WRITTEN), []
+    df = session.materialize(spark.range(3), "some")
+    other = session.written(spark.range(2), "other")
+    assert df.count() == 3 and spark.read.parquet(other).count() == 2
+    assert session.release_tables(spark) == 2 and session.release_tables(spark) == 0
+    with pytest.raises(Exception):
+        spark.read.parquet(other).count()
+    session._WRITTEN[:] = kept
+
+
 def test_size_for_input(spark):
     from rillflow.session import size_for_input
     before = spark.conf.get("spark.sql.shuffle.partitions")
