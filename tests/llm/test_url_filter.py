@@ -6,7 +6,7 @@ import pytest
 
 from rillflow.llm import url_filter
 from rillflow.llm.queries import URL_RULES
-from tests.llm.fixtures import table, with_clashes
+from tests.llm.fixtures import SF, table, with_clashes
 
 ODD = [None, "", "no scheme/here", "http://", "HTTP://Www.EXAMPLE.com/en/x?q#f", "a://b://c/d",
        "https://example.com", "https://example.com/", "https://xexample.com/en/", "x://net/es/1",
@@ -54,6 +54,37 @@ def test_model_judges_new_names(spark, model):
     assert got == ["block"] * 5 + ["allow"] * 5
 
 
+#: hosts of syllables that the labelled table does not have
+UNSEEN = ["zorblax.net", "kumquatopia.org", "glimfrost.com", "wuvaqui.org", "pelmotra.net",
+          "baxterfield.com", "ondrako.org", "xipholis.net", "quenby.com", "fjordlund.org"]
+
+
+def test_unseen_names_are_allowed_by_prior(spark, model):
+    df = spark.createDataFrame([(i, f"https://{p}{h}/{q}") for i, (h, p, q) in enumerate(
+        (h, p, q) for h in UNSEEN for p in ("", "www.") for q in ("en/12", "", "es/7.html"))],
+        "page_id long, url string")
+    got = url_filter.judge(df, [], model).collect()
+    assert {r["verdict"] for r in got} == {"allow"} and len(got) == 60
+
+
+def test_verdicts_do_not_hang_on_a_third_of_the_table(spark, model):
+    """Without any third of the labelled rows, less than 5 percent of the verdicts change."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")
+    extra = spark.createDataFrame([(-1 - i, f"https://{h}/en/1") for i, h in enumerate(UNSEEN)],
+                                  pages.schema)
+    urls = pages.unionByName(extra)
+
+    def verdicts(m):
+        return {r["page_id"]: r["verdict"] for r in url_filter.judge(urls, [], m).collect()}
+
+    whole = verdicts(model)
+    for k in range(3):
+        rest = [row for i, row in enumerate(url_filter.LABELLED) if i * 7919 % 3 != k]
+        part = verdicts(url_filter.fit(
+            spark.createDataFrame(rest, "url string, label int").coalesce(1)))
+        assert sum(whole[i] != part[i] for i in whole) < 0.05 * len(whole)
+
+
 def test_empty_table_and_bound(spark, model):
     none = spark.createDataFrame([], "page_id long, url string")
     assert url_filter.judge(none, URL_RULES, model).collect() == []
