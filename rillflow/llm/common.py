@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +43,15 @@ def batch_rows(spark: SparkSession, rows: int) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def release_memory() -> None:
+    """Gives freed memory back to the system: Spark keeps its Python workers for later stages,
+    and an idle one should hold as little as a new one."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 @F.pandas_udf(T.BinaryType())
 def packed(texts: pd.Series) -> pd.Series:
     """Texts compressed one by one: less to shuffle than a block codec leaves."""

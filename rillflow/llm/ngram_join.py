@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from rillflow.llm.common import batch_rows, fresh
+from rillflow.llm.common import batch_rows, fresh, release_memory
 from rillflow.llm.components import components, unite
 from rillflow.operators.joins import sized_broadcast
 from rillflow.session import materialize
@@ -59,7 +59,7 @@ from rillflow.session import materialize
 NGRAM = 4
 PERCENT = 85
 #: tokens that a bucket aims at; tokens, and rows, of a pack
-BUCKET_TOKENS, PACK_TOKENS = 2_000_000, 500_000
+BUCKET_TOKENS, PACK_TOKENS = 1_000_000, 500_000
 #: classes on a side of a search task
 GROUP = 2_000
 #: texts in an Arrow batch
@@ -129,6 +129,7 @@ def _packs(ngram: int, schema: pa.Schema):
                     now, place, words, held = start()
         if now["ids"]:
             yield row()
+        release_memory()
     return run
 
 
@@ -211,6 +212,7 @@ def _place_tokens(buckets: int, ngram: int):
                     pa.array((alone[edges[full + 1]] - alone[edges[full]]).astype(np.int32)),
                     pa.array([token[edges[b]:edges[b + 1]].tobytes() for b in full],
                              pa.binary())], schema=_PLACED_ARROW)
+        release_memory()
     return run
 
 
@@ -226,6 +228,8 @@ def _find_shared(table: pa.Table) -> pa.Table:
     shared = runs > 1  # a pack names a token once
     shared[which[known]] = True
     bits = [np.packbits(shared[which[b:b + n]]).tobytes() for b, n in zip(begin, alone)]
+    del token, parts, known, which, runs, shared
+    release_memory()
     return pa.table([table.column("pack"), table.column("bucket"), pa.array(bits, pa.binary())],
                     names=["pack", "bucket", "bits"])
 
@@ -258,6 +262,7 @@ def _enough_shared(buckets: int, percent: int, ngram: int):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(zip(*found), _ENOUGH)],
                         schema=_ENOUGH)
+        release_memory()
     return run
 
 
@@ -472,7 +477,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = docs.withColumn(k, F.xxhash64(text_col))
 
     def without(some: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
-        return some.join(chosen, F.col(id_col).eqNullSafe(F.col(drop_id))
+        # the chosen are ids: hashed if they are not broadcast, so that no text is sorted
+        return some.join(sized_broadcast(chosen), F.col(id_col).eqNullSafe(F.col(drop_id))
                          & (F.col(k) == F.col(drop_key)), how)
 
     kept = without(keyed, dropped, "left_anti")
