@@ -90,10 +90,12 @@ def longest_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column,
     return best, verdict
 
 
-def _grams(text: Column, mark: str) -> Column:
-    """Character n-grams of ``^text$``, each with ``mark`` in front."""
-    c = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
+def _chars(text: str) -> Column:
+    return F.split(F.concat(F.lit("^"), F.col(text), F.lit("$")), "")
 
+
+def _grams(c: Column, mark: str) -> Column:
+    """N-grams of an array of characters, each with ``mark`` in front."""
     def of(n: int) -> Column:
         starts = F.when(F.size(c) >= n, F.sequence(F.lit(0), F.size(c) - n)) \
             .otherwise(F.array().cast("array<int>"))
@@ -104,7 +106,11 @@ def _grams(text: Column, mark: str) -> Column:
 
 
 def _with_grams(df: DataFrame) -> DataFrame:
-    return df.withColumn("grams", F.concat(_grams(F.col("host"), "h"), _grams(F.col("path"), "p")))
+    # the characters are columns of their own, so that no n-gram splits the text again
+    parts = df.withColumn("host_chars", _chars("host")).withColumn("path_chars", _chars("path"))
+    return parts.withColumn("grams", F.concat(
+        _grams(F.col("host_chars"), "h"), _grams(F.col("path_chars"), "p"))) \
+        .drop("host_chars", "path_chars")
 
 
 def fit(labelled: DataFrame) -> PipelineModel:
