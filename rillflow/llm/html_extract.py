@@ -2,22 +2,26 @@
 
 1. ``blocks`` parses a page into blocks of text. Scripts, styles, forms and the head
    give none. Each block lies in a zone: ``MAIN`` (inside an article or main
-   element), ``BOILER`` (menus, page headers, footers, sidebars, notices, adverts,
-   comments, by element or by a telling class or id), or ``FREE`` (neither).
-2. The token streams of a host's pages are concatenated, with a separator of its own
-   after each block, and their suffixes sorted to a depth of ``RUN`` tokens (prefix doubling).
-   Neighbours in that order that agree to the depth are a long repeated substring; one that
-   occurs on ``MIN_PAGES`` pages with different streams covers its tokens (``covered``).
-3. Text: the blocks of the main zones, and the free blocks less what is covered if that
-   is more than the main ones hold (``main_text``). Of a free block at least half covered
-   every uncovered run stays. An article is never cut: what it shares with other pages stays.
+   element), ``BOILER`` (inside a fixed element: menu, page header, footer, sidebar, dialog),
+   ``TOLD`` (a class, id or role that tells of notices, adverts, comments and so on), or
+   ``FREE`` (none of these).
+2. The token streams of a host's pages are concatenated, with the same mark after every block
+   and an end of its own after each page, and their suffixes sorted to a depth of ``RUN`` symbols
+   (prefix doubling). Neighbours in that order that agree to the depth are a long repeated
+   substring, also across blocks (a menu is a list of short ones); one that occurs on
+   ``MIN_PAGES`` pages with different streams covers its tokens (``covered``).
+3. Text (``main_text``): fixed elements go. What is covered goes from all other blocks, and their
+   unique runs stay, of any length, with the zone as further evidence: what an article shares
+   with other pages is part of it, and what is unique in a block that its name tells of is still
+   an advert or a comment. So in a page without such elements and names the covering alone
+   decides, and text beside an article stays if it is unique.
 
 A host's pages are dealt to tasks of about ``TASK_BYTES`` of html: small hosts share one, a
 large host (by the summed length of its pages) is cut by hash into several suffix arrays.
 The parts of a large host that has free blocks are joined (``_shared_windows``): each sends the
-hash of every distinct window of ``RUN`` tokens with up to ``MIN_PAGES`` of the streams that
-hold it, packed; the windows that as many streams of all parts hold come back to the parts
-that have them. So the cut does not change the text.
+hash of every distinct window of ``RUN`` symbols with up to ``MIN_PAGES`` of the streams that
+hold it, packed, to as many buckets as the host has parts; the windows that as many streams of
+all parts hold come back to the parts that have them. So the cut does not change the text.
 
 Edge cases: a null or empty html has the text ""; a null url is the host ""; pages with
 equal streams count as one page, so copies of a page do not erase it; repeated rows each
@@ -41,9 +45,12 @@ from rillflow.llm.common import batch_rows
 from rillflow.llm.url_filter import split_url
 from rillflow.session import materialize
 
-MAIN, FREE, BOILER = 0, 1, 2
-#: tokens that make a repeated substring long (a power of two), and the pages it takes
+MAIN, FREE, BOILER, TOLD = 0, 1, 2, 3
+#: symbols (tokens and block ends) that make a repeated substring long (a power of two), and the
+#: pages it takes
 RUN, MIN_PAGES = 8, 3
+#: symbols that are no token, whose hashes are odd: the end of a page and of a block
+PAGE_END, BLOCK_END = np.uint64(0), np.uint64(2)
 #: html bytes of a task's pages
 TASK_BYTES = 6_000_000
 #: pages in an Arrow batch
@@ -99,15 +106,16 @@ class _Page(HTMLParser):
             a = dict(attrs) if attrs else {}
             if tag in _NO_TEXT:
                 zone = None
-            elif tag in _BOILER or (tag == "header" and zone == FREE) \
-                    or a.get("role") in _TELLING_ROLE or "hidden" in a:
+            elif tag in _BOILER or (tag == "header" and zone == FREE):
                 zone = BOILER
+            elif zone != BOILER and (a.get("role") in _TELLING_ROLE or "hidden" in a):
+                zone = TOLD
             elif zone == FREE and (tag in _MAIN or a.get("role") == "main"
                                    or a.get("itemprop") == "articleBody"):
                 zone = MAIN
             elif zone != BOILER and tag != "body" and any(
                     _TELLING.search(a[k]) for k in ("class", "id") if a.get(k)):
-                zone = BOILER
+                zone = TOLD
         if zone != self.zone or tag not in _INLINE and tag not in ("p", "li"):
             if zone != self.zone:
                 self.cut()
@@ -151,8 +159,8 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
 
 
 def windows(token: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
-    """The starts of the ``RUN`` tokens without a separator among them, and their hashes."""
-    inside = np.concatenate(([0], np.cumsum(token == 0)))
+    """The starts of ``RUN`` symbols of one page, and their hashes."""
+    inside = np.concatenate(([0], np.cumsum(token == PAGE_END)))
     m = max(0, len(token) - RUN + 1)
     at = np.flatnonzero(inside[RUN:RUN + m] == inside[:m])
     h = np.full(len(at), salt, dtype=np.uint64)
@@ -166,15 +174,15 @@ def covered(token: np.ndarray, host: np.ndarray, page: np.ndarray,
             known: np.ndarray | None = None) -> np.ndarray:
     """Which tokens lie in a long substring that several pages of their host share.
 
-    ``token``: hashes in page order; 0 separates blocks; ``host`` and ``page`` of each;
-    ``known``: starts of windows known to be shared, beside those found here."""
+    ``token``: hashes in page order, ``BLOCK_END`` after each block and ``PAGE_END`` after each
+    page; ``host`` and ``page`` of each; ``known``: starts of windows known to be shared, beside those found here."""
     n = len(token)
-    sep = token == 0
-    # ranks of the suffixes to depth 1: separators differ from everything
+    end = token == PAGE_END
+    # ranks of the suffixes to depth 1: the ends of pages differ from everything
     _, rank = np.unique(token ^ (host.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)),
                         return_inverse=True)
     rank = rank.astype(np.int64)
-    rank[sep] = n + np.arange(n)[sep]
+    rank[end] = n + np.arange(n)[end]
     depth = 1
     while depth < RUN:  # twice the depth: a suffix's rank and that of what follows it
         after = np.full(n, 2 * n, dtype=np.int64)
@@ -195,30 +203,24 @@ def covered(token: np.ndarray, host: np.ndarray, page: np.ndarray,
     many[order] = pages[np.cumsum(new_rank) - 1] >= MIN_PAGES
     if known is not None:
         many[known] = True
-    edge = np.zeros(n + RUN, dtype=np.int64)  # each start covers RUN tokens
+    edge = np.zeros(n + RUN, dtype=np.int64)  # each start covers RUN symbols
     at = np.flatnonzero(many)
     np.add.at(edge, at, 1)
     np.add.at(edge, at + RUN, -1)
-    return (np.cumsum(edge)[:n] > 0) & ~sep
+    return (np.cumsum(edge)[:n] > 0) & ~end
 
 
 def main_text(page: list[tuple[int, str]], hidden: list[np.ndarray]) -> str:
     """The text of a page from its blocks and their covered tokens."""
-    out, size = [], [0, 0]  # (zone, text); tokens of the main and of the free ones
+    out = []
     for (zone, text), cover in zip(page, hidden):
-        if zone == BOILER:
-            continue
-        if zone == MAIN or 2 * cover.sum() < len(cover):
-            out.append((zone, text))
-            size[zone] += len(cover)
-            continue
-        words = text.split(" ")
-        edge = np.flatnonzero(np.diff(np.concatenate(([1], cover.astype(np.int8), [1]))))
-        out += [(zone, " ".join(words[a:b])) for a, b in zip(edge[::2], edge[1::2])]
-        size[zone] += int((~cover).sum())
-    # free blocks beside an article count if they are the larger part
-    both = size[MAIN] < size[FREE]
-    return "\n\n".join(text for zone, text in out if zone == MAIN or both)
+        if zone == MAIN or zone == FREE and not cover.any():
+            out.append(text)
+        elif zone == FREE:
+            words = text.split(" ")
+            edge = np.flatnonzero(np.diff(np.concatenate(([1], cover.astype(np.int8), [1]))))
+            out += [" ".join(words[a:b]) for a, b in zip(edge[::2], edge[1::2])]
+    return "\n\n".join(out)
 
 
 _BLOCKS = T.ArrayType(T.StructType([T.StructField("zone", T.IntegerType()),
@@ -234,6 +236,7 @@ def _streams(read: list, host: np.ndarray):
     """(tokens, page of each, host of each, block sizes by page, stream hash by page): the
     page is the first one with its stream."""
     token, sizes, streams, names = [], [], {}, []
+    block_end, page_end = np.array([BLOCK_END]), np.array([PAGE_END])
     which = np.empty(len(read), dtype=np.int64)
     for i, p in enumerate(read):
         words = [t.split(" ") for _, t in p]
@@ -244,8 +247,8 @@ def _streams(read: list, host: np.ndarray):
         which[i] = streams.setdefault(name, i)
         names.append(int.from_bytes(name[:8], "little"))
         sizes.append([len(w) for w in words])
-        token += [x for h in hashes for x in (h, np.zeros(1, dtype=np.uint64))]
-    lengths = np.array([sum(s) + len(s) for s in sizes], dtype=np.int64)
+        token += [x for h in hashes for x in (h, block_end)] + [page_end]
+    lengths = np.array([sum(s) + len(s) + 1 for s in sizes], dtype=np.int64)
     token = np.concatenate(token) if token else np.zeros(0, dtype=np.uint64)
     return (token, np.repeat(which, lengths), np.repeat(host, lengths), sizes,
             np.array(names, dtype=np.uint64))
@@ -274,6 +277,7 @@ def _texts(pages: pd.DataFrame, shared: np.ndarray | None) -> pd.DataFrame:
         for s in size:
             hidden.append(cover[at:at + s])
             at += s + 1
+        at += 1
         text.append(main_text(p, hidden))
     return pd.DataFrame({"id": pages["id"], "url": pages["url"], "text": text})
 
@@ -284,7 +288,7 @@ def _host_task(pages: pd.DataFrame) -> pd.DataFrame:
 
 # ------------------------------------------------------------- parts of large hosts
 _FREE_HOST = "host string"
-_PACK = "bucket int, task bigint, hash binary, stream binary"
+_PACK = "host bigint, bucket bigint, task bigint, hash binary, stream binary"
 _SHARED = "task bigint, hash binary"
 
 
@@ -294,22 +298,21 @@ def _free_host(pages: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": pages["host"][free].unique()})
 
 
-def _part_windows(buckets: int):
-    def run(pages: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(pages) and len(wanted):
-            token, page, _, _, names = _streams(_read(pages), np.zeros(len(pages), dtype=np.int64))
-            at, h = windows(token, _salt(pages["host"].iloc[0]))
-            h, stream = _few_streams(h, names[page[at]])
-            bucket = h % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            h, stream, bucket = h[order], stream[order], bucket[order]
-            edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
-            task = int(pages["task"].iloc[0])
-            out = [(b, task, h[x:y].tobytes(), stream[x:y].tobytes())
-                   for b, (x, y) in enumerate(zip(edges, edges[1:])) if x < y]
-        return pd.DataFrame(out, columns=["bucket", "task", "hash", "stream"])
-    return run
+def _part_windows(pages: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+    """The windows of a part, packed by bucket; a host has as many buckets as parts."""
+    out = []
+    if len(pages) and len(wanted):
+        token, page, _, _, names = _streams(_read(pages), np.zeros(len(pages), dtype=np.int64))
+        at, h = windows(token, _salt(pages["host"].iloc[0]))
+        h, stream = _few_streams(h, names[page[at]])
+        parts, host, task = (int(wanted[c].iloc[0]) for c in ("parts", "host_id", "task"))
+        bucket = h % np.uint64(parts)
+        order = np.argsort(bucket, kind="stable")
+        h, stream, bucket = h[order], stream[order], bucket[order]
+        edges = np.searchsorted(bucket, np.arange(parts + 1, dtype=np.uint64))
+        out = [(host, b, task, h[x:y].tobytes(), stream[x:y].tobytes())
+               for b, (x, y) in enumerate(zip(edges, edges[1:])) if x < y]
+    return pd.DataFrame(out, columns=["host", "bucket", "task", "hash", "stream"])
 
 
 def _few_streams(h: np.ndarray, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -335,15 +338,16 @@ def _join_windows(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["task", "hash"])
 
 
-def _shared_windows(read: DataFrame, parts: DataFrame, buckets: int) -> DataFrame:
+def _shared_windows(read: DataFrame, parts: DataFrame) -> DataFrame:
     """(task, hash): for the parts of large hosts, the windows that the host's pages share."""
     free = read.groupBy("task").applyInPandas(_free_host, _FREE_HOST).distinct()
     tasks = free.join(parts, "host").select(
+        "parts", F.xxhash64("host").alias("host_id"),
         F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1),
                               lambda k: F.xxhash64("host", k))).alias("task"))
     packs = read.groupBy("task").cogroup(tasks.groupBy("task")).applyInPandas(
-        _part_windows(buckets), _PACK)
-    return packs.groupBy("bucket").applyInPandas(_join_windows, _SHARED)
+        _part_windows, _PACK)
+    return packs.groupBy("host", "bucket").applyInPandas(_join_windows, _SHARED)
 
 
 def _part_task(pages: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
@@ -376,7 +380,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         out = read.groupBy("task").applyInPandas(_host_task, schema)
     else:
         # hosts that share a task have no windows to join; one exchange serves all readers
-        shared = _shared_windows(read, large, tasks)
+        shared = _shared_windows(read, large)
         out = read.groupBy("task").cogroup(shared.groupBy("task")).applyInPandas(
             _part_task, schema)
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text")

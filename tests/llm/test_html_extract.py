@@ -63,7 +63,7 @@ def test_boilerplate_without_containers(spark):
                                           (62, "http://c.org", "<p>alone")]
     got = texts(spark, rows)
     own = " ".join(f"own1w{k}" for k in range(20))
-    assert got[1] == f"{own}\n\n{line} {own} tail1\n\nshort1"  # mostly own words: kept whole
+    assert got[1] == f"{own}\n\n{own} tail1\n\nshort1"  # what is covered goes, also of a long block
     assert got[50].startswith(line)  # one page of its host shows nothing
     assert got[60] == got[61] == "" and got[62] == "alone"
     # copies of one page count once and stay
@@ -92,7 +92,7 @@ def test_small_articles_short_runs_and_nested_comments(spark):
     got = texts(spark, rows)
     for i in range(4):  # the body beside a teaser card, and runs below RUN tokens
         assert got[i] == f"{own[i]}\n\nanother story\n\nown{i} end{i}"
-    assert got[9] == f"{own[0]} {own[1]}"  # a large article stays alone
+    assert got[9] == f"{own[0]} {own[1]}\n\nx\n\nown9 end9"  # unique runs beside an article stay
     assert got[20] == "text\n\npart"
 
 
@@ -116,6 +116,68 @@ def test_parts_of_a_large_host_are_joined(spark):
         assert texts(spark, rows, task_bytes=task_bytes) == whole
 
 
+def plain_text(page, others):
+    """A page's text by the docstring: windows of RUN symbols looked up in all pages' streams."""
+    def symbols(p):
+        return [x for _, t in p for x in [*t.split(" "), "|"]]
+
+    def grams(seq):
+        return {tuple(seq[i:i + H.RUN]) for i in range(len(seq) - H.RUN + 1)}
+    pages = [grams(s) for s in {tuple(symbols(p)) for p in others}]
+    seq = symbols(page)
+    cover = [False] * len(seq)
+    for i in range(len(seq) - H.RUN + 1):
+        if sum(tuple(seq[i:i + H.RUN]) in g for g in pages) >= H.MIN_PAGES:
+            cover[i:i + H.RUN] = [True] * H.RUN
+    out, at = [], 0
+    for zone, text in page:
+        words = text.split(" ")
+        if zone == H.MAIN:
+            out.append(text)
+        elif zone == H.FREE:
+            run = []
+            for k, w in enumerate([*words, None]):
+                if w is None or cover[at + k]:
+                    out += [" ".join(run)] if run else []
+                    run = []
+                else:
+                    run.append(w)
+        at += len(words) + 1
+    return "\n\n".join(out)
+
+
+def test_whole_pages_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(400)]
+
+    def some(n):
+        return " ".join(rng.choice(words, n))
+    rows, sites = [], {}
+    for site in range(5):
+        menu = "".join(f"<li>{some(1)}" for _ in range(7))
+        foot, passage = some(30), some(60)
+        for i in range(12):
+            own = [some(int(rng.integers(1, 40))) for _ in range(3)]
+            shared = f"<p>{passage}</p>" if i % 2 else ""
+            body = (f"<article><p>{own[0]}</p>{shared}</article>" if i % 3 else
+                    f"<div><p>{own[0]}</p></div>")
+            rows.append((100 * site + i, f"http://h{site}.org/{i}",
+                         f"<div><ul>{menu}</ul></div><div class='ad'>{some(9)}</div>{body}"
+                         f"<div>{own[1]} {foot if i % 4 else ''}</div><p>{own[2]}</p>"
+                         f"<nav>{some(5)}</nav><div class='comments'><p>{some(12)}</p></div>"))
+            sites.setdefault(site, []).append(H.blocks(rows[-1][2]))
+    want = {100 * s + i: plain_text(p, pages) for s, pages in sites.items()
+            for i, p in enumerate(pages)}
+    got = texts(spark, rows)
+    assert got == want
+    zones = [z for pages in sites.values() for p in pages for z, _ in p]
+    assert set(zones) == {H.MAIN, H.FREE, H.BOILER, H.TOLD}
+    # the menus, lists of single words without any name, go by the covering
+    assert sum(len(t.split("\n\n")) for t in got.values()) \
+        == zones.count(H.FREE) - 5 * 12 * 7 + zones.count(H.MAIN)
+    assert texts(spark, rows, task_bytes=2_000) == want
+
+
 def test_covered_equals_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(5):
