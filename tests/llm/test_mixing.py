@@ -81,6 +81,43 @@ def test_blocks_and_shards(spark, monkeypatch):
     assert out.groupBy("shard_").agg(F.countDistinct("source").alias("n")).where("n < 3").count() == 0
 
 
+def test_shards_smaller_than_blocks(spark, monkeypatch):
+    """More shards than nodes, and blocks larger than a shard: each shard gets its share."""
+    monkeypatch.setattr(mixing, "MAX_BLOCKS", 4)
+    monkeypatch.setattr(mixing, "NODES", 3)
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 500)
+    rows = [(i, "w " * (i % 5 + 1), "en", f"s{i % 3}") for i in range(6000)]
+    out = mixing.mix(docs_frame(spark, rows)).select("doc_id", "source", "shard", "position").collect()
+    words_in, by_source, sizes = Counter(), Counter(), Counter()
+    for i, _, _, s in rows:
+        sizes[s] += i % 5 + 1
+    for r in out:
+        words_in[r["shard"]] += r["doc_id"] % 5 + 1
+        by_source[r["source"]] += r["doc_id"] % 5 + 1
+    target = plain_targets(sizes)
+    assert all(abs(by_source[s] - target[s]) <= 2 for s in sizes)
+    shards = math.ceil(sum(target.values()) / 500)
+    assert shards <= max(words_in) + 1 <= shards + 3 and min(words_in) == 0
+    assert len(words_in) == max(words_in) + 1  # none is empty
+    assert max(words_in.values()) < 3 * min(words_in.values())
+    assert len(set(map(tuple, out))) == len(out)  # repeats lie at positions of their own
+
+
+def test_long_documents_are_passed_over(spark):
+    sizes = [3, 1000, 2, 5, 4, 900, 1, 6, 2, 800, 3, 7]
+    rows = [(100 * s + k, "w " * n, "en", f"s{s}") for s in range(6) for k, n in enumerate(sizes)]
+    sized = mixing.measure(docs_frame(spark, rows))
+    got = mixing.drawn(sized, *mixing.plan_mix(sized)).select(
+        "source", "size", "target", F.size("draws").alias("n")).collect()
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r["source"]] += r["size"] * r["n"]
+        target[r["source"]] = r["target"]
+        assert r["n"] <= 2
+    for s, t in target.items():  # at most half of the smallest document not taken
+        assert abs(taken[s] - t) <= 500, (s, t, taken[s])
+
+
 def test_split_is_exact_and_spread():
     runs = mixing.split([100, 7, 0, 50], 5, seed=4)
     ends = defaultdict(list)
