@@ -3,12 +3,14 @@ of the reference's rules (property tests)."""
 
 import datetime as dt
 import json
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from rillflow.operators import carry
 from rillflow.operators import changes as chg
 from rillflow.operators import config as cfg
 from rillflow.operators import dims, logs
@@ -208,6 +210,42 @@ def test_asof_join_with_clumps_and_hot_keys(spark, limit):
     assert sorted(map(tuple, got.collect())) == want and len(want) > 700
 
 
+@pytest.mark.parametrize("kind", ["long", "decimal(38,0)"])
+def test_asof_join_in_pieces(spark, kind):
+    """Lists cut into pieces, and copied for crowds of facts, at positions from the least long
+    (or a decimal) on; versions that come twice; facts on both sides of each cut."""
+    far = 1 << 80 if kind != "long" else 10**12
+    ats = [cfg.MIN_SEQ, *range(0, 300, 3), *range(far, far + 300, 3)]
+    versions = [(k, p, None if p % 7 == 0 else f"{k}{p}") for k in ("a", "b") for p in ats]
+    versions += [("one", 5, "o"), ("unmet", 5, "u")]
+    facts = [(k, p + d) for k, p in (("a", p) for p in ats[1:]) for d in (0, 1, 3)]
+    facts += [("one", p) for p in range(300)] + [("b", far + 10**6), ("b", cfg.MIN_SEQ)]
+    as_pos = lambda rows: [(r[0], Decimal(r[1]), *r[2:]) if kind != "long" else r
+                           for r in rows]
+    f = spark.createDataFrame(as_pos(facts), f"k string, pos {kind}").repartition(3)
+    v = spark.createDataFrame(as_pos(versions) * 2, f"key string, at {kind}, tag string")
+    got = asof_join(f, v, "k", "key", "pos", "at", ["tag"], in_force=F.col("tag").isNotNull(),
+                    limit=0, list_rows=20, list_facts=25)
+    assert sorted((r["k"], int(r["pos"]), r["tag"]) for r in got.collect()) \
+        == _last_version(facts, versions)
+
+
+def test_asof_join_moves_only_versions_that_facts_meet(spark, monkeypatch):
+    """Versions of other keys are neither written nor merged with the facts."""
+    wrote = []
+    real = carry.materialize
+    monkeypatch.setattr(carry, "materialize", lambda df, name: wrote.append(
+        (name, real(df, name))) or wrote[-1][1])
+    f = spark.range(100).select(F.lit("k").alias("k"), F.col("id").alias("pos"))
+    v = spark.range(5000).select(F.concat(F.lit("v"), "id").alias("key"),
+                                 F.col("id").alias("at"), F.lit("x").alias("tag"))
+    v = v.unionByName(spark.range(10).select(F.lit("k").alias("key"), F.col("id").alias("at"),
+                                             F.lit("y").alias("tag")))
+    got = asof_join(f, v, "k", "key", "pos", "at", ["tag"], limit=100)
+    assert got.count() == 99
+    assert sum(df.count() for _, df in wrote) <= 100 + 10
+
+
 def test_asof_ranges_stay_even_for_one_key(spark):
     """A single key at clumped positions still spreads over all ranges."""
     rows = spark.range(20_000).select(F.lit("k").alias("k"), F.when(
