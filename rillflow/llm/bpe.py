@@ -31,12 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillflow.llm.common import batch_rows
+from rillflow.llm.common import batch_rows, release_memory
 
 #: texts in an Arrow batch
 BATCH = 256
 #: distinct texts in a generation of a worker's memory
 CACHE = 1 << 18
+#: the same for a worker that shares its memory with other stages
+SMALL_CACHE = 1 << 15
 _NONE = 1 << 60  # rank of a position where no pair begins
 
 
@@ -98,19 +100,19 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Remembered(dict):
-    """text -> its ids, for the texts of late: two generations of at most CACHE
+    """text -> its ids, for the texts of late: two generations of at most ``most``
     texts each; the older one goes when the newer one is full."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int):
         super().__init__()
-        self.encode, self.older = encode, {}
+        self.encode, self.most, self.older = encode, most, {}
 
     def __missing__(self, text: str) -> tuple[int, ...]:
         ids = self.older.get(text)
         if ids is None:
             ids = self.encode(text)
         if len(text) <= 64:
-            if len(self) >= CACHE:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[text] = ids
@@ -130,13 +132,14 @@ class Codec:
     the parts are remembered like the pieces.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, cache: int | None = None):
+        cache = CACHE if cache is None else cache
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
         self.tokens = {r: t for t, r in self.ranks.items()}
         self.pieces = regex.compile(pattern).findall
-        self.known = Remembered(self._piece)
-        self.parts = Remembered(self._part)
+        self.known = Remembered(self._piece, cache)
+        self.parts = Remembered(self._part, cache)
 
     def _piece(self, piece: str) -> tuple[int, ...]:
         data = piece.encode()
@@ -171,8 +174,8 @@ class Codec:
 
 
 @lru_cache(maxsize=4)
-def codec(path: str, pattern: str) -> Codec:
-    return Codec(path, pattern)
+def codec(path: str, pattern: str, cache: int | None = None) -> Codec:
+    return Codec(path, pattern, cache)
 
 
 def little_endian(ids: list[int]) -> bytes:
@@ -204,14 +207,14 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
 
 def encoded_checked(text: Column, path: str, pattern: str) -> Column:
     """struct(ids, decodes): the ids of each text, and whether they decode to its very
-    bytes, in one pass. What a worker remembers is let go with the task: the worker
+    bytes, in one pass. A worker remembers few texts, and lets them go with the task: it
     may go on to other work."""
     kind = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())),
                          T.StructField("decodes", T.BooleanType())])
 
     @F.pandas_udf(kind)
     def checked(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        c = codec(path, pattern)
+        c = codec(path, pattern, SMALL_CACHE)
         for texts in batches:
             ids, fine = [], []
             for t in texts:
@@ -220,6 +223,7 @@ def encoded_checked(text: Column, path: str, pattern: str) -> Column:
                 fine.append(c.decode(own) == (t or "").encode())
             yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decodes": fine})
         c.forget()
+        release_memory()
 
     return checked(text)
 

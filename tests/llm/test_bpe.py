@@ -54,3 +54,19 @@ def test_query(spark, scratch, theirs):
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
     none = docs_frame(spark).limit(0)
     assert bpe.round_trip(none, PATH, P.PATTERN).collect() == []
+
+
+def test_checked_worker_remembers_few_texts(spark, monkeypatch):
+    """The pipeline's encoder: ids as with the large memory, and a memory of its own size."""
+    monkeypatch.setattr(bpe, "SMALL_CACHE", 4)
+    used = []
+    monkeypatch.setattr(bpe, "codec", lambda *how: used.append(bpe.Codec(*how)) or used[-1])
+    monkeypatch.setattr(bpe.Codec, "forget", lambda self: None)
+    monkeypatch.setattr(bpe.F, "pandas_udf", lambda kind: lambda f: lambda text: f)
+    text = "one two three four five six seven one two eight nine ten one"
+    import pandas as pd
+    got, = bpe.encoded_checked("text", PATH, P.PATTERN)(iter([pd.Series([text, None])]))
+    assert [list(x) for x in got["ids"]] == [bpe.Codec(PATH, P.PATTERN).encode(text), []]
+    assert all(got["decodes"])
+    for memory in (used[0].known, used[0].parts):
+        assert len(memory) <= 4 and len(memory.older) <= 4
